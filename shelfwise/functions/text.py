@@ -14,12 +14,21 @@ ColumnOrName = Column | str
 
 # Unicode-aware whitespace (Python's ``str.split()`` also splits
 # on a no-break space; Java's plain ``\s`` does not) and the number shapes a
-# parse accepts. ``nan``, ``inf`` and ``1_000`` are rejected on purpose.
-WS_RUN = r"(?U)\s+"
-LEADING_WS = r"(?U)^\s+"
+# parse accepts once commas are removed. ``nan``, ``inf`` and ``1_000`` are
+# rejected on purpose.
 DECIMAL_TEXT = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 INTEGER_TEXT = r"^[+-]?[0-9]+$"
 
+# The same shapes with commas allowed anywhere (they are removed before the cast).
+DECIMAL_WITH_COMMAS = (r",*[+-]?,*(?:[0-9][0-9,]*(?:\.[0-9,]*)?|\.,*[0-9][0-9,]*)"
+                       r"(?:[eE],*[+-]?,*[0-9][0-9,]*)?")
+INTEGER_WITH_COMMAS = r",*[+-]?,*[0-9][0-9,]*"
+
+
+def nth_token_pattern(n: int, token: str = r"\S+") -> str:
+    """Regex whose group 1 is the n-th whitespace token, only when it matches ``token`` whole."""
+    return r"(?U)^\s*" + r"(?:\S+\s+)" * (n - 1) + f"({token})" + r"(?:\s|$)"
+
 
 def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -27,21 +36,24 @@ def _col(c: ColumnOrName) -> Column:
 
 def token(c: ColumnOrName, n: int) -> Column:
     """n-th (1-based) whitespace-separated token, NULL when there is none."""
-    trimmed = F.regexp_replace(_col(c), LEADING_WS, "")
-    tok = F.try_element_at(F.split(trimmed, WS_RUN), F.lit(n))
-    return F.nullif(tok, F.lit(""))
+    return F.nullif(F.regexp_extract(_col(c), nth_token_pattern(n), 1), F.lit(""))
+
+
+def _numeric_token(c: ColumnOrName, n: int, shape: str, to: str) -> Column:
+    # one regex pass: the token is captured only when it is a number (commas anywhere),
+    # so the cast never sees text it would read differently
+    t = F.nullif(F.regexp_extract(_col(c), nth_token_pattern(n, shape), 1), F.lit(""))
+    return F.replace(t, F.lit(","), F.lit("")).try_cast(to)
 
 
 def money(c: ColumnOrName, n: int = 2) -> Column:
     """Price from text such as ``'<sign> 1,234.50'``: token n, commas removed, as DOUBLE."""
-    t = F.replace(token(c, n), F.lit(","), F.lit(""))
-    return F.when(t.rlike(DECIMAL_TEXT), t.try_cast("double"))
+    return _numeric_token(c, n, DECIMAL_WITH_COMMAS, "double")
 
 
 def units(c: ColumnOrName, n: int = 1) -> Column:
     """Unit count from text such as ``'1,200 in bag'``: token n, commas removed, as INT."""
-    t = F.replace(token(c, n), F.lit(","), F.lit(""))
-    return F.when(t.rlike(INTEGER_TEXT), t.try_cast("int"))
+    return _numeric_token(c, n, INTEGER_WITH_COMMAS, "int")
 
 
 def first_token(c: ColumnOrName) -> Column:

@@ -13,83 +13,71 @@ bag counter was still there, and whether the step failed. The fold, per key:
 Steps after the stop do not count, failures after it neither. NULL flags
 read as "not seen". Stock has three states: n, 0 (could not be added), NULL.
 
-The fold is order-dependent, so a plain grouped aggregate cannot compute it,
-and a window per key would put a hot key (a third of all rows) into one task.
-Instead rows are range-partitioned on (key, step): every partition holds
-contiguous runs of steps, a hot key spans many partitions. Each run is folded
-into a fixed-size summary inside its task; the summaries (at most a few per
-key and partition) are merged exactly.
+The fold is order-dependent, so one grouped aggregate cannot compute it, and a
+window per key would hold a hot key (a third of all rows) in one task.
+Instead each key's steps are cut into buckets of ``bucket_steps`` consecutive
+step numbers. A (key, bucket) group holds at most that many rows whatever the
+key's size, so the shuffle spreads a hot key over many tasks. Each bucket is
+folded into a fixed-size summary (window + aggregate on the same
+partitioning, one shuffle); the summaries, one per key and bucket, are then
+merged exactly per key.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.text import units
 
-_SUMMARY = ["first_stop", "first_fail", "upto_step", "upto_val", "last_step", "last_val"]
+# Consecutive step numbers per bucket: bounds the rows of one (key, bucket) group.
+BUCKET_STEPS = 1 << 16
 
 
 def observation_flags(obs: DataFrame, keys: Sequence[str], step: str = "step",
                       bag_text: str = "bag_text", limit: str = "limit_marker",
                       counter: str = "counter_present", failed: str = "failed") -> DataFrame:
-    """Per observation: parsed units and the stop / failure flags (JVM-side)."""
-    parsed = units(bag_text)
-    stop = (parsed.isNotNull() & F.coalesce(F.col(limit), F.lit(False))) \
-        | ~F.coalesce(F.col(counter), F.lit(False))
-    return obs.select(*keys, F.col(step).cast("bigint").alias("step"), parsed.alias("parsed"),
-                      stop.alias("is_stop"), F.coalesce(F.col(failed), F.lit(False)).alias("fail"))
-
-
-def _segment_summaries(keys: list[str]):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pdf = pdf.sort_values(keys + ["step"], kind="stable").reset_index(drop=True)
-            gid = pdf.groupby(keys, sort=False, dropna=False).ngroup()
-            step = pdf["step"].astype("int64")
-            stop_step = step.where(pdf["is_stop"].astype(bool))
-            fail_step = step.where(pdf["fail"].astype(bool))
-            first_stop = stop_step.groupby(gid).transform("min")
-            parsed_ok = pdf["parsed"].notna()
-            upto_ok = parsed_ok & (first_stop.isna() | (step <= first_stop))
-            out = pdf.loc[gid.drop_duplicates().index, keys].copy()
-            out.index = gid.drop_duplicates().values
-            out["first_stop"] = stop_step.groupby(gid).min()
-            out["first_fail"] = fail_step.groupby(gid).min()
-            last = pdf[parsed_ok].assign(g=gid[parsed_ok]).groupby("g").tail(1).set_index("g")
-            upto = pdf[upto_ok].assign(g=gid[upto_ok]).groupby("g").tail(1).set_index("g")
-            out["upto_step"] = upto["step"]
-            out["upto_val"] = upto["parsed"]
-            out["last_step"] = last["step"]
-            out["last_val"] = last["parsed"]
-            for c in _SUMMARY:
-                out[c] = out[c].astype("Int64")
-            yield out.reset_index(drop=True)
-    return run
+    """Per observation: parsed units and the stop / failure flags.
 
+    ``parsed`` is its own projection so the regex runs once per row (the
+    optimizer does not inline a non-cheap expression used twice).
+    """
+    p = obs.select(*keys, F.col(step).cast("bigint").alias("step"), units(bag_text).alias("parsed"),
+                   F.coalesce(F.col(limit), F.lit(False)).alias("lim"),
+                   F.coalesce(F.col(counter), F.lit(False)).alias("ctr"),
+                   F.coalesce(F.col(failed), F.lit(False)).alias("fail"))
+    stop = (F.col("parsed").isNotNull() & F.col("lim")) | ~F.col("ctr")
+    return p.select(*keys, "step", "parsed", stop.alias("is_stop"), "fail")
 
-def fold_stock(obs: DataFrame, keys: Sequence[str] = ("page_id", "pos_in_pg"), step: str = "step",
-               bag_text: str = "bag_text", limit: str = "limit_marker",
-               counter: str = "counter_present", failed: str = "failed",
-               out: str = "stock") -> DataFrame:
-    """One row per key: ``keys`` + ``out`` (INT, NULL when collection failed)."""
+
+def bucket_summaries(flags: DataFrame, keys: Sequence[str], bucket_steps: int = BUCKET_STEPS) -> DataFrame:
+    """One row per (key, bucket): first stop, first failure, last parsed up to the
+    bucket's first stop, and last parsed overall (value and step)."""
+    keys = list(keys)
+    b = flags.withColumn("bucket", F.expr(f"step div {int(bucket_steps)}"))
+    w = Window.partitionBy(*keys, "bucket").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
+    b = b.withColumn("stop_before", F.coalesce(F.max("is_stop").over(w), F.lit(False)))
+    parsed = F.col("parsed").isNotNull()
+    upto = parsed & ~F.col("stop_before")
+    return b.groupBy(*keys, "bucket").agg(
+        F.min(F.when(F.col("is_stop"), F.col("step"))).alias("first_stop"),
+        F.min(F.when(F.col("fail"), F.col("step"))).alias("first_fail"),
+        F.max(F.when(upto, F.col("step"))).alias("upto_step"),
+        F.max_by(F.when(upto, F.col("parsed")), F.when(upto, F.col("step"))).alias("upto_val"),
+        F.max(F.when(parsed, F.col("step"))).alias("last_step"),
+        F.max_by(F.when(parsed, F.col("parsed")), F.when(parsed, F.col("step"))).alias("last_val"))
+
+
+def merge_summaries(segs: DataFrame, keys: Sequence[str], out: str = "stock") -> DataFrame:
+    """Fold of contiguous segments (buckets) per key.
+
+    S = first stop over all segments. The value is the last parsed step at or
+    before S: from the segment holding S its own "up to first stop" value,
+    from segments with no stop that end before S their last value.
+    """
     keys = list(keys)
-    flags = observation_flags(obs, keys, step, bag_text, limit, counter, failed)
-    key_fields = [f for f in flags.schema.fields if f.name in keys]
-    seg_schema = T.StructType(key_fields + [
-        T.StructField("first_stop", T.LongType()), T.StructField("first_fail", T.LongType()),
-        T.StructField("upto_step", T.LongType()), T.StructField("upto_val", T.IntegerType()),
-        T.StructField("last_step", T.LongType()), T.StructField("last_val", T.IntegerType())])
-    segs = (flags.repartitionByRange(*keys, "step")
-            .sortWithinPartitions(*keys, "step")
-            .mapInPandas(_segment_summaries(keys), seg_schema))
     w = Window.partitionBy(*keys)
     segs = segs.withColumn("S", F.min("first_stop").over(w))
     in_stop_seg = F.col("first_stop") == F.col("S")
@@ -101,3 +89,12 @@ def fold_stock(obs: DataFrame, keys: Sequence[str] = ("page_id", "pos_in_pg"), s
     failed_before_stop = F.col("F").isNotNull() & (F.col("S").isNull() | (F.col("F") <= F.col("S")))
     stock = F.when(failed_before_stop, F.lit(None).cast("int")).otherwise(F.coalesce("Q", F.lit(0)))
     return agg.select(*keys, stock.cast("int").alias(out))
+
+
+def fold_stock(obs: DataFrame, keys: Sequence[str] = ("page_id", "pos_in_pg"), step: str = "step",
+               bag_text: str = "bag_text", limit: str = "limit_marker",
+               counter: str = "counter_present", failed: str = "failed",
+               out: str = "stock", bucket_steps: int = BUCKET_STEPS) -> DataFrame:
+    """One row per key: ``keys`` + ``out`` (INT, NULL when collection failed)."""
+    flags = observation_flags(obs, keys, step, bag_text, limit, counter, failed)
+    return merge_summaries(bucket_summaries(flags, keys, bucket_steps), keys, out)

@@ -24,6 +24,7 @@ BASE_CONF = {
     # landed pages are large strings: keep Arrow batches for the HTML parser small
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
