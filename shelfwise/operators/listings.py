@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import extract, relevance, stock as stock_ops
@@ -52,23 +52,20 @@ def card_fields(cards: DataFrame, price: str = "price_text",
 
 
 def build_listings(cards: DataFrame, descriptions: DataFrame, observations: DataFrame,
-                   description_marker: str | None = None,
-                   report_time: Column | str = "report_time") -> DataFrame:
+                   description_marker: str | None = None) -> DataFrame:
     """Listing rows of the relevant cards: the search-page form.
 
     ``cards``: page_id, pos_in_pg, brand, sku, quantity, price_text,
-    discounted_price_text (page tagged with its brand). Relevance filter
-    first (native, pushed to the scan), then stock fold and description
-    attached by position. ``report_time`` is a column of ``cards`` or of the
-    observation table (the time of the last observation of the card).
+    discounted_price_text (each page tagged with its brand). The relevance
+    filter runs first, on the cards, before any join. Stock is folded from the
+    observations (one shuffle, skew-safe) together with the time of the last
+    observation (``report_time``); descriptions are attached by position with
+    ``description_marker`` where none was fetched.
     """
     rel = relevance.brand_prefix_filter(card_fields(cards))
-    stocks = stock_ops.fold_stock(observations, POSITION_KEYS)
-    times = observations.groupBy(*POSITION_KEYS).agg(F.max("observed_at").alias("report_time")) \
-        if isinstance(report_time, str) and report_time not in cards.columns else None
+    stocks = stock_ops.fold_stock(observations, POSITION_KEYS, time_col="observed_at") \
+        .withColumnRenamed("seen_at", "report_time")
     out = attach_by_position(rel, stocks)
     out = attach_by_position(out, descriptions.select(*POSITION_KEYS, "description"))
-    if times is not None:
-        out = attach_by_position(out, times)
     out = out.withColumn("description", extract.with_default(TX.one_line("description"), description_marker))
     return out.select(*LISTING_COLUMNS, "page_id")

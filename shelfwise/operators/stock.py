@@ -38,7 +38,8 @@ BUCKET_STEPS = 1 << 16
 
 def observation_flags(obs: DataFrame, keys: Sequence[str], step: str = "step",
                       bag_text: str = "bag_text", limit: str = "limit_marker",
-                      counter: str = "counter_present", failed: str = "failed") -> DataFrame:
+                      counter: str = "counter_present", failed: str = "failed",
+                      time_col: str | None = None) -> DataFrame:
     """Per observation: parsed units and the stop / failure flags.
 
     ``parsed`` is its own projection so the regex runs once per row (the
@@ -47,9 +48,11 @@ def observation_flags(obs: DataFrame, keys: Sequence[str], step: str = "step",
     p = obs.select(*keys, F.col(step).cast("bigint").alias("step"), units(bag_text).alias("parsed"),
                    F.coalesce(F.col(limit), F.lit(False)).alias("lim"),
                    F.coalesce(F.col(counter), F.lit(False)).alias("ctr"),
-                   F.coalesce(F.col(failed), F.lit(False)).alias("fail"))
+                   F.coalesce(F.col(failed), F.lit(False)).alias("fail"),
+                   *([F.col(time_col).alias("seen_at")] if time_col else []))
     stop = (F.col("parsed").isNotNull() & F.col("lim")) | ~F.col("ctr")
-    return p.select(*keys, "step", "parsed", stop.alias("is_stop"), "fail")
+    return p.select(*keys, "step", "parsed", stop.alias("is_stop"), "fail",
+                    *(["seen_at"] if time_col else []))
 
 
 def bucket_summaries(flags: DataFrame, keys: Sequence[str], bucket_steps: int = BUCKET_STEPS) -> DataFrame:
@@ -61,7 +64,8 @@ def bucket_summaries(flags: DataFrame, keys: Sequence[str], bucket_steps: int =
     b = b.withColumn("stop_before", F.coalesce(F.max("is_stop").over(w), F.lit(False)))
     parsed = F.col("parsed").isNotNull()
     upto = parsed & ~F.col("stop_before")
-    return b.groupBy(*keys, "bucket").agg(
+    extra = [F.max("seen_at").alias("seen_at")] if "seen_at" in flags.columns else []
+    return b.groupBy(*keys, "bucket").agg(*extra,
         F.min(F.when(F.col("is_stop"), F.col("step"))).alias("first_stop"),
         F.min(F.when(F.col("fail"), F.col("step"))).alias("first_fail"),
         F.max(F.when(upto, F.col("step"))).alias("upto_step"),
@@ -84,17 +88,23 @@ def merge_summaries(segs: DataFrame, keys: Sequence[str], out: str = "stock") ->
     before_stop = F.col("first_stop").isNull() & (F.col("S").isNull() | (F.col("last_step") < F.col("S")))
     cand_step = F.when(in_stop_seg, F.col("upto_step")).when(before_stop, F.col("last_step"))
     cand_val = F.when(in_stop_seg, F.col("upto_val")).when(before_stop, F.col("last_val"))
+    extra = [F.max("seen_at").alias("seen_at")] if "seen_at" in segs.columns else []
     agg = segs.groupBy(*keys).agg(F.min("S").alias("S"), F.min("first_fail").alias("F"),
-                                  F.max_by(cand_val, cand_step).alias("Q"))
+                                  F.max_by(cand_val, cand_step).alias("Q"), *extra)
     failed_before_stop = F.col("F").isNotNull() & (F.col("S").isNull() | (F.col("F") <= F.col("S")))
     stock = F.when(failed_before_stop, F.lit(None).cast("int")).otherwise(F.coalesce("Q", F.lit(0)))
-    return agg.select(*keys, stock.cast("int").alias(out))
+    return agg.select(*keys, stock.cast("int").alias(out), *(["seen_at"] if extra else []))
 
 
 def fold_stock(obs: DataFrame, keys: Sequence[str] = ("page_id", "pos_in_pg"), step: str = "step",
                bag_text: str = "bag_text", limit: str = "limit_marker",
                counter: str = "counter_present", failed: str = "failed",
-               out: str = "stock", bucket_steps: int = BUCKET_STEPS) -> DataFrame:
-    """One row per key: ``keys`` + ``out`` (INT, NULL when collection failed)."""
-    flags = observation_flags(obs, keys, step, bag_text, limit, counter, failed)
+               out: str = "stock", bucket_steps: int = BUCKET_STEPS,
+               time_col: str | None = None) -> DataFrame:
+    """One row per key: ``keys`` + ``out`` (INT, NULL when collection failed).
+
+    With ``time_col`` also ``seen_at``: the latest observation time of the key
+    (the time its stock reading finished), merged in the same aggregates.
+    """
+    flags = observation_flags(obs, keys, step, bag_text, limit, counter, failed, time_col)
     return merge_summaries(bucket_summaries(flags, keys, bucket_steps), keys, out)
