@@ -54,7 +54,9 @@ def parse_cards(pages: DataFrame, card: tuple[str, str],
     Output: ``keep`` columns, ``pos_in_pg`` (BIGINT, 1-based), ``card_text``
     and one STRING column per field (NULL when the card has no such
     descendant). Put native filters on ``pages`` before calling: Catalyst does
-    not push predicates through a Python stage.
+    not push predicates through a Python stage. Pages whose HTML does not even
+    contain the card's class token cannot hold a card and are dropped by a
+    JVM-side filter before any Python runs.
     """
     keep = list(keep)
     fields = dict(fields or {})
@@ -75,7 +77,8 @@ def parse_cards(pages: DataFrame, card: tuple[str, str],
                     recs.append(rec)
             yield pd.DataFrame.from_records(recs, columns=keep + ["pos_in_pg", "card_text"] + list(fields))
 
-    return pages.select(*keep, F.col(html).alias("page_html")).mapInPandas(run, out_schema)
+    maybe = F.col(html).contains(F.lit(card[1]))
+    return pages.filter(maybe).select(*keep, F.col(html).alias("page_html")).mapInPandas(run, out_schema)
 
 
 def card_count(cards_array: ColumnOrName) -> Column:

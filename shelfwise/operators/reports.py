@@ -23,6 +23,20 @@ DEFAULT_PLATFORM = "shop"
 
 FACT_COLUMNS = ["brand", "sku_present", "stock", "desc_len", "report_time"]
 
+# Display headings of the run summary, in column order.
+DISPLAY_HEADINGS = {
+    "platform": "platform",
+    "skus": "SKUs",
+    "skus_out_of_stock": "SKUs out of stock",
+    "skus_failed_stock": "SKUs failed to scrape stock",
+    "brands_failed_stock": "brands failed to scrape stock",
+    "skus_not_described": "SKUs not described",
+    "stocking_start_time": "stocking start time",
+    "time_to_scrape_stocks": "time to scrape stocks",
+    "longest_stock_to_scrape": "longest stock to scrape",
+    "longest_time_to_scrape_stock": "longest time to scrape stock",
+}
+
 
 def listing_facts(listings: DataFrame) -> DataFrame:
     """Narrow projection used by all counts: presence and length flags instead of text."""
@@ -100,6 +114,47 @@ def run_summary(listings: DataFrame, n_brands: int | DataFrame = DEFAULT_BRAND_C
         TF.span_text(F.col("slowest.span_s")).alias("longest_time_to_scrape_stock"))
 
 
+def with_display_headings(summary: DataFrame) -> DataFrame:
+    """The summary with its display headings (names with spaces) for the hand-over table."""
+    return summary.select(*[F.col(c).alias(DISPLAY_HEADINGS.get(c, c)) for c in summary.columns])
+
+
+RUN_SUMMARY_SQL = """
+select '{platform}' as platform, skus, skus_out_of_stock, skus_failed_stock,
+       {n_brands} - brands_seen as brands_failed_stock, skus_not_described, stocking_start_time,
+       format_string('%02d:%02d:%02d', run_s div 3600, (run_s % 3600) div 60, run_s % 60) as time_to_scrape_stocks,
+       slowest.brand as longest_stock_to_scrape,
+       format_string('%02d:%02d:%02d', slowest.span_s div 3600, (slowest.span_s % 3600) div 60, slowest.span_s % 60)
+         as longest_time_to_scrape_stock
+from (
+  select count(*) as n_groups, sum(skus) as skus, sum(oos) as skus_out_of_stock, sum(failed) as skus_failed_stock,
+         count(brand) as brands_seen, sum(undesc) as skus_not_described,
+         min(lo) as stocking_start_time, pmod(timestampdiff(SECOND, min(lo), max(hi)), 86400) as run_s,
+         min_by(named_struct('brand', brand, 'span_s', span_s),
+                named_struct('n', span_s is null, 's', -coalesce(span_s, 0), 'b', brand is null,
+                             'v', coalesce(brand, ''))) as slowest
+  from (
+    select brand, count(sku) as skus, count(case when stock = 0 then sku end) as oos,
+           count(case when stock is null then sku end) as failed,
+           count(case when length(description) = 0 then sku end) as undesc,
+           min(cast(date_trunc('second', report_time) as timestamp_ntz)) as lo,
+           max(cast(date_trunc('second', report_time) as timestamp_ntz)) as hi,
+           pmod(timestampdiff(SECOND, min(cast(date_trunc('second', report_time) as timestamp_ntz)),
+                                      max(cast(date_trunc('second', report_time) as timestamp_ntz))), 86400) as span_s
+    from {listings} group by brand))
+where n_groups > 0
+"""
+
+
+def run_summary_sql(listings: DataFrame, n_brands: int = DEFAULT_BRAND_COUNT,
+                    platform: str = DEFAULT_PLATFORM) -> DataFrame:
+    """The run summary written as Spark SQL over a DataFrame argument (same plan shape)."""
+    if "'" in platform:
+        raise ValueError("platform must not contain a quote")
+    return listings.sparkSession.sql(RUN_SUMMARY_SQL.format(platform=platform, n_brands=int(n_brands),
+                                                            listings="{listings}"), listings=listings)
+
+
 def stock_counts(listings: DataFrame) -> DataFrame:
     f = _facts(listings)
     return f.agg(_count_sku().alias("skus"),

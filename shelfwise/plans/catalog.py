@@ -270,6 +270,24 @@ def q_stride_chunks(spark, base):
     return listings.stride_chunks(p, "p_partkey", STRIDE)
 
 
+def q_run_summary_sql(spark, base):
+    return reports.run_summary_sql(_lv(spark, base))
+
+
+def q_summary_headings(spark, base):
+    return reports.with_display_headings(reports.run_summary(V.listing_facts_view(spark, base)))
+
+
+def q_brand_rollup(spark, base):
+    r = reports.brand_rollup(V.listing_facts_view(spark, base))
+    return r.withColumn("span_seconds", TF.span_seconds("first_time", "last_time"))
+
+
+def q_stock_text(spark, base):
+    t = V.bag_texts(spark, base)
+    return t.select("l_orderkey", "l_linenumber", TX.first_token("bag_text").alias("stock"))
+
+
 def q_preview_top5(spark, base):
     return reports.preview(_lv(spark, base), ["doc_id"], 5)
 
@@ -319,6 +337,10 @@ QUERIES: dict[str, Query] = {
     "brand_url": q_brand_url,
     "stride_chunks": q_stride_chunks,
     "preview_top5": q_preview_top5,
+    "run_summary_sql": q_run_summary_sql,
+    "summary_headings": q_summary_headings,
+    "brand_rollup": q_brand_rollup,
+    "stock_text": q_stock_text,
 }
 
 
@@ -576,4 +598,21 @@ from (select distinct p_brand as brand from part)""",
 select p_partkey, p_name, cast(p_partkey % {STRIDE} as integer) as chunk,
        cast(floor(p_partkey / {STRIDE}) as bigint) as pos_in_chunk from part""",
     "preview_top5": _LV + "select * from lv order by doc_id limit 5",
+    "brand_rollup": _LV + """
+select brand, count(sku) as skus, count(case when stock = 0 then sku end) as skus_out_of_stock,
+       count(case when stock is null then sku end) as skus_failed_stock,
+       count(case when length(description) = 0 then sku end) as skus_not_described,
+       min(report_time) as first_time, max(report_time) as last_time,
+       date_diff('second', min(report_time), max(report_time)) as span_seconds
+from lv group by brand""",
+    "stock_text": _BAGS + f"select l_orderkey, l_linenumber, {_tok('bag_text', 1)} as stock from t",
 }
+
+ORACLE_SQL["run_summary_sql"] = ORACLE_SQL["run_summary"]
+ORACLE_SQL["summary_headings"] = """
+select platform, skus as "SKUs", skus_out_of_stock as "SKUs out of stock",
+       skus_failed_stock as "SKUs failed to scrape stock", brands_failed_stock as "brands failed to scrape stock",
+       skus_not_described as "SKUs not described", stocking_start_time as "stocking start time",
+       time_to_scrape_stocks as "time to scrape stocks", longest_stock_to_scrape as "longest stock to scrape",
+       longest_time_to_scrape_stock as "longest time to scrape stock"
+from (""" + ORACLE_SQL["run_summary"] + ") q"

@@ -20,6 +20,8 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # a selective small join side prunes the large side before its shuffle
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # landed pages are large strings: keep Arrow batches for the HTML parser small
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
