@@ -7,7 +7,7 @@ of each search or catalogue page, and these readers turn it into the
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,20 +25,18 @@ def read_landed_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LANDED_PAGES).parquet(path)
 
 
-def _brand_from_path(path: Column) -> Column:
-    # <folder>/brand=<name>/<file>.html : brand from the partition-style folder, else NULL
-    return F.nullif(F.url_decode(F.regexp_extract(path, r"brand=([^/]+)/", 1)), F.lit(""))
+def read_landed_html(spark: SparkSession, root: str) -> DataFrame:
+    """One row per HTML file under ``root`` (whole file as one value); id from the file path.
 
-
-def read_landed_html(spark: SparkSession, path: str) -> DataFrame:
-    """One row per HTML file (whole file as one value); id from the file path.
-
-    ``captured_at`` is the file modification time, ``brand`` comes from a
-    ``brand=<name>`` folder when the crawler lands pages that way.
+    A crawler landing pages as ``<root>/brand=<name>/<file>.html`` gets the
+    brand from Spark's partition discovery (values unescaped by Spark);
+    without such folders ``brand`` is NULL. ``captured_at`` is the file
+    modification time.
     """
-    raw = spark.read.format("text").option("wholetext", True).load(path) \
-        .select(F.col("value").alias("html"), F.col("_metadata.file_path").alias("url"),
-                F.col("_metadata.file_modification_time").alias("mtime"))
-    return raw.select(F.xxhash64("url").alias("page_id"), "url", _brand_from_path(F.col("url")).alias("brand"),
+    raw = spark.read.format("text").option("wholetext", True).option("recursiveFileLookup", False).load(root)
+    brand = F.col("brand").cast("string") if "brand" in raw.columns else F.lit(None).cast(T.StringType())
+    return raw.select(F.xxhash64(F.col("_metadata.file_path")).alias("page_id"),
+                      F.col("_metadata.file_path").alias("url"), brand.alias("brand"),
                       F.lit(None).cast(T.StringType()).alias("location"),
-                      F.col("mtime").cast("timestamp_ntz").alias("captured_at"), "html")
+                      F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("captured_at"),
+                      F.col("value").alias("html"))
