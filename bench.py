@@ -1,8 +1,9 @@
 """Bench: run every registered query over the tables at $BENCH_SF_DIR.
 
 Each query is run to completion with the ``noop`` sink (every row computed,
-nothing collected to the driver); the time of the second run is kept, so
-JVM warm-up and file listing do not count. Prints one JSON line.
+nothing collected to the driver). One untimed pass over all queries warms
+the JVM first; then each query's best of ``BENCH_RUNS`` runs is kept.
+Prints one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_QUERIES (comma-separated subset), BENCH_RUNS (default 2).
@@ -28,6 +29,8 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "2"))
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or list(QUERIES)
     spark = local_session(cpus, shuffle_partitions=max(cpus, 8), app="shelfwise-bench")
+    for n in names:                                    # warm-up pass, not timed
+        QUERIES[n](spark, base).write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
     for n in names:
         best = None
