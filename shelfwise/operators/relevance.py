@@ -71,6 +71,10 @@ def _substrings(s: Column, n: int) -> Column:
         .otherwise(F.array().cast("array<string>"))
 
 
+def _all_substrings(s: Column, lengths: Sequence[int]) -> Column:
+    return F.flatten(F.array(*[_substrings(s, n) for n in lengths]))
+
+
 def portfolio_flag(sku: ColumnOrName, brands: Sequence[str]) -> Column:
     """1 when ``sku`` contains any brand (case-sensitive), else 0; NULL sku gives NULL."""
     arr = F.array(*[F.lit(b) for b in brands])
@@ -89,7 +93,8 @@ def portfolio_semi_join(rows: DataFrame, brands: Sequence[str] | DataFrame, sku:
 
     A brand dimension whose counted size is within ``max_broadcast`` is
     broadcast to a nested-loop semi join (no shuffle of ``rows``). A larger
-    one uses an exact equi semi join on every sku substring of a brand length.
+    one uses an exact equi semi join on every substring (of a brand length) of
+    the distinct skus.
     """
     b = brands_frame(rows.sparkSession, brands, brand).select(brand).filter(F.length(brand) >= 1)
     n = len(brands) if not isinstance(brands, DataFrame) else b.count()
@@ -99,9 +104,10 @@ def portfolio_semi_join(rows: DataFrame, brands: Sequence[str] | DataFrame, sku:
     # distinct brand lengths: a bounded set of small integers (at most the longest brand)
     lengths = sorted(r[0] for r in b.select(F.length(brand).alias("n")).distinct().collect() if r[0])
     b = b.withColumn("__key", F.col(brand))
-    s = F.col(sku)
-    starts = F.flatten(F.array(*[_substrings(s, n) for n in lengths]))
-    keyed = rows.withColumn("__row", F.monotonically_increasing_id())
-    cand = keyed.select("__row", F.explode(starts).alias("__key"))
-    hits = cand.join(b.select("__key").distinct(), "__key", "left_semi").select("__row").distinct()
-    return keyed.join(hits, "__row", "left_semi").drop("__row")
+    # whether a row matches depends on its sku only: explode the distinct skus
+    # (partial aggregation first, so a frequent sku costs one row), keep those
+    # with a brand among their substrings, semi-join the rows back on sku
+    distinct_skus = rows.select(F.col(sku).alias("__sku")).distinct()
+    cand = distinct_skus.select("__sku", F.explode(_all_substrings(F.col("__sku"), lengths)).alias("__key"))
+    matched = cand.join(b.select("__key").distinct(), "__key", "left_semi").select("__sku").distinct()
+    return rows.join(matched, rows[sku] == matched["__sku"], "left_semi")
