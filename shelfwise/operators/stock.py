@@ -19,8 +19,10 @@ Instead each key's steps are cut into buckets of ``bucket_steps`` consecutive
 step numbers. A (key, bucket) group holds at most that many rows whatever the
 key's size, so the shuffle spreads a hot key over many tasks. Each bucket is
 folded into a fixed-size summary (window + aggregate on the same
-partitioning, one shuffle); the summaries, one per key and bucket, are then
-merged exactly per key.
+partitioning, one shuffle). Summaries of contiguous step ranges merge exactly
+into the summary of their union, so they are merged ``merge_fanin`` at a time
+(bounded groups again) and finally once per key; every group any task holds
+is bounded, even when steps are sparse.
 """
 
 from __future__ import annotations
@@ -34,6 +36,9 @@ from ..functions.text import units
 
 # Consecutive step numbers per bucket: bounds the rows of one (key, bucket) group.
 BUCKET_STEPS = 1 << 16
+# Bucket summaries merged per level, and levels before the final per-key merge.
+MERGE_FANIN = 1 << 10
+MERGE_LEVELS = 1
 
 
 def observation_flags(obs: DataFrame, keys: Sequence[str], step: str = "step",
@@ -59,13 +64,14 @@ def bucket_summaries(flags: DataFrame, keys: Sequence[str], bucket_steps: int =
     """One row per (key, bucket): first stop, first failure, last parsed up to the
     bucket's first stop, and last parsed overall (value and step)."""
     keys = list(keys)
-    b = flags.withColumn("bucket", F.expr(f"step div {int(bucket_steps)}"))
-    w = Window.partitionBy(*keys, "bucket").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
+    b = flags.withColumn("seg", F.expr(f"step div {int(bucket_steps)}"))
+    w = Window.partitionBy(*keys, "seg").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
     b = b.withColumn("stop_before", F.coalesce(F.max("is_stop").over(w), F.lit(False)))
     parsed = F.col("parsed").isNotNull()
     upto = parsed & ~F.col("stop_before")
     extra = [F.max("seen_at").alias("seen_at")] if "seen_at" in flags.columns else []
-    return b.groupBy(*keys, "bucket").agg(*extra,
+    return b.groupBy(*keys, "seg").agg(
+        *extra,
         F.min(F.when(F.col("is_stop"), F.col("step"))).alias("first_stop"),
         F.min(F.when(F.col("fail"), F.col("step"))).alias("first_fail"),
         F.max(F.when(upto, F.col("step"))).alias("upto_step"),
@@ -74,37 +80,57 @@ def bucket_summaries(flags: DataFrame, keys: Sequence[str], bucket_steps: int =
         F.max_by(F.when(parsed, F.col("parsed")), F.when(parsed, F.col("step"))).alias("last_val"))
 
 
-def merge_summaries(segs: DataFrame, keys: Sequence[str], out: str = "stock") -> DataFrame:
-    """Fold of contiguous segments (buckets) per key.
+def merge_segments(segs: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Merge the summaries of contiguous segments within each ``group`` into one summary.
 
-    S = first stop over all segments. The value is the last parsed step at or
-    before S: from the segment holding S its own "up to first stop" value,
-    from segments with no stop that end before S their last value.
+    S = first stop of the group. The merged "up to first stop" value is the
+    last parsed step at or before S: from the segment holding S its own value,
+    from segments without a stop that end before S their last value. The
+    window holds the segments of one group only.
     """
-    keys = list(keys)
-    w = Window.partitionBy(*keys)
-    segs = segs.withColumn("S", F.min("first_stop").over(w))
+    group = list(group)
+    segs = segs.withColumn("S", F.min("first_stop").over(Window.partitionBy(*group)))
     in_stop_seg = F.col("first_stop") == F.col("S")
     before_stop = F.col("first_stop").isNull() & (F.col("S").isNull() | (F.col("last_step") < F.col("S")))
     cand_step = F.when(in_stop_seg, F.col("upto_step")).when(before_stop, F.col("last_step"))
     cand_val = F.when(in_stop_seg, F.col("upto_val")).when(before_stop, F.col("last_val"))
     extra = [F.max("seen_at").alias("seen_at")] if "seen_at" in segs.columns else []
-    agg = segs.groupBy(*keys).agg(F.min("S").alias("S"), F.min("first_fail").alias("F"),
-                                  F.max_by(cand_val, cand_step).alias("Q"), *extra)
-    failed_before_stop = F.col("F").isNotNull() & (F.col("S").isNull() | (F.col("F") <= F.col("S")))
-    stock = F.when(failed_before_stop, F.lit(None).cast("int")).otherwise(F.coalesce("Q", F.lit(0)))
-    return agg.select(*keys, stock.cast("int").alias(out), *(["seen_at"] if extra else []))
+    return segs.groupBy(*group).agg(
+        *extra,
+        F.min("first_stop").alias("first_stop"),
+        F.min("first_fail").alias("first_fail"),
+        F.max(cand_step).alias("upto_step"),
+        F.max_by(cand_val, cand_step).alias("upto_val"),
+        F.max("last_step").alias("last_step"),
+        F.max_by("last_val", "last_step").alias("last_val"))
+
+
+def stock_from_summary(summary: DataFrame, keys: Sequence[str], out: str = "stock") -> DataFrame:
+    """Stock from the one summary per key: NULL when a failure came at or before the first stop."""
+    f, s = F.col("first_fail"), F.col("first_stop")
+    failed_before_stop = f.isNotNull() & (s.isNull() | (f <= s))
+    stock = F.when(failed_before_stop, F.lit(None).cast("int")).otherwise(F.coalesce("upto_val", F.lit(0)))
+    extra = ["seen_at"] if "seen_at" in summary.columns else []
+    return summary.select(*keys, stock.cast("int").alias(out), *extra)
 
 
 def fold_stock(obs: DataFrame, keys: Sequence[str] = ("page_id", "pos_in_pg"), step: str = "step",
                bag_text: str = "bag_text", limit: str = "limit_marker",
                counter: str = "counter_present", failed: str = "failed",
-               out: str = "stock", bucket_steps: int = BUCKET_STEPS,
-               time_col: str | None = None) -> DataFrame:
+               out: str = "stock", bucket_steps: int = BUCKET_STEPS, merge_levels: int = MERGE_LEVELS,
+               merge_fanin: int = MERGE_FANIN, time_col: str | None = None) -> DataFrame:
     """One row per key: ``keys`` + ``out`` (INT, NULL when collection failed).
 
     With ``time_col`` also ``seen_at``: the latest observation time of the key
     (the time its stock reading finished), merged in the same aggregates.
+    Buckets of ``bucket_steps`` steps are merged ``merge_fanin`` at a time for
+    ``merge_levels`` levels, then once per key: the last merge holds at most
+    (step range of a key) / (bucket_steps * merge_fanin ** merge_levels)
+    summaries of one key.
     """
+    keys = list(keys)
     flags = observation_flags(obs, keys, step, bag_text, limit, counter, failed, time_col)
-    return merge_summaries(bucket_summaries(flags, keys, bucket_steps), keys, out)
+    segs = bucket_summaries(flags, keys, bucket_steps)
+    for _ in range(merge_levels):
+        segs = merge_segments(segs.withColumn("seg", F.expr(f"seg div {int(merge_fanin)}")), keys + ["seg"])
+    return stock_from_summary(merge_segments(segs, keys), keys, out)

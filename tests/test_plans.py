@@ -37,9 +37,9 @@ def test_summary_shuffles_documents_once_and_brand_rows_only(no_broadcast):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
-def test_stock_fold_shuffles_on_key_and_bucket(no_broadcast):
+def test_stock_fold_shuffles_on_key_and_segment(no_broadcast):
     ex, plan = exchanges(QUERIES["stock_from_observations"](no_broadcast, BASE))
-    assert any("bucket" in e for e in ex)
+    assert any("seg" in e for e in ex)
     assert "PythonMapInArrow" not in plan and "MapInPandas" not in plan
 
 

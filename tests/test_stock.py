@@ -54,9 +54,10 @@ def test_fold_edges(spark):
     expected = {1: 0, 2: 5, 3: 40, 4: 0, 5: None, 6: None, 7: 1200, 8: 6}
     rows = EDGE[:]
     random.Random(3).shuffle(rows)                                # input order must not matter
-    for b in (1, 2, 1 << 16):
-        got = {r.pos_in_pg: r.stock for r in stock.fold_stock(_frame(spark, rows), bucket_steps=b).collect()}
-        assert got == expected, b
+    for b, fan, lv in ((1, 2, 0), (1, 2, 3), (2, 3, 1), (1 << 16, 1 << 10, 1)):
+        got = {r.pos_in_pg: r.stock for r in stock.fold_stock(_frame(spark, rows), bucket_steps=b,
+                                                                merge_fanin=fan, merge_levels=lv).collect()}
+        assert got == expected, (b, fan, lv)
     by_pos = {}
     for p, s, t, lim, ctr, f in EDGE:
         by_pos.setdefault(p, []).append((s, t, lim, ctr, f))
@@ -79,9 +80,10 @@ def test_fold_matches_brute_force_on_random_tables(spark):
         by_pos.setdefault(p, []).append((s, t, lim, ctr, f))
     expected = {p: py_fold(v) for p, v in by_pos.items()}
     df = _frame(spark, rows)
-    for b in (1, 16, 1 << 16):
-        got = {r.pos_in_pg: r.stock for r in stock.fold_stock(df, bucket_steps=b).collect()}
-        assert got == expected, b
+    for b, fan, lv in ((1, 2, 2), (1, 7, 1), (16, 4, 1), (1 << 16, 1 << 10, 1), (3, 2, 0)):
+        got = {r.pos_in_pg: r.stock for r in stock.fold_stock(df, bucket_steps=b, merge_fanin=fan,
+                                                                merge_levels=lv).collect()}
+        assert got == expected, (b, fan, lv)
 
 
 def test_fold_carries_last_observation_time(spark):
@@ -89,13 +91,13 @@ def test_fold_carries_last_observation_time(spark):
                              true counter_present, false failed,
                              timestamp_ntz'2024-01-01 00:00:00' + make_interval(0,0,0,0,0,0,s) observed_at
                       from range(0, 50) t(s)""")
-    r = stock.fold_stock(df, bucket_steps=7, time_col="observed_at").collect()[0]
+    r = stock.fold_stock(df, bucket_steps=7, merge_fanin=2, time_col="observed_at").collect()[0]
     assert r.stock == 49 and str(r.seen_at) == "2024-01-01 00:00:49"
 
 
 def test_fold_plan_spreads_hot_keys(spark):
     df = _frame(spark, EDGE)
     plan = stock.fold_stock(df)._jdf.queryExecution().executedPlan().toString()
-    # the full shuffle is on (key, bucket), never on the key alone
-    assert "hashpartitioning(page_id" in plan and "bucket" in plan
+    # the full shuffle is on (key, segment), never on the key alone
+    assert "hashpartitioning(page_id" in plan and "seg" in plan
     assert "MapInPandas" not in plan and "ArrowEvalPython" not in plan
