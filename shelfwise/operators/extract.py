@@ -65,6 +65,7 @@ def parse_cards(pages: DataFrame, card: tuple[str, str],
         list(in_schema.fields)
         + [T.StructField("pos_in_pg", T.LongType(), False), T.StructField("card_text", T.StringType())]
         + [T.StructField(n, T.StringType()) for n in fields])
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             recs = []

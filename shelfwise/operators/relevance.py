@@ -46,19 +46,22 @@ def brand_prefix_join(rows: DataFrame, brands: Sequence[str] | DataFrame, sku: s
                       brand: str = "brand") -> DataFrame:
     """Untagged rows × brands where the sku starts with the brand (theta join made equi).
 
-    Each row proposes its prefixes ``lower(sku)[:L]`` for L up to the longest
-    brand and is equi-joined to ``lower(brand)``. The result is exactly the theta join
+    Each row proposes its prefixes ``lower(sku)[:L]`` for the lengths L of the
+    brands and is equi-joined to ``lower(brand)``. The result is exactly the theta join
     (a row matching two brands appears twice) without a nested loop: the brand
     side is broadcast while small (size known to the planner) and shuffled
-    otherwise. The longest brand length is a scalar subquery, not a collect.
+    otherwise. The brand lengths are scalar subqueries, not a collect.
     """
     b = brands_frame(rows.sparkSession, brands, brand)
     # empty brands are ignored (they would match every row)
     b = b.withColumn("__key", F.lower(F.col(brand))).filter(F.length("__key") >= 1)
     maxlen = b.select(F.max(F.length("__key"))).scalar()
+    lengths = b.select(F.collect_set(F.length("__key"))).scalar()
     low = F.lower(F.col(sku))
     cand = rows.withColumn("__len", F.explode(F.sequence(F.lit(1), F.least(F.length(low), maxlen))))
-    cand = cand.filter(F.col("__len") >= 1).withColumn("__key", F.substring(low, 1, F.col("__len")))
+    # only lengths some brand has, before anything is shuffled
+    cand = cand.filter((F.col("__len") >= 1) & F.array_contains(lengths, F.col("__len")))
+    cand = cand.withColumn("__key", F.substring(low, 1, F.col("__len")))
     joined = cand.join(b.drop(*[c for c in b.columns if c in rows.columns and c != "__key"]),
                        on="__key", how="inner")
     return joined.drop("__key", "__len")
