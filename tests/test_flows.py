@@ -103,3 +103,16 @@ def test_stream_ingest_equals_batch(spark, scratch):
     batch = daily.search_cards(spark.read.schema(LANDED_PAGES).parquet(landed))
     assert streamed.count() == 4
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+
+
+def test_history_union_keeps_identical_rows_and_types(spark):
+    new = spark.createDataFrame([("Lux 100g", 4, "Dhaka", "02-Mar-24, 01:05 PM")],
+                                "sku string, stock int, location string, report_time string")
+    old = spark.createDataFrame([("Lux 100g", "4", "Dhaka", "02-Mar-24, 01:05 PM"), ("x", "n/a", None, "")],
+                                HISTORY_TEXT)
+    out = H.union_with_history(new, old)
+    assert [f.dataType.simpleString() for f in out.schema.fields] == ["string"] * 4
+    rows = [tuple(r) for r in out.collect()]
+    assert rows[0] == rows[1] == ("Lux 100g", "4", "Dhaka", "02-Mar-24, 01:05 PM")
+    assert len(rows) == 3 and out.count() == new.count() + old.count()
+    assert tuple(H.null_to_empty(out).collect()[2]) == ("x", "n/a", "", "")

@@ -59,3 +59,10 @@ def test_semi_join_paths_agree(spark):
     bdf = spark.createDataFrame([(b,) for b in brands], "brand string")
     large = sorted(r.i for r in R.portfolio_semi_join(df, bdf, max_broadcast=0).collect())
     assert small == expect == large
+
+
+def test_quote_and_wildcards_in_brand_are_text(spark):
+    df = spark.createDataFrame([(1, "O'Neil shampoo"), (2, "ONeil"), (3, "100% pure"), (4, "100x pure")],
+                               "i int, sku string")
+    got = sorted((r.i, r.brand) for r in R.brand_prefix_join(df, ["O'Neil", "100%"]).collect())
+    assert got == [(1, "O'Neil"), (3, "100%")]
