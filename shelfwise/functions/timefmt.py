@@ -25,22 +25,42 @@ def _col(c: ColumnOrName) -> Column:
 
 
 def to_seconds_ntz(c: ColumnOrName) -> Column:
-    """Truncate to whole seconds and keep TIMESTAMP_NTZ (``date_trunc`` returns TIMESTAMP)."""
-    return F.date_trunc("second", _col(c)).cast("timestamp_ntz")
+    """Truncate to whole seconds, as TIMESTAMP_NTZ, without passing through a time zone.
+
+    (``date_trunc`` returns a zoned TIMESTAMP; casting back would move wall-clock
+    times that fall in a daylight-saving gap of the session zone.)
+    """
+    t = _col(c)
+    fraction = F.date_part(F.lit("SECOND"), t) - F.second(t)
+    return (t - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), fraction)).cast("timestamp_ntz")
 
 
 def parse_report_time(c: ColumnOrName, fmt: str = REPORT_TIME) -> Column:
-    """Report-time text to TIMESTAMP_NTZ; text that does not fit gives NULL."""
-    return F.try_to_timestamp(_col(c), F.lit(fmt)).cast("timestamp_ntz")
+    """Report-time text to TIMESTAMP_NTZ; text that does not fit gives NULL.
+
+    ``try_to_timestamp`` only checks the text (it would read it in the session
+    zone); the value comes from the zone-free ``to_timestamp_ntz``.
+    """
+    return F.when(F.try_to_timestamp(_col(c), F.lit(fmt)).isNotNull(), F.to_timestamp_ntz(_col(c), F.lit(fmt)))
 
 
 def format_time(c: ColumnOrName, fmt: str = REPORT_TIME) -> Column:
     return F.date_format(_col(c), fmt)
 
 
+def _second_of_day(t: Column) -> Column:
+    return F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
+
+
 def span_seconds(first: ColumnOrName, last: ColumnOrName) -> Column:
-    """Whole seconds from ``first`` to ``last`` (both truncated to seconds)."""
-    return F.timestamp_diff("SECOND", to_seconds_ntz(first), to_seconds_ntz(last))
+    """Whole seconds from ``first`` to ``last`` (both truncated to seconds), BIGINT.
+
+    Wall-clock arithmetic on dates and times of day, so no session time zone
+    (and none of its daylight-saving gaps) enters the result.
+    """
+    a, b = _col(first), _col(last)
+    days = F.datediff(F.to_date(b), F.to_date(a)).cast("bigint")
+    return days * SECONDS_PER_DAY + (_second_of_day(b) - _second_of_day(a)).cast("bigint")
 
 
 def span_text(seconds: ColumnOrName) -> Column:

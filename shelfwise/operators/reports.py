@@ -121,15 +121,18 @@ def with_display_headings(summary: DataFrame) -> DataFrame:
 
 RUN_SUMMARY_SQL = """
 select '{platform}' as platform, skus, skus_out_of_stock, skus_failed_stock,
-       {n_brands} - brands_seen as brands_failed_stock, skus_not_described, stocking_start_time,
+       {n_brands} - brands_seen as brands_failed_stock, skus_not_described,
+       lo - make_dt_interval(0, 0, 0, date_part('SECOND', lo) - second(lo)) as stocking_start_time,
        format_string('%02d:%02d:%02d', run_s div 3600, (run_s % 3600) div 60, run_s % 60) as time_to_scrape_stocks,
        slowest.brand as longest_stock_to_scrape,
        format_string('%02d:%02d:%02d', slowest.span_s div 3600, (slowest.span_s % 3600) div 60, slowest.span_s % 60)
          as longest_time_to_scrape_stock
 from (
   select count(*) as n_groups, sum(skus) as skus, sum(oos) as skus_out_of_stock, sum(failed) as skus_failed_stock,
-         count(brand) as brands_seen, sum(undesc) as skus_not_described,
-         min(lo) as stocking_start_time, pmod(timestampdiff(SECOND, min(lo), max(hi)), 86400) as run_s,
+         count(brand) as brands_seen, sum(undesc) as skus_not_described, min(lo) as lo,
+         pmod(datediff(to_date(max(hi)), to_date(min(lo))) * 86400L
+              + (hour(max(hi)) * 3600 + minute(max(hi)) * 60 + second(max(hi)))
+              - (hour(min(lo)) * 3600 + minute(min(lo)) * 60 + second(min(lo))), 86400) as run_s,
          min_by(named_struct('brand', brand, 'span_s', span_s),
                 named_struct('n', span_s is null, 's', -coalesce(span_s, 0), 'b', brand is null,
                              'v', coalesce(brand, ''))) as slowest
@@ -137,10 +140,11 @@ from (
     select brand, count(sku) as skus, count(case when stock = 0 then sku end) as oos,
            count(case when stock is null then sku end) as failed,
            count(case when length(description) = 0 then sku end) as undesc,
-           min(cast(date_trunc('second', report_time) as timestamp_ntz)) as lo,
-           max(cast(date_trunc('second', report_time) as timestamp_ntz)) as hi,
-           pmod(timestampdiff(SECOND, min(cast(date_trunc('second', report_time) as timestamp_ntz)),
-                                      max(cast(date_trunc('second', report_time) as timestamp_ntz))), 86400) as span_s
+           min(report_time) as lo, max(report_time) as hi,
+           pmod(datediff(to_date(max(report_time)), to_date(min(report_time))) * 86400L
+                + (hour(max(report_time)) * 3600 + minute(max(report_time)) * 60 + second(max(report_time)))
+                - (hour(min(report_time)) * 3600 + minute(min(report_time)) * 60 + second(min(report_time))),
+                86400) as span_s
     from {listings} group by brand))
 where n_groups > 0
 """

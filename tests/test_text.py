@@ -100,3 +100,16 @@ def test_span_text_and_formats(spark):
     assert str(r[5]) == "2024-01-05 13:04:05"
     assert r[6] is None
     assert r[7] == 2.08
+
+
+def test_time_helpers_ignore_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.sql("select timestamp_ntz'2024-03-10 02:30:15.75' t, '2024-03-10 02:30:15' s")
+        r = df.select(TF.to_seconds_ntz("t"), TF.parse_report_time("s"),
+                      TF.span_seconds(F.col("t"), F.lit("2024-03-10 03:30:15").cast("timestamp_ntz"))).collect()[0]
+        # 02:30 does not exist in that zone (DST gap); zone-free helpers keep the wall clock
+        assert str(r[0]) == "2024-03-10 02:30:15" and str(r[1]) == "2024-03-10 02:30:15" and r[2] == 3600
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
