@@ -32,11 +32,17 @@ def regex_cards(pages: DataFrame, pattern: str, groups: dict[str, int], html: st
     Pages without a match give no rows.
     """
     keep = list(keep)
-    arrays = [F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(g)).alias(n)
-              for n, g in groups.items()]
-    exploded = pages.select(*keep, F.posexplode(F.arrays_zip(*arrays)).alias("pos", "card"))
+    names = list(groups)
+    if len(names) == 1:
+        g = groups[names[0]]
+        exploded = pages.select(*keep, F.posexplode(
+            F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(g))).alias("pos", names[0]))
+        return exploded.select(*keep, (F.col("pos") + 1).cast("bigint").alias("pos_in_pg"), names[0])
+    # one pass over the page collects whole matches; the groups come from the short match texts
+    exploded = pages.select(*keep, F.posexplode(
+        F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(0))).alias("pos", "__match"))
     return exploded.select(*keep, (F.col("pos") + 1).cast("bigint").alias("pos_in_pg"),
-                           *[F.col("card").getField(n).alias(n) for n in groups])
+                           *[F.regexp_extract("__match", pattern, g).alias(n) for n, g in groups.items()])
 
 
 def class_cards(pages: DataFrame, tag: str, token: str, html: str = "html",
