@@ -1,7 +1,7 @@
 """Which rows belong to which brand.
 
 * prefix rule (search pages): ``sku`` starts with ``brand``, case-insensitive,
-  not bounded by a word (``Rin`` also matches ``Ring ...``); the brand is
+  not bounded by a word (``Nor`` also matches ``Nord ...``); the brand is
   literal text, never a LIKE pattern.
 * portfolio rule (catalogue page): ``sku`` contains any brand, case-sensitive.
 

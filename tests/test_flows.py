@@ -19,10 +19,10 @@ def card(name, sub, price, disc=None):
 
 T0 = dt.datetime(2024, 3, 1, 9, 0, 0)
 PAGES = [
-    (1, "u1", "Rin", None, T0, "<section>" + card("Rin Power 1kg", "1 kg", "৳ 120", "৳ 100")
-     + card("Surf Rin", "1 kg", "৳ 99") + card("rin bar", "130 g", "৳ 1,200") + "</section>"),
-    (2, "u2", "Lux", None, T0, "<section>" + card("Lux soap", "100 g", "৳ 45") + "</section>"),
-    (3, "u3", None, "Dhaka", T0, "<div class='product'><div class='name'>Lux soap</div></div>"),
+    (1, "u1", "Nor", None, T0, "<section>" + card("Nor Power 1kg", "1 kg", "৳ 120", "৳ 100")
+     + card("Wave Nor", "1 kg", "৳ 99") + card("nor bar", "130 g", "৳ 1,200") + "</section>"),
+    (2, "u2", "Vela", None, T0, "<section>" + card("Vela soap", "100 g", "৳ 45") + "</section>"),
+    (3, "u3", None, "Dhaka", T0, "<div class='product'><div class='name'>Vela soap</div></div>"),
 ]
 OBS = [
     (1, 1, 1, "1 in bag", False, True, False, T0 + dt.timedelta(seconds=5)),
@@ -37,25 +37,25 @@ DESC = [(1, 1, "Good\nsoap"), (1, 3, ""), (1, 2, "other")]
 def test_daily_run_end_to_end(spark, scratch):
     pages = spark.createDataFrame(PAGES, LANDED_PAGES)
     summary = daily.daily_run(spark, pages, spark.createDataFrame(DESC, DESCRIPTIONS),
-                              spark.createDataFrame(OBS, STOCK_OBSERVATIONS), ["Rin", "Lux", "Dove"],
+                              spark.createDataFrame(OBS, STOCK_OBSERVATIONS), ["Nor", "Vela", "Opal"],
                               scratch, dt.date(2024, 3, 1)).collect()
     s = summary[0].asDict()
     assert (s["skus"], s["skus_out_of_stock"], s["skus_failed_stock"], s["brands_failed_stock"],
             s["skus_not_described"]) == (3, 1, 1, 1, 1)
     assert str(s["stocking_start_time"]) == "2024-03-01 09:00:15"
     assert s["time_to_scrape_stocks"] == "00:01:15"
-    assert s["longest_stock_to_scrape"] == "Rin" and s["longest_time_to_scrape_stock"] == "00:00:10"
+    assert s["longest_stock_to_scrape"] == "Nor" and s["longest_time_to_scrape_stock"] == "00:00:10"
     rows = {r.sku: r for r in sinks.read_listings(spark, os.path.join(scratch, "listings")).collect()}
-    assert set(rows) == {"Rin Power 1kg", "rin bar", "Lux soap"}
-    assert rows["Rin Power 1kg"].stock == 12 and rows["Rin Power 1kg"].price == 120.0
-    assert rows["Rin Power 1kg"].price_if_discounted == 100.0 and rows["Rin Power 1kg"].description == "Good soap"
-    assert rows["rin bar"].stock == 0 and rows["rin bar"].price == 1200.0 and rows["rin bar"].pos_in_pg == 3
-    assert rows["Lux soap"].stock is None and rows["Lux soap"].description is None
-    assert str(rows["Lux soap"].report_date) == "2024-03-01"
+    assert set(rows) == {"Nor Power 1kg", "nor bar", "Vela soap"}
+    assert rows["Nor Power 1kg"].stock == 12 and rows["Nor Power 1kg"].price == 120.0
+    assert rows["Nor Power 1kg"].price_if_discounted == 100.0 and rows["Nor Power 1kg"].description == "Good soap"
+    assert rows["nor bar"].stock == 0 and rows["nor bar"].price == 1200.0 and rows["nor bar"].pos_in_pg == 3
+    assert rows["Vela soap"].stock is None and rows["Vela soap"].description is None
+    assert str(rows["Vela soap"].report_date) == "2024-03-01"
     csv = glob.glob(os.path.join(scratch, "exports", "stocks_data_2024-03-01.csv", "part-*.csv"))
     text = "".join(open(p).read() for p in csv)
     assert text.startswith("sku,brand,quantity,price,price_if_discounted,pos_in_pg,stock,description,report_time")
-    assert "Rin Power 1kg,Rin,1 kg,120.0,100.0,1,12,Good soap,2024-03-01 09:00:15" in text
+    assert "Nor Power 1kg,Nor,1 kg,120.0,100.0,1,12,Good soap,2024-03-01 09:00:15" in text
 
 
 def test_csv_quoting(spark, scratch):
@@ -69,19 +69,19 @@ def test_csv_quoting(spark, scratch):
 
 
 def test_catalogue_history(spark, scratch):
-    page = ("<div class='product x'><div class='name'>Lux Soft</div><div class='subText'>100 g</div></div>"
+    page = ("<div class='product x'><div class='name'>Vela Soft</div><div class='subText'>100 g</div></div>"
             "<div class='product'><div class='name'>Other thing</div><div class='subText'>1 kg</div></div>"
-            "<div class='product'><div class='name'>Rin bar</div></div>")
+            "<div class='product'><div class='name'>Nor bar</div></div>")
     pages = spark.createDataFrame([(7, "u", None, "Dhaka\nNorth", dt.datetime(2024, 3, 2, 13, 5), page)], LANDED_PAGES)
     obs = spark.createDataFrame([(7, 1, 1, "4 in bag", True, True, False, None),
                                  (7, 2, 1, "9 in bag", True, True, False, None)], STOCK_OBSERVATIONS)
-    new = catalogue.catalogue_rows(pages, obs, ["Lux", "Rin"])
+    new = catalogue.catalogue_rows(pages, obs, ["Vela", "Nor"])
     rows = [tuple(r) for r in new.collect()]
-    # 'Rin bar' has no stock reading: dropped; 'Other thing' is outside the portfolio
-    assert rows == [("Lux Soft 100g", "4", "Dhaka North", "02-Mar-24, 01:05 PM", dt.date(2024, 3, 2))]
+    # 'Nor bar' has no stock reading: dropped; 'Other thing' is outside the portfolio
+    assert rows == [("Vela Soft 100g", "4", "Dhaka North", "02-Mar-24, 01:05 PM", dt.date(2024, 3, 2))]
     old = spark.createDataFrame([("Old 1kg", "n/a", "Dhaka", "01-Mar-24, 09:00 AM")], HISTORY_TEXT)
     both = catalogue.with_history(new, old).collect()
-    assert [r.sku for r in both] == ["Lux Soft 100g", "Old 1kg"]
+    assert [r.sku for r in both] == ["Vela Soft 100g", "Old 1kg"]
     typed = H.typed_history(catalogue.with_history(new, old)).collect()
     assert [r.stock_n for r in typed] == [4, None] and str(typed[0].report_ts) == "2024-03-02 13:05:00"
     path = os.path.join(scratch, "history")
@@ -106,13 +106,13 @@ def test_stream_ingest_equals_batch(spark, scratch):
 
 
 def test_history_union_keeps_identical_rows_and_types(spark):
-    new = spark.createDataFrame([("Lux 100g", 4, "Dhaka", "02-Mar-24, 01:05 PM")],
+    new = spark.createDataFrame([("Vela 100g", 4, "Dhaka", "02-Mar-24, 01:05 PM")],
                                 "sku string, stock int, location string, report_time string")
-    old = spark.createDataFrame([("Lux 100g", "4", "Dhaka", "02-Mar-24, 01:05 PM"), ("x", "n/a", None, "")],
+    old = spark.createDataFrame([("Vela 100g", "4", "Dhaka", "02-Mar-24, 01:05 PM"), ("x", "n/a", None, "")],
                                 HISTORY_TEXT)
     out = H.union_with_history(new, old)
     assert [f.dataType.simpleString() for f in out.schema.fields] == ["string"] * 4
     rows = [tuple(r) for r in out.collect()]
-    assert rows[0] == rows[1] == ("Lux 100g", "4", "Dhaka", "02-Mar-24, 01:05 PM")
+    assert rows[0] == rows[1] == ("Vela 100g", "4", "Dhaka", "02-Mar-24, 01:05 PM")
     assert len(rows) == 3 and out.count() == new.count() + old.count()
     assert tuple(H.null_to_empty(out).collect()[2]) == ("x", "n/a", "", "")

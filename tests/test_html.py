@@ -5,9 +5,9 @@ from shelfwise.operators import extract
 from shelfwise.plans import daily
 
 PAGE = """<html lang="bn"><body><div class="important-banner">sale</div>
-<section><div class="x imageWrapper y"><div class="name">Rin Power &amp; Co</div><div class="subText">1 kg</div>
+<section><div class="x imageWrapper y"><div class="name">Nor Power &amp; Co</div><div class="subText">1 kg</div>
   <div class="price"><span>৳ 1,200</span></div><div class="discountedPrice">৳ 1,100</div><br><img src=a></div>
-<div class="imageWrapper"><div class="name">Lux <b>soap</b></div><p>no quantity</p>
+<div class="imageWrapper"><div class="name">Vela <b>soap</b></div><p>no quantity</p>
   <div class="price">৳ 45</div></div>
 <div class="imageWrapperX"><div class="name">not a card</div></div>
 <div class='imageWrapper'><div class="imageWrapper"><div class="name">inner</div></div></div>
@@ -15,7 +15,7 @@ PAGE = """<html lang="bn"><body><div class="important-banner">sale</div>
 
 
 def _pages(spark, html=PAGE):
-    return spark.createDataFrame([(1, "Rin", html), (2, "Lux", None), (3, "Dove", "<p>no cards</p>")],
+    return spark.createDataFrame([(1, "Nor", html), (2, "Vela", None), (3, "Opal", "<p>no cards</p>")],
                                  "page_id long, brand string, html string")
 
 
@@ -23,9 +23,9 @@ def test_parser_cards_by_class_token(spark):
     cards = extract.parse_cards(_pages(spark), daily.SEARCH_CARD, daily.SEARCH_FIELDS, keep=("page_id", "brand"))
     rows = [r.asDict() for r in cards.orderBy("page_id", "pos_in_pg").collect()]
     assert [r["pos_in_pg"] for r in rows] == [1, 2, 3, 4]
-    assert rows[0]["sku"] == "Rin Power & Co" and rows[0]["quantity"] == "1 kg"
+    assert rows[0]["sku"] == "Nor Power & Co" and rows[0]["quantity"] == "1 kg"
     assert rows[0]["price_text"] == "৳ 1,200" and rows[0]["discounted_price_text"] == "৳ 1,100"
-    assert rows[1]["sku"] == "Lux soap" and rows[1]["quantity"] is None and rows[1]["discounted_price_text"] is None
+    assert rows[1]["sku"] == "Vela soap" and rows[1]["quantity"] is None and rows[1]["discounted_price_text"] is None
     # nested matches are both cards, the outer one sees the inner one's fields
     assert rows[2]["sku"] == "inner" and rows[3]["sku"] == "inner"
     assert all(r["page_id"] == 1 for r in rows)
@@ -45,7 +45,7 @@ def test_flat_helpers(spark):
                   extract.card_count(H.all_texts("html", "div", "name")),
                   extract.nth(H.all_texts("html", "div", "name"), 9),
                   extract.fallback(H.tag_text("html", "h2"), F.lit("x"))).collect()[0]
-    assert tuple(r) == ("Rin Power & Co", None, 3, "bn", 4, None, "x")
+    assert tuple(r) == ("Nor Power & Co", None, 3, "bn", 4, None, "x")
 
 
 def test_positions_are_dense_and_without_global_window(spark):

@@ -6,8 +6,8 @@ from shelfwise.sources.tables import read_table
 
 
 def test_read_landed_html_files(spark, scratch):
-    for brand, name, body in [("Rin", "p1.html", '<div class="imageWrapper"><div class="name">Rin x</div></div>'),
-                              ("St. Ives", "p2.html", '<div class="imageWrapper"><div class="name">St. Ives y</div>'
+    for brand, name, body in [("Nor", "p1.html", '<div class="imageWrapper"><div class="name">Nor x</div></div>'),
+                              ("Dr. Moss", "p2.html", '<div class="imageWrapper"><div class="name">Dr. Moss y</div>'
                                                         '</div>\n<div class="imageWrapper"></div>')]:
         d = os.path.join(scratch, f"brand={brand}")
         os.makedirs(d)
@@ -15,22 +15,22 @@ def test_read_landed_html_files(spark, scratch):
             f.write(body)
     pages = landed.read_landed_html(spark, scratch)
     rows = {r.brand: r for r in pages.collect()}
-    assert set(rows) == {"Rin", "St. Ives"}
-    assert rows["Rin"].html.startswith('<div class="imageWrapper">') and rows["Rin"].captured_at is not None
-    assert rows["Rin"].page_id != rows["St. Ives"].page_id
+    assert set(rows) == {"Nor", "Dr. Moss"}
+    assert rows["Nor"].html.startswith('<div class="imageWrapper">') and rows["Nor"].captured_at is not None
+    assert rows["Nor"].page_id != rows["Dr. Moss"].page_id
     cards = daily.search_cards(pages).collect()
     assert sorted((c.brand, c.pos_in_pg, c.sku) for c in cards) == \
-        [("Rin", 1, "Rin x"), ("St. Ives", 1, "St. Ives y"), ("St. Ives", 2, None)]
+        [("Dr. Moss", 1, "Dr. Moss y"), ("Dr. Moss", 2, None), ("Nor", 1, "Nor x")]
     out = os.path.join(scratch, "landed.parquet")
     pages.write.parquet(out)
     assert landed.read_landed_parquet(spark, out).count() == 2
 
 
 def test_brand_urls(spark):
-    brands = spark.createDataFrame([("Glow & Lovely",), ("Rin",)], "brand string")
+    brands = spark.createDataFrame([("Sun & Sand",), ("Nor",)], "brand string")
     got = {r.brand: (r.url, r.url_encoded) for r in landed.brand_urls(brands, "https://shop.example/search/").collect()}
-    assert got["Rin"] == ("https://shop.example/search/Rin", "https://shop.example/search/Rin")
-    assert got["Glow & Lovely"][1] == "https://shop.example/search/Glow+%26+Lovely"
+    assert got["Nor"] == ("https://shop.example/search/Nor", "https://shop.example/search/Nor")
+    assert got["Sun & Sand"][1] == "https://shop.example/search/Sun+%26+Sand"
 
 
 def test_tables_are_read_with_pruning(spark):
