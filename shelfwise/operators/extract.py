@@ -18,6 +18,9 @@ from ..functions import html as H
 
 ColumnOrName = Column | str
 
+# Fixed value: the element whose presence shifts the page layout by one section.
+BANNER = ("div", "important-banner")
+
 
 def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -99,7 +102,7 @@ def nth(cards_array: ColumnOrName, pos: int | ColumnOrName) -> Column:
     return F.try_element_at(_col(cards_array), p)
 
 
-def layout_section(html: ColumnOrName, banner: tuple[str, str] = ("div", "important-banner"),
+def layout_section(html: ColumnOrName, banner: tuple[str, str] = BANNER,
                    with_banner: int = 3, without_banner: int = 2) -> Column:
     """Layout choice by page: section index when a banner element is present, else the default."""
     return F.when(H.has_class(html, *banner), F.lit(with_banner)).otherwise(F.lit(without_banner))

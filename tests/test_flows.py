@@ -2,7 +2,6 @@ import datetime as dt
 import glob
 import os
 
-from pyspark.sql import functions as F
 
 from shelfwise.plans import catalogue, daily
 from shelfwise.schemas import DESCRIPTIONS, HISTORY_TEXT, LANDED_PAGES, STOCK_OBSERVATIONS

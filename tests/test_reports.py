@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from shelfwise.operators import reports
 from shelfwise.plans import views as V
