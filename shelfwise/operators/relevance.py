@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
 
-# Largest brand dimension joined by broadcast nested loop for ``contains``;
-# beyond it the exact substring equi-join is used.
-MAX_BROADCAST_BRANDS = 10_000
+# Largest brand list tested row by row (broadcast nested-loop semi join): each
+# row costs one ``contains`` per brand, so beyond a few hundred brands the
+# exact substring equi-join (cost per distinct sku, independent of the brand
+# count) is cheaper.
+MAX_BROADCAST_BRANDS = 256
 
 
 def _col(c: ColumnOrName) -> Column:
