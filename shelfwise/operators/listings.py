@@ -56,7 +56,8 @@ def build_listings(cards: DataFrame, descriptions: DataFrame, observations: Data
     """Listing rows of the relevant cards: the search-page form.
 
     ``cards``: page_id, pos_in_pg, brand, sku, quantity, price_text,
-    discounted_price_text (each page tagged with its brand). The relevance
+    discounted_price_text, optionally captured_at (each page tagged with its
+    brand). The relevance
     filter runs first, on the cards, before any join. Stock is folded from the
     observations (one shuffle, skew-safe) together with the time of the last
     observation (``report_time``); descriptions are attached by position with
@@ -68,4 +69,7 @@ def build_listings(cards: DataFrame, descriptions: DataFrame, observations: Data
     out = attach_by_position(rel, stocks)
     out = attach_by_position(out, descriptions.select(*POSITION_KEYS, "description"))
     out = out.withColumn("description", extract.with_default(TX.one_line("description"), description_marker))
+    if "captured_at" in out.columns:
+        # a card with no observation at all still belongs to its page's run (stock NULL: failed)
+        out = out.withColumn("report_time", F.coalesce("report_time", "captured_at"))
     return out.select(*LISTING_COLUMNS, "page_id")

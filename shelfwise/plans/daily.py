@@ -7,9 +7,10 @@ cards. The run:
 1. extracts the cards of every page (parser, executors; native filters first),
 2. keeps the cards whose name starts with the page's brand,
 3. folds stock and attaches descriptions by position,
-4. appends the rows to the listings table (Parquet, by report date) -- the
-   written table is the run's recovery point: the summary and the CSV
-   export read it back instead of recomputing the extraction,
+4. writes the rows to the listings table (Parquet, by report date; a rerun
+   replaces its day) -- the written table is the run's recovery point: the
+   summary and the CSV export read it back instead of recomputing the
+   extraction,
 5. computes the one-row summary and writes the dated CSV export.
 
 Brand lists are inputs; nothing is collected but the one-row summary.
@@ -41,7 +42,7 @@ def search_cards(pages: DataFrame, card: tuple[str, str] = SEARCH_CARD,
                  fields: dict[str, tuple[str, str]] | None = None) -> DataFrame:
     """Cards of the brand search pages (pages without a brand are skipped before parsing)."""
     tagged = pages.filter(F.col("brand").isNotNull())
-    return extract.parse_cards(tagged, card, fields or SEARCH_FIELDS, keep=("page_id", "brand"))
+    return extract.parse_cards(tagged, card, fields or SEARCH_FIELDS, keep=("page_id", "brand", "captured_at"))
 
 
 def _join(folder: str, name: str) -> str:
@@ -55,7 +56,7 @@ def daily_run(spark: SparkSession, pages: DataFrame, descriptions: DataFrame, ob
     """Run one day; returns the run summary (read from the written listings table)."""
     rows = listings.build_listings(search_cards(pages), descriptions, observations, description_marker)
     table = _join(out_dir, "listings")
-    sinks.append_listings(rows, table)
+    sinks.write_listings(rows, table)
     written = sinks.read_listings(spark, table, day)
     sinks.write_dated_csv(written.select(*listings.LISTING_COLUMNS), _join(out_dir, "exports"), csv_prefix, day)
     n_brands = brands if isinstance(brands, DataFrame) else len(brands)

@@ -61,9 +61,15 @@ def with_report_date(listings: DataFrame, ts: str = "report_time") -> DataFrame:
     return listings.withColumn("report_date", F.to_date(F.col(ts)))
 
 
-def append_listings(listings: DataFrame, path: str) -> None:
-    """Append to the listings table, partitioned by report date (never rewritten in place)."""
-    with_report_date(listings).write.mode("append").partitionBy("report_date").parquet(path)
+def write_listings(listings: DataFrame, path: str) -> None:
+    """Write a run's rows to the listings table, partitioned by report date.
+
+    Only the dates present in ``listings`` are replaced (dynamic partition
+    overwrite), so a rerun of a day replaces that day instead of adding its
+    rows twice; other days are untouched.
+    """
+    with_report_date(listings).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("report_date").parquet(path)
 
 
 def read_listings(spark, path: str, day: dt.date | str | None = None) -> DataFrame:

@@ -27,7 +27,7 @@ def landed_stream(spark: SparkSession, landed_dir: str, max_files: int = 1000) -
 def card_stream(spark: SparkSession, landed_dir: str, card: tuple[str, str] = SEARCH_CARD,
                 fields: dict[str, tuple[str, str]] | None = None) -> DataFrame:
     pages = landed_stream(spark, landed_dir)
-    return extract.parse_cards(pages, card, fields or SEARCH_FIELDS, keep=("page_id", "brand"))
+    return extract.parse_cards(pages, card, fields or SEARCH_FIELDS, keep=("page_id", "brand", "captured_at"))
 
 
 def start_card_ingest(spark: SparkSession, landed_dir: str, out_dir: str, name: str = "card_ingest",

@@ -20,7 +20,8 @@ T0 = dt.datetime(2024, 3, 1, 9, 0, 0)
 PAGES = [
     (1, "u1", "Nor", None, T0, "<section>" + card("Nor Power 1kg", "1 kg", "৳ 120", "৳ 100")
      + card("Wave Nor", "1 kg", "৳ 99") + card("nor bar", "130 g", "৳ 1,200") + "</section>"),
-    (2, "u2", "Vela", None, T0, "<section>" + card("Vela soap", "100 g", "৳ 45") + "</section>"),
+    (2, "u2", "Vela", None, T0, "<section>" + card("Vela soap", "100 g", "৳ 45")
+     + card("Vela gel", "50 g", "৳ 30") + "</section>"),   # no observation at all: failed, page time
     (3, "u3", None, "Dhaka", T0, "<div class='product'><div class='name'>Vela soap</div></div>"),
 ]
 OBS = [
@@ -35,17 +36,19 @@ DESC = [(1, 1, "Good\nsoap"), (1, 3, ""), (1, 2, "other")]
 
 def test_daily_run_end_to_end(spark, scratch):
     pages = spark.createDataFrame(PAGES, LANDED_PAGES)
-    summary = daily.daily_run(spark, pages, spark.createDataFrame(DESC, DESCRIPTIONS),
-                              spark.createDataFrame(OBS, STOCK_OBSERVATIONS), ["Nor", "Vela", "Opal"],
-                              scratch, dt.date(2024, 3, 1)).collect()
+    for _ in range(2):                                     # a rerun replaces the day, no double count
+        summary = daily.daily_run(spark, pages, spark.createDataFrame(DESC, DESCRIPTIONS),
+                                  spark.createDataFrame(OBS, STOCK_OBSERVATIONS), ["Nor", "Vela", "Opal"],
+                                  scratch, dt.date(2024, 3, 1)).collect()
     s = summary[0].asDict()
     assert (s["skus"], s["skus_out_of_stock"], s["skus_failed_stock"], s["brands_failed_stock"],
-            s["skus_not_described"]) == (3, 1, 1, 1, 1)
-    assert str(s["stocking_start_time"]) == "2024-03-01 09:00:15"
-    assert s["time_to_scrape_stocks"] == "00:01:15"
-    assert s["longest_stock_to_scrape"] == "Nor" and s["longest_time_to_scrape_stock"] == "00:00:10"
+            s["skus_not_described"]) == (4, 1, 2, 1, 1)
+    assert str(s["stocking_start_time"]) == "2024-03-01 09:00:00"
+    assert s["time_to_scrape_stocks"] == "00:01:30"
+    assert s["longest_stock_to_scrape"] == "Vela" and s["longest_time_to_scrape_stock"] == "00:01:30"
     rows = {r.sku: r for r in sinks.read_listings(spark, os.path.join(scratch, "listings")).collect()}
-    assert set(rows) == {"Nor Power 1kg", "nor bar", "Vela soap"}
+    assert set(rows) == {"Nor Power 1kg", "nor bar", "Vela soap", "Vela gel"}
+    assert rows["Vela gel"].stock is None and str(rows["Vela gel"].report_time) == "2024-03-01 09:00:00"
     assert rows["Nor Power 1kg"].stock == 12 and rows["Nor Power 1kg"].price == 120.0
     assert rows["Nor Power 1kg"].price_if_discounted == 100.0 and rows["Nor Power 1kg"].description == "Good soap"
     assert rows["nor bar"].stock == 0 and rows["nor bar"].price == 1200.0 and rows["nor bar"].pos_in_pg == 3
@@ -100,7 +103,7 @@ def test_stream_ingest_equals_batch(spark, scratch):
     q.awaitTermination(180)
     streamed = spark.read.parquet(out)
     batch = daily.search_cards(spark.read.schema(LANDED_PAGES).parquet(landed))
-    assert streamed.count() == 4
+    assert streamed.count() == 5
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
 
 
