@@ -118,3 +118,16 @@ def test_history_union_keeps_identical_rows_and_types(spark):
     assert rows[0] == rows[1] == ("Vela 100g", "4", "Dhaka", "02-Mar-24, 01:05 PM")
     assert len(rows) == 3 and out.count() == new.count() + old.count()
     assert tuple(H.null_to_empty(out).collect()[2]) == ("x", "n/a", "", "")
+
+
+def test_command_line_run(spark, scratch):
+    from shelfwise.__main__ import main
+    p = {k: os.path.join(scratch, k) for k in ("pages", "desc", "obs", "out")}
+    spark.createDataFrame(PAGES, LANDED_PAGES).write.parquet(p["pages"])
+    spark.createDataFrame(DESC, DESCRIPTIONS).write.parquet(p["desc"])
+    spark.createDataFrame(OBS, STOCK_OBSERVATIONS).write.parquet(p["obs"])
+    rows = main(["--pages", p["pages"], "--descriptions", p["desc"], "--observations", p["obs"],
+                 "--brands", "Nor,Vela,Opal", "--out", p["out"], "--day", "2024-03-01", "--marker", "ERROR"])
+    assert rows[0].skus == 4 and rows[0].skus_failed_stock == 2
+    listed = {r.sku: r.description for r in sinks.read_listings(spark, p["out"] + "/listings").collect()}
+    assert listed["Vela soap"] == "ERROR" and listed["Nor Power 1kg"] == "Good soap"
