@@ -131,3 +131,17 @@ def test_command_line_run(spark, scratch):
     assert rows[0].skus == 4 and rows[0].skus_failed_stock == 2
     listed = {r.sku: r.description for r in sinks.read_listings(spark, p["out"] + "/listings").collect()}
     assert listed["Vela soap"] == "ERROR" and listed["Nor Power 1kg"] == "Good soap"
+
+
+def test_history_sheet_export_reads_as_text(spark, scratch):
+    path = os.path.join(scratch, "sheet.csv")
+    with open(path, "w") as f:
+        f.write('sku,stock,location,report_time\n"Vela 100g",12,"Dhaka, North","02-Mar-24, 01:05 PM"\n'
+                'x,,,""\n')
+    text = H.read_history_csv(spark, path)
+    assert [f.dataType.simpleString() for f in text.schema.fields] == ["string"] * 4
+    rows = [tuple(r) for r in text.collect()]
+    assert rows[0] == ("Vela 100g", "12", "Dhaka, North", "02-Mar-24, 01:05 PM")
+    typed = H.typed_history(text).collect()
+    assert typed[0].stock_n == 12 and str(typed[0].report_ts) == "2024-03-02 13:05:00"
+    assert typed[1].stock_n is None and typed[1].report_ts is None
