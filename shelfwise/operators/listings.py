@@ -36,8 +36,9 @@ def append_by_name(*frames: DataFrame) -> DataFrame:
 def stride_chunks(df: DataFrame, ord_col: str, n: int) -> DataFrame:
     """Stride split of an ordered list into ``n`` chunks: chunk = ord mod n, position = ord div n."""
     o = F.col(ord_col)
-    return df.withColumn("chunk", F.pmod(o, F.lit(n)).cast("int")) \
-        .withColumn("pos_in_chunk", F.floor(o / F.lit(n)).cast("bigint"))
+    # exact integer floor division (consistent with pmod for any sign)
+    pos = F.expr(f"(`{ord_col}` - pmod(`{ord_col}`, {int(n)})) div {int(n)}")
+    return df.withColumn("chunk", F.pmod(o, F.lit(n)).cast("int")).withColumn("pos_in_chunk", pos.cast("bigint"))
 
 
 def pick(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -593,7 +593,7 @@ select brand, '{SEARCH_BASE}' || brand as url, '{SEARCH_BASE}' || url_encode(bra
 from (select distinct p_brand as brand from part)""",
     "stride_chunks": f"""
 select p_partkey, p_name, cast(p_partkey % {STRIDE} as integer) as chunk,
-       cast(floor(p_partkey / {STRIDE}) as bigint) as pos_in_chunk from part""",
+       cast(p_partkey // {STRIDE} as bigint) as pos_in_chunk from part""",
     "preview_top5": _LV + "select * from lv order by doc_id limit 5",
     "brand_rollup": _LV + """
 select brand, count(sku) as skus, count(case when stock = 0 then sku end) as skus_out_of_stock,
