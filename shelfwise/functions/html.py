@@ -27,7 +27,7 @@ VOID_TAGS = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN_TEXT_TAGS = frozenset(["script", "style", "template"])
 
-# The five named entities decoded by the regex form.
+# The five basic entities decoded by the regex form.
 BASIC_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
 
 

@@ -42,7 +42,8 @@ def search_cards(pages: DataFrame, card: tuple[str, str] = SEARCH_CARD,
                  fields: dict[str, tuple[str, str]] | None = None) -> DataFrame:
     """Cards of the brand search pages (pages without a brand are skipped before parsing)."""
     tagged = pages.filter(F.col("brand").isNotNull())
-    return extract.parse_cards(tagged, card, fields or SEARCH_FIELDS, keep=("page_id", "brand", "captured_at"))
+    keep = ["page_id", "brand"] + (["captured_at"] if "captured_at" in pages.columns else [])
+    return extract.parse_cards(tagged, card, fields or SEARCH_FIELDS, keep=keep)
 
 
 def _join(folder: str, name: str) -> str:

@@ -14,8 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import extract
-from ..plans.daily import SEARCH_CARD, SEARCH_FIELDS
+from ..plans.daily import SEARCH_CARD, search_cards
 from ..schemas import LANDED_PAGES
 from ..session import scratch_path
 
@@ -26,8 +25,7 @@ def landed_stream(spark: SparkSession, landed_dir: str, max_files: int = 1000) -
 
 def card_stream(spark: SparkSession, landed_dir: str, card: tuple[str, str] = SEARCH_CARD,
                 fields: dict[str, tuple[str, str]] | None = None) -> DataFrame:
-    pages = landed_stream(spark, landed_dir)
-    return extract.parse_cards(pages, card, fields or SEARCH_FIELDS, keep=("page_id", "brand", "captured_at"))
+    return search_cards(landed_stream(spark, landed_dir), card, fields)
 
 
 def start_card_ingest(spark: SparkSession, landed_dir: str, out_dir: str, name: str = "card_ingest",
