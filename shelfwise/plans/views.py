@@ -60,7 +60,8 @@ def listing_view(spark: SparkSession, base: str) -> DataFrame:
 
 
 def listing_facts_view(spark: SparkSession, base: str) -> DataFrame:
-    """``reports.listing_facts(listing_view(...))`` without moving any text through the joins.
+    """``reports.listing_facts(listing_view(...))`` (up to sub-second report times, which
+    the reports drop) without moving any text through the joins.
 
     Presence and length of the text are computed in the documents scan task;
     only flags and numbers are shuffled.
@@ -71,8 +72,9 @@ def listing_facts_view(spark: SparkSession, base: str) -> DataFrame:
                 .when(F.col("desc_kind") == "missing", F.lit(None).cast("bigint"))
                 .when(F.col("desc_kind") == "empty", F.lit(0).cast("bigint"))
                 .otherwise(F.col("text_len")))
+    # report times stay raw: the reports truncate after aggregating
     return j.select("brand", "sku_present", F.col("quality").cast("int").alias("stock"),
-                    desc_len.alias("desc_len"), TF.to_seconds_ntz("ts").alias("report_time"))
+                    desc_len.alias("desc_len"), F.col("ts").alias("report_time"))
 
 
 def nav_cards(spark: SparkSession, base: str, keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
