@@ -6,7 +6,7 @@ the JVM first; then each query's best of ``BENCH_RUNS`` runs is kept.
 Prints one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_QUERIES (comma-separated subset), BENCH_RUNS (default 2).
+BENCH_QUERIES (comma-separated subset), BENCH_RUNS (default 3).
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from shelfwise.plans.catalog import QUERIES  # noqa: E402
 def main() -> None:
     base = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or list(QUERIES)
     spark = local_session(cpus, shuffle_partitions=max(cpus, 8), app="shelfwise-bench")
     for n in names:                                    # warm-up pass, not timed
