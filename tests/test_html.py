@@ -65,3 +65,24 @@ def test_native_filter_sits_below_python_stage(spark):
     lines = plan.splitlines()
     mip = next(i for i, line in enumerate(lines) if "MapInPandas" in line or "MapInArrow" in line)
     assert any("Filter" in line and "isnotnull(brand" in line for line in lines[mip:])
+
+
+def test_regex_and_parser_agree_on_random_flat_markup(spark):
+    import random
+    rnd = random.Random(21)
+    tokens = ["card", "cardx", "xcard", "big", "card-2", "a"]
+    words = ["soap", "1 kg", "x&amp;y", "৳ 45", "", "plain text"]
+
+    def element():
+        cls = " ".join(rnd.sample(tokens, rnd.randint(0, 3)))
+        q = rnd.choice(['"', "'"])
+        extra = rnd.choice(["", ' id="k"', " data-x='1'"])
+        tag = rnd.choice(["div", "div", "span"])
+        attrs = f"{extra} class={q}{cls}{q}" if rnd.random() < 0.9 else extra
+        return f"<{tag}{attrs}>{rnd.choice(words)}</{tag}>"
+
+    pages = [(i, "<body>" + "".join(element() for _ in range(rnd.randint(0, 8))) + "</body>") for i in range(300)]
+    df = spark.createDataFrame(pages, "page_id long, html string")
+    a = sorted(map(tuple, extract.parse_cards(df, ("div", "card")).collect()))
+    b = sorted(map(tuple, extract.class_cards(df, "div", "card").collect()))
+    assert a == b and len(a) > 100
