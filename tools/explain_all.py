@@ -20,6 +20,53 @@ from shelfwise.session import local_session  # noqa: E402
 
 KEYS = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
 
+LISTING = ("Listing view: documents, labels and events joined on the document id; at scale each is "
+           "shuffled once by doc_id and both joins share that partitioning (the planner broadcasts "
+           "the small sides of the test tables after its size check). ")
+ROW_LEVEL = "Row-level: scan, project, no exchange; the work grows linearly with the table and splits with it."
+NOTES = {
+    "run_summary": LISTING + "Narrow form: text presence and length are computed in the documents scan "
+                   "task, so no text crosses a shuffle. Partial aggregate per brand, one row per brand and "
+                   "task shuffled, a single global aggregate over those rows with the slowest brand as "
+                   "min_by: no second scan, no cross join. A hot brand costs nothing extra.",
+    "stock_counts": LISTING + "Partial aggregates only.",
+    "undescribed_count": LISTING + "Partial aggregates only.",
+    "brands_missing": LISTING + "count(distinct) is a two-level aggregate (partial dedupe per task).",
+    "brand_rollup": LISTING + "Partial aggregate per brand.",
+    "summary_headings": "As run_summary, renamed.",
+    "run_summary_sql": "As run_summary, written in Spark SQL over a DataFrame argument.",
+    "slowest_brand": LISTING + "Partial aggregate per brand, then a top-1 (TakeOrderedAndProject).",
+    "slowest_brand_daily": "Two mergeable aggregates (per day and brand, then min_by per day); no window, "
+                           "so a day with millions of brands is never held by one task.",
+    "time_bounds": "Global min/max with partial aggregation.",
+    "brand_span": "Partial aggregate per key.",
+    "elapsed_minutes": "Partial aggregate per key.",
+    "stock_from_observations": "One full shuffle on (key, step bucket): a bucket holds at most 65,536 steps, "
+                               "so a hot key spreads over many tasks. Window + aggregate on that partitioning "
+                               "fold each bucket into a fixed-size summary; summaries of 1,024 contiguous "
+                               "buckets merge exactly, then once per key (small shuffles). JVM only.",
+    "brand_prefix_join": "Candidate prefixes of the brand lengths (scalar subqueries) equi-joined to the "
+                         "lower-cased brands: a hash join (broadcast when the brand table is small, sort-merge "
+                         "otherwise; AQE splits a hot brand), never a nested loop.",
+    "portfolio_semi_join": "Brand list counted first; up to 256 brands a broadcast nested-loop semi join "
+                           "(no shuffle of the rows), beyond that an equi semi join on the substrings of the "
+                           "distinct skus.",
+    "cards_by_class": "Parser in mapInPandas, one page at a time, Arrow batches capped in bytes; pages without "
+                      "the class token are filtered out JVM-side first. No exchange.",
+    "page_position": "Window per page: a partition holds one page's cards (bounded by the page).",
+    "attach_by_position": "Equi-join on (page_id, pos_in_pg), unique keys on both sides.",
+    "replenish_list": LISTING + "The stock filter turns the labels join inner and is pushed to the labels "
+                      "scan; runtime bloom filters can prune documents before their shuffle.",
+    "description_gaps": LISTING,
+    "desc_default": LISTING,
+    "stock_known": LISTING + "The stock filter is pushed to the labels scan.",
+    "row_count": LISTING,
+    "preview_top5": LISTING + "Top-5 by doc_id: per-task top-k then a merge (TakeOrderedAndProject).",
+    "brand_url": "Distinct brands: partial dedupe per task, small shuffle.",
+    "row_label": "Left join documents to labels on doc_id.",
+    "null_to_empty": "Left join documents to labels on doc_id.",
+}
+
 
 def tree(df) -> str:
     text = df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
@@ -35,7 +82,7 @@ def main() -> None:
     print("Generated by `tools/explain_all.py`. Physical plans as planned (AQE may still "
           "coalesce partitions or switch joins at run time); 'at scale' = broadcast joins disabled.\n")
     for name, q in QUERIES.items():
-        print(f"## {name}\n\n```")
+        print(f"## {name}\n\n{NOTES.get(name, ROW_LEVEL)}\n\n```")
         print(tree(q(spark, base)))
         for k in KEYS:
             spark.conf.set(k, "-1")
