@@ -10,12 +10,17 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import html as H
 
+# The page parser runs inside Python tasks: ship its module by value with the
+# task, so executors need not have this package installed.
+cloudpickle.register_pickle_by_value(H)
+
 ColumnOrName = Column | str
 
 # Fixed value: the element whose presence shifts the page layout by one section.
