@@ -86,3 +86,10 @@ def test_regex_and_parser_agree_on_random_flat_markup(spark):
     a = sorted(map(tuple, extract.parse_cards(df, ("div", "card")).collect()))
     b = sorted(map(tuple, extract.class_cards(df, "div", "card").collect()))
     assert a == b and len(a) > 100
+
+
+def test_parser_batch_without_cards(spark):
+    pages = spark.createDataFrame([(1, "Nor", "<p>imageWrapper mentioned only</p>"), (2, "Nor", None),
+                                   (3, "Nor", "<script>'<div class=\"imageWrapper\">'</script>")],
+                                  "page_id long, brand string, html string")
+    assert daily.search_cards(pages).count() == 0
