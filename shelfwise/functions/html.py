@@ -82,13 +82,14 @@ def attr_value(html: ColumnOrName, tag: str, attr: str) -> Column:
 class CardCollector(HTMLParser):
     """Collects ``card`` elements of one page and, per card, the first text of each field.
 
-    ``card`` and each field are ``(tag, class_token)``. Matching cards may nest;
+    ``card`` and each field are ``(tag, class_token)``; a token of ``None``
+    matches every element of the tag. Matching cards may nest;
     every match is a card (document order of the opening tags). End tags close
     the innermost open element of that name, as the tree builders of common
     parsers do; void elements are never opened.
     """
 
-    def __init__(self, card: tuple[str, str], fields: dict[str, tuple[str, str]]):
+    def __init__(self, card: tuple[str, str | None], fields: dict[str, tuple[str, str | None]]):
         super().__init__(convert_charrefs=True)
         self.card = card
         self.fields = fields
@@ -115,11 +116,11 @@ class CardCollector(HTMLParser):
         for ci in self._open_cards:
             rec = self.cards[ci]
             for name, (ftag, ftoken) in self.fields.items():
-                if name not in rec["_seen"] and tag == ftag and ftoken in classes:
+                if name not in rec["_seen"] and tag == ftag and (ftoken is None or ftoken in classes):
                     rec["_seen"].add(name)
                     rec[name] = []
                     opened_fields.append((ci, name))
-        if tag == self.card[0] and self.card[1] in classes:
+        if tag == self.card[0] and (self.card[1] is None or self.card[1] in classes):
             opened_card = len(self.cards)
             self.cards.append({"_text": [], "_seen": set()})
             self._open_cards.append(opened_card)

@@ -60,12 +60,13 @@ def class_cards(pages: DataFrame, tag: str, token: str, html: str = "html",
     return out.withColumn("card_text", H.decode_basic("card_text")) if decode else out
 
 
-def parse_cards(pages: DataFrame, card: tuple[str, str],
-                fields: dict[str, tuple[str, str]] | None = None, html: str = "html",
+def parse_cards(pages: DataFrame, card: tuple[str, str | None],
+                fields: dict[str, tuple[str, str | None]] | None = None, html: str = "html",
                 keep: Iterable[str] = ("page_id",)) -> DataFrame:
     """Cards of nested markup with a real parser (``mapInPandas``, one page at a time).
 
-    Output: ``keep`` columns, ``pos_in_pg`` (BIGINT, 1-based), ``card_text``
+    ``card`` and fields are ``(tag, class token)``; a token of ``None`` selects
+    by tag alone. Output: ``keep`` columns, ``pos_in_pg`` (BIGINT, 1-based), ``card_text``
     and one STRING column per field (NULL when the card has no such
     descendant). Put native filters on ``pages`` before calling: Catalyst does
     not push predicates through a Python stage. Pages whose HTML does not even
@@ -92,7 +93,7 @@ def parse_cards(pages: DataFrame, card: tuple[str, str],
                     recs.append(rec)
             yield pd.DataFrame.from_records(recs, columns=keep + ["pos_in_pg", "card_text"] + list(fields))
 
-    maybe = F.col(html).contains(F.lit(card[1]))
+    maybe = F.col(html).contains(F.lit(card[1] if card[1] is not None else "<" + card[0]))
     return pages.filter(maybe).select(*keep, F.col(html).alias("page_html")).mapInPandas(run, out_schema)
 
 

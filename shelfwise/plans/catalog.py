@@ -91,6 +91,10 @@ def q_cards_by_class(spark, base):
     return extract.parse_cards(_pages(spark, base), ("div", "ad"))
 
 
+def q_cards_by_tag(spark, base):
+    return extract.parse_cards(_pages(spark, base), ("li", None), {"link_text": ("a", None)})
+
+
 def q_cards_by_class_regex(spark, base):
     return extract.class_cards(_pages(spark, base), "div", "ad")
 
@@ -302,6 +306,7 @@ QUERIES: dict[str, Query] = {
     "cards_explode": q_cards_explode,
     "cards_by_class": q_cards_by_class,
     "cards_by_class_regex": q_cards_by_class_regex,
+    "cards_by_tag": q_cards_by_tag,
     "first_text_by_class": q_first_text_by_class,
     "cards_per_page": q_cards_per_page,
     "page_position": q_page_position,
@@ -495,6 +500,11 @@ where len(a) > 0""",
 select page_id, cast(generate_subscripts(a, 1) as bigint) as pos_in_pg, unnest(a) as card_text
 from (select page_id, regexp_extract_all(html, '<div class="ad">([^<]*)</div>', 1) as a from pages)
 where len(a) > 0""",
+    "cards_by_tag": f"""
+select page_id, cast(generate_subscripts(t, 1) as bigint) as pos_in_pg, unnest(t) as card_text,
+       unnest(t) as link_text
+from (select page_id, regexp_extract_all(html, {_NAV}, 2) as t from pages)
+where len(t) > 0""",
     "first_text_by_class": """
 select page_id,
        case when regexp_matches(html, '<div class="ad">') then regexp_extract(html, '<div class="ad">([^<]*)', 1) end
