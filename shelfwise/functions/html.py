@@ -36,10 +36,14 @@ def _col(c: ColumnOrName) -> Column:
 
 
 def class_pattern(tag: str, token: str) -> str:
-    """Regex for the opening tag of ``<tag class="... token ...">`` (token-aware)."""
+    """Regex for the opening tag of ``<tag class="... token ...">`` (token-aware).
+
+    Tag and attribute names match in any case, as in HTML; the class token is
+    case-sensitive.
+    """
     t = re.escape(tag)
     k = re.escape(token)
-    return (rf"<{t}\b[^>]*?\bclass\s*=\s*(?:\"(?:[^\"]*\s)?{k}(?:\s[^\"]*)?\""
+    return (rf"<(?i:{t})\b[^>]*?\b(?i:class)\s*=\s*(?:\"(?:[^\"]*\s)?{k}(?:\s[^\"]*)?\""
             rf"|'(?:[^']*\s)?{k}(?:\s[^']*)?')[^>]*>")
 
 
@@ -69,13 +73,13 @@ def all_texts(html: ColumnOrName, tag: str, token: str) -> Column:
 
 def tag_text(html: ColumnOrName, tag: str) -> Column:
     """Text of the first ``<tag>`` element (flat), NULL when absent."""
-    p = rf"<{re.escape(tag)}\b[^>]*>([^<]*)"
+    p = rf"<(?i:{re.escape(tag)})\b[^>]*>([^<]*)"
     return F.when(_col(html).rlike(p), decode_basic(F.regexp_extract(_col(html), p, 1)))
 
 
 def attr_value(html: ColumnOrName, tag: str, attr: str) -> Column:
     """Value of ``attr`` on the first ``<tag>``, NULL when absent."""
-    p = rf"<{re.escape(tag)}\b[^>]*?\b{re.escape(attr)}\s*=\s*\"([^\"]*)\""
+    p = rf"<(?i:{re.escape(tag)})\b[^>]*?\b(?i:{re.escape(attr)})\s*=\s*\"([^\"]*)\""
     return F.when(_col(html).rlike(p), F.regexp_extract(_col(html), p, 1))
 
 

@@ -70,15 +70,16 @@ def test_native_filter_sits_below_python_stage(spark):
 def test_regex_and_parser_agree_on_random_flat_markup(spark):
     import random
     rnd = random.Random(21)
-    tokens = ["card", "cardx", "xcard", "big", "card-2", "a"]
+    tokens = ["card", "cardx", "xcard", "big", "card-2", "a", "Card"]
     words = ["soap", "1 kg", "x&amp;y", "৳ 45", "", "plain text"]
 
     def element():
         cls = " ".join(rnd.sample(tokens, rnd.randint(0, 3)))
         q = rnd.choice(['"', "'"])
         extra = rnd.choice(["", ' id="k"', " data-x='1'"])
-        tag = rnd.choice(["div", "div", "span"])
-        attrs = f"{extra} class={q}{cls}{q}" if rnd.random() < 0.9 else extra
+        tag = rnd.choice(["div", "div", "DIV", "span"])
+        name = rnd.choice(["class", "class", "CLASS"])
+        attrs = f"{extra} {name}={q}{cls}{q}" if rnd.random() < 0.9 else extra
         return f"<{tag}{attrs}>{rnd.choice(words)}</{tag}>"
 
     pages = [(i, "<body>" + "".join(element() for _ in range(rnd.randint(0, 8))) + "</body>") for i in range(300)]
