@@ -145,3 +145,16 @@ def test_history_sheet_export_reads_as_text(spark, scratch):
     typed = H.typed_history(text).collect()
     assert typed[0].stock_n == 12 and str(typed[0].report_ts) == "2024-03-02 13:05:00"
     assert typed[1].stock_n is None and typed[1].report_ts is None
+
+
+def test_outputs_follow_declared_schemas(spark, scratch):
+    from shelfwise.schemas import LISTINGS, RUN_SUMMARY
+
+    def shape(schema):
+        return [(f.name, f.dataType.simpleString()) for f in schema.fields]
+
+    pages = spark.createDataFrame(PAGES, LANDED_PAGES)
+    summary = daily.daily_run(spark, pages, spark.createDataFrame(DESC, DESCRIPTIONS),
+                              spark.createDataFrame(OBS, STOCK_OBSERVATIONS), ["Nor"], scratch, "2024-03-01")
+    assert shape(summary.schema) == shape(RUN_SUMMARY)
+    assert shape(sinks.read_listings(spark, os.path.join(scratch, "listings")).schema) == shape(LISTINGS)
