@@ -31,7 +31,9 @@ NOTES = {
                    "min_by: no second scan, no cross join. A hot brand costs nothing extra.",
     "stock_counts": LISTING + "Partial aggregates only.",
     "undescribed_count": LISTING + "Partial aggregates only.",
-    "brands_missing": LISTING + "count(distinct) is a two-level aggregate (partial dedupe per task).",
+    "brands_missing": "A distinct count over a documents column only: Catalyst removes the view's outer joins, "
+                      "so this is one scan of documents.source and a two-level aggregate (partial dedupe per "
+                      "task).",
     "brand_rollup": LISTING + "Partial aggregate per brand.",
     "summary_headings": "As run_summary, renamed.",
     "run_summary_sql": "As run_summary, written in Spark SQL over a DataFrame argument.",
