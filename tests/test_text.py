@@ -113,3 +113,30 @@ def test_time_helpers_ignore_session_zone(spark):
         assert str(r[0]) == "2024-03-10 02:30:15" and str(r[1]) == "2024-03-10 02:30:15" and r[2] == 3600
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_spans_match_python_datetime_on_random_times(spark):
+    import datetime as dt
+    import random
+    rnd = random.Random(5)
+    lo = dt.datetime(1990, 1, 1).timestamp()
+    hi = dt.datetime(2040, 12, 31).timestamp()
+
+    def rand_ts():
+        return dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=rnd.randrange(int(lo * 1e6), int(hi * 1e6)))
+
+    pairs = [(i, a, a + dt.timedelta(microseconds=rnd.randrange(0, 40 * 86400 * 10**6)))
+             for i, a in ((i, rand_ts()) for i in range(2000))]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame(pairs, "i int, a timestamp_ntz, b timestamp_ntz")
+        got = {r.i: (r.s, r.t, r.ta) for r in df.select(
+            "i", TF.span_seconds("a", "b").alias("s"), TF.span_text(TF.span_seconds("a", "b")).alias("t"),
+            TF.to_seconds_ntz("a").alias("ta")).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    for i, a, b in pairs:
+        s = int((b.replace(microsecond=0) - a.replace(microsecond=0)).total_seconds())
+        m = s % 86400
+        assert got[i] == (s, f"{m // 3600:02d}:{m % 3600 // 60:02d}:{m % 60:02d}", a.replace(microsecond=0)), (a, b)
