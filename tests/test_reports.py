@@ -101,3 +101,59 @@ def test_summary_plan_has_no_join(spark):
         .optimizedPlan().toString()
     # only the view's two left joins; the report itself adds none (no cross join of its halves)
     assert plan.count("Join ") == 2 and "Cross" not in plan and plan.count("LeftOuter") == 2
+
+
+def brute_summary(rows, n_brands):
+    def trunc(t):
+        return None if t is None else t.replace(microsecond=0)
+
+    def text(s):
+        m = s % 86400
+        return f"{m // 3600:02d}:{m % 3600 // 60:02d}:{m % 60:02d}"
+
+    if not rows:
+        return None
+    have = [r for r in rows if r[0] is not None]
+    times = [trunc(r[4]) for r in rows if r[4] is not None]
+    per = {}
+    for r in rows:
+        per.setdefault(r[1], []).append(trunc(r[4]))
+    ranked = []
+    for b, ts in per.items():
+        ts = [t for t in ts if t is not None]
+        span = int((max(ts) - min(ts)).total_seconds()) if ts else None
+        ranked.append(((span is None, -(span % 86400) if span is not None else 0, b is None, b or ""), b, span))
+    _, top_b, top_s = min(ranked)
+    return {
+        "skus": len(have), "skus_out_of_stock": sum(1 for r in have if r[2] == 0),
+        "skus_failed_stock": sum(1 for r in have if r[2] is None),
+        "brands_failed_stock": n_brands - len({r[1] for r in rows if r[1] is not None}),
+        "skus_not_described": sum(1 for r in have if r[3] == ""),
+        "stocking_start_time": min(times) if times else None,
+        "time_to_scrape_stocks": text(int((max(times) - min(times)).total_seconds())) if times else None,
+        "longest_stock_to_scrape": top_b,
+        "longest_time_to_scrape_stock": text(top_s) if top_s is not None else None,
+    }
+
+
+def test_run_summary_matches_brute_force_on_random_listings(spark):
+    import random
+    rnd = random.Random(13)
+    base_t = dt.datetime(2024, 5, 1, 8, 0, 0)
+    for trial in range(12):
+        n = rnd.choice([0, 1, 3, 40])
+        rows = []
+        for _ in range(n):
+            t = None if rnd.random() < 0.15 else base_t + dt.timedelta(
+                seconds=rnd.choice([0, 60, 3600, 86400, 90000, rnd.randrange(0, 200000)]),
+                microseconds=rnd.randrange(0, 10**6))
+            rows.append((rnd.choice(["a", "b", None]), rnd.choice(["Xa", "Xb", "Xc", None]),
+                         rnd.choice([0, 5, None]), rnd.choice(["", None, "ERROR", "text"]), t))
+        got = reports.run_summary(spark.createDataFrame(rows, SCHEMA), 4).collect()
+        want = brute_summary(rows, 4)
+        if want is None:
+            assert got == []
+            continue
+        g = got[0].asDict()
+        g.pop("platform")
+        assert g == want, (trial, rows)
