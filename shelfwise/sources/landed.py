@@ -40,3 +40,22 @@ def read_landed_html(spark: SparkSession, root: str) -> DataFrame:
                       F.lit(None).cast(T.StringType()).alias("location"),
                       F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("captured_at"),
                       F.col("value").alias("html"))
+
+
+POSITION_KEYS = ("page_id", "pos_in_pg")
+
+
+def save_position_table(df: DataFrame, table: str, path: str, buckets: int,
+                        keys: tuple[str, ...] = POSITION_KEYS, mode: str = "overwrite") -> None:
+    """Land a table keyed by page position (descriptions, say) bucketed by that key.
+
+    Written to ``path`` (shared storage) and registered as ``table``. The
+    daily run's attach join then reads it already partitioned by the join key:
+    its rows, description text included, are never shuffled. Use as many
+    buckets as the shuffle partitions of the join (or more).
+    """
+    df.write.mode(mode).bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
+
+
+def read_position_table(spark: SparkSession, table: str) -> DataFrame:
+    return spark.table(table)

@@ -6,6 +6,7 @@ import os
 from shelfwise.plans import catalogue, daily
 from shelfwise.schemas import DESCRIPTIONS, HISTORY_TEXT, LANDED_PAGES, STOCK_OBSERVATIONS
 from shelfwise.sources import history as H
+from shelfwise.sources import landed
 from shelfwise.sources import sinks
 from shelfwise.streaming import ingest
 
@@ -158,3 +159,31 @@ def test_outputs_follow_declared_schemas(spark, scratch):
                               spark.createDataFrame(OBS, STOCK_OBSERVATIONS), ["Nor"], scratch, "2024-03-01")
     assert shape(summary.schema) == shape(RUN_SUMMARY)
     assert shape(sinks.read_listings(spark, os.path.join(scratch, "listings")).schema) == shape(LISTINGS)
+
+
+def test_bucketed_descriptions_are_not_shuffled(spark, scratch):
+    from shelfwise.operators import listings
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    landed.save_position_table(spark.createDataFrame(DESC, DESCRIPTIONS), "landed_descriptions_t",
+                               os.path.join(scratch, "descriptions"), 8)
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        rows = listings.build_listings(daily.search_cards(spark.createDataFrame(PAGES, LANDED_PAGES)),
+                                       landed.read_position_table(spark, "landed_descriptions_t"),
+                                       spark.createDataFrame(OBS, STOCK_OBSERVATIONS))
+        assert rows.count() == 4
+        lines = rows._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
+    scan = next(i for i, line in enumerate(lines) if "landed_descriptions_t" in line)
+    depth = len(lines[scan]) - len(lines[scan].lstrip(" :+-"))
+    for line in reversed(lines[:scan]):                      # ancestors up to the join
+        d = len(line) - len(line.lstrip(" :+-"))
+        if d < depth:
+            assert "Exchange" not in line, line
+            if "Join" in line:
+                break
+            depth = d
