@@ -36,6 +36,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     b = SparkSession.builder.master(f"local[{cpus}]").appName(app)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    # catalog tables of local runs live in a scratch folder, not the working directory
+    conf["spark.sql.warehouse.dir"] = tempfile.mkdtemp(prefix="shelfwise-warehouse-")
     conf["spark.driver.memory"] = "16g"
     conf.update(extra or {})
     for k, v in conf.items():
