@@ -98,11 +98,13 @@ class CardCollector(HTMLParser):
         self.card = card
         self.fields = fields
         self.cards: list[dict] = []
-        # open elements: (tag, list of card indexes it opened, list of (card idx, field) it opened)
+        # open elements: (tag, card index it opened, list of (card idx, field) it opened)
         self._stack: list[tuple[str, int | None, list[tuple[int, str]]]] = []
-        self._open_cards: list[int] = []          # card indexes whose element is open
+        self._open_tags: dict[str, int] = {}            # open elements per tag name
+        self._open_cards: list[int] = []                # card indexes whose element is open
         self._open_fields: list[tuple[int, str]] = []
         self._hidden = 0
+        self._wanted = {card[0]} | {t for t, _ in fields.values()}
 
     @staticmethod
     def _classes(attrs) -> set[str]:
@@ -114,24 +116,26 @@ class CardCollector(HTMLParser):
     def handle_starttag(self, tag, attrs):
         if tag in VOID_TAGS:
             return
-        classes = self._classes(attrs)
         opened_card = None
         opened_fields: list[tuple[int, str]] = []
-        for ci in self._open_cards:
-            rec = self.cards[ci]
-            for name, (ftag, ftoken) in self.fields.items():
-                if name not in rec["_seen"] and tag == ftag and (ftoken is None or ftoken in classes):
-                    rec["_seen"].add(name)
-                    rec[name] = []
-                    opened_fields.append((ci, name))
-        if tag == self.card[0] and (self.card[1] is None or self.card[1] in classes):
-            opened_card = len(self.cards)
-            self.cards.append({"_text": [], "_seen": set()})
-            self._open_cards.append(opened_card)
-        self._open_fields.extend(opened_fields)
+        if tag in self._wanted:
+            classes = self._classes(attrs)
+            for ci in self._open_cards:
+                rec = self.cards[ci]
+                for name, (ftag, ftoken) in self.fields.items():
+                    if name not in rec["_seen"] and tag == ftag and (ftoken is None or ftoken in classes):
+                        rec["_seen"].add(name)
+                        rec[name] = []
+                        opened_fields.append((ci, name))
+            if tag == self.card[0] and (self.card[1] is None or self.card[1] in classes):
+                opened_card = len(self.cards)
+                self.cards.append({"_text": [], "_seen": set()})
+                self._open_cards.append(opened_card)
+            self._open_fields.extend(opened_fields)
         if tag in HIDDEN_TEXT_TAGS:
             self._hidden += 1
         self._stack.append((tag, opened_card, opened_fields))
+        self._open_tags[tag] = self._open_tags.get(tag, 0) + 1
 
     def handle_startendtag(self, tag, attrs):
         # <div class="x"/>: an element with no content
@@ -140,10 +144,11 @@ class CardCollector(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        if not any(t == tag for t, _, _ in self._stack):
+        if not self._open_tags.get(tag):
             return
         while self._stack:
             t, card_idx, fields = self._stack.pop()
+            self._open_tags[t] -= 1
             if card_idx is not None:
                 self._open_cards.remove(card_idx)
             for f in fields:
