@@ -59,3 +59,19 @@ def test_daily_top_and_spans_are_partial_aggregates(no_broadcast):
     for q in ["slowest_brand_daily", "brand_span", "time_bounds", "stock_counts"]:
         _, plan = exchanges(QUERIES[q](no_broadcast, BASE))
         assert "Window" not in plan and "partial_" in plan, q
+
+
+def test_selective_report_prunes_documents_before_shuffle(no_broadcast):
+    spark = no_broadcast
+    keys = {"spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1",
+            "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "100MB"}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)           # the sizes tables have at scale
+    try:
+        plan = QUERIES["replenish_list"](spark, BASE)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    pruned = [line for line in plan.splitlines() if "might_contain" in line]
+    assert any("doc_id" in line for line in pruned) and any("event_id" in line for line in pruned)

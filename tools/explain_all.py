@@ -58,7 +58,9 @@ NOTES = {
     "page_position": "Window per page: a partition holds one page's cards (bounded by the page).",
     "attach_by_position": "Equi-join on (page_id, pos_in_pg), unique keys on both sides.",
     "replenish_list": LISTING + "The stock filter turns the labels join inner and is pushed to the labels "
-                      "scan; runtime bloom filters can prune documents before their shuffle.",
+                      "scan; at table sizes past the runtime-filter thresholds Spark builds a bloom filter "
+                      "from those labels and prunes the documents and events scans before their shuffles "
+                      "(tests/test_plans.py).",
     "description_gaps": LISTING,
     "desc_default": LISTING,
     "stock_known": LISTING + "The stock filter is pushed to the labels scan.",
