@@ -187,3 +187,15 @@ def test_bucketed_descriptions_are_not_shuffled(spark, scratch):
             if "Join" in line:
                 break
             depth = d
+
+
+def test_stream_ingest_restarts_from_its_checkpoint(spark, scratch):
+    pages = spark.createDataFrame(PAGES, LANDED_PAGES)
+    landed_dir, out, ckpt = (os.path.join(scratch, n) for n in ("landed", "cards", "ckpt"))
+    pages.filter("page_id = 1").write.parquet(landed_dir)
+    ingest.start_card_ingest(spark, landed_dir, out, checkpoint=ckpt).awaitTermination(180)
+    assert spark.read.parquet(out).count() == 3
+    pages.filter("page_id = 2").write.mode("append").parquet(landed_dir)      # new pages land later
+    ingest.start_card_ingest(spark, landed_dir, out, checkpoint=ckpt).awaitTermination(180)
+    cards = spark.read.parquet(out)
+    assert cards.count() == 5 and cards.dropDuplicates(["page_id", "pos_in_pg"]).count() == 5
