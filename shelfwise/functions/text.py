@@ -7,6 +7,9 @@ only ``try_*`` forms are used).
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,6 +28,27 @@ DECIMAL_WITH_COMMAS = (r",*[+-]?,*(?:[0-9][0-9,]*(?:\.[0-9,]*)?|\.,*[0-9][0-9,]*
 INTEGER_WITH_COMMAS = r",*[+-]?,*[0-9][0-9,]*"
 
 
+def _decimal_digits() -> tuple[str, str]:
+    # rule: every non-ASCII character of Unicode category Nd, mapped to its decimal value
+    # (Python's int() and float() read these digits; Spark's casts do not)
+    src, dst = [], []
+    for cp in range(0x80, sys.maxunicode + 1):
+        ch = chr(cp)
+        if unicodedata.category(ch) == "Nd":
+            src.append(ch)
+            dst.append(str(unicodedata.decimal(ch)))
+    return "".join(src), "".join(dst)
+
+
+UNICODE_DIGITS, ASCII_DIGITS = _decimal_digits()
+
+
+def ascii_digits(c: "ColumnOrName") -> Column:
+    """Decimal digits of any script as ASCII digits (pure ASCII text is passed through)."""
+    x = _col(c)
+    return F.when(F.octet_length(x) == F.length(x), x).otherwise(F.translate(x, UNICODE_DIGITS, ASCII_DIGITS))
+
+
 def nth_token_pattern(n: int, token: str = r"\S+") -> str:
     """Regex whose group 1 is the n-th whitespace token, only when it matches ``token`` whole."""
     return r"(?U)^\s*" + r"(?:\S+\s+)" * (n - 1) + f"({token})" + r"(?:\s|$)"
@@ -42,7 +66,7 @@ def token(c: ColumnOrName, n: int) -> Column:
 def _numeric_token(c: ColumnOrName, n: int, shape: str, to: str) -> Column:
     # one regex pass: the token is captured only when it is a number (commas anywhere),
     # so the cast never sees text it would read differently
-    t = F.nullif(F.regexp_extract(_col(c), nth_token_pattern(n, shape), 1), F.lit(""))
+    t = F.nullif(F.regexp_extract(ascii_digits(c), nth_token_pattern(n, shape), 1), F.lit(""))
     return F.replace(t, F.lit(","), F.lit("")).try_cast(to)
 
 

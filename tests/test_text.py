@@ -1,5 +1,6 @@
 import random
 import re
+import unicodedata
 
 from pyspark.sql import functions as F
 
@@ -16,11 +17,16 @@ def py_token(t, n):
     return parts[n - 1] if len(parts) >= n else None
 
 
+def _ascii(tok):
+    # Python's float() and int() read decimal digits of every script
+    return "".join(str(unicodedata.decimal(ch)) if unicodedata.category(ch) == "Nd" else ch for ch in tok)
+
+
 def py_money(t, n=2):
     tok = py_token(t, n)
     if tok is None:
         return None
-    tok = tok.replace(",", "")
+    tok = _ascii(tok).replace(",", "")
     # documented: nan / inf / 1_000 are refused although Python's float takes them
     if not re.fullmatch(TX.DECIMAL_TEXT, tok):
         return None
@@ -31,7 +37,7 @@ def py_units(t, n=1):
     tok = py_token(t, n)
     if tok is None:
         return None
-    tok = tok.replace(",", "")
+    tok = _ascii(tok).replace(",", "")
     if not re.fullmatch(TX.INTEGER_TEXT, tok):
         return None
     v = int(tok)
@@ -43,7 +49,7 @@ EDGE_PRICES = [
     ("৳", None), ("৳ 12d", None), ("৳ 1_000", None), ("৳ nan", None), ("৳ inf", None),
     ("", None), (None, None), ("৳ .5", 0.5), ("৳ 5.", 5.0), ("৳ 1e3", 1000.0),
     ("৳ -1,2,3", -123.0), ("৳ 1.2.3", None), ("৳ 0x10", None), ("৳ 12 ", 12.0),
-    ("\t৳\t7", 7.0), ("৳ ,", None),
+    ("\t৳\t7", 7.0), ("৳ ,", None), ("৳ ১,২০০", 1200.0),
 ]
 
 EDGE_UNITS = [
@@ -66,7 +72,8 @@ def test_units_edges(spark):
 
 def test_money_units_match_python_on_random_text(spark):
     rnd = random.Random(7)
-    alphabet = [" ", " ", NBSP, "\t", "0", "1", "2", "9", ",", ",", ".", "e", "-", "+", "a", "d", "_", "৳"]
+    alphabet = [" ", " ", NBSP, "\t", "0", "1", "2", "9", ",", ",", ".", "e", "-", "+", "a", "d", "_", "৳",
+                "১", "৯", "٣", "５"]                           # digits of other scripts read as numbers too
     texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 10))) for _ in range(3000)]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     rows = df.select("i", TX.money("t").alias("m"), TX.units("t").alias("u"), TX.token("t", 1).alias("k")).collect()
