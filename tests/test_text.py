@@ -73,7 +73,7 @@ def test_units_edges(spark):
 def test_money_units_match_python_on_random_text(spark):
     rnd = random.Random(7)
     alphabet = [" ", " ", NBSP, "\t", "0", "1", "2", "9", ",", ",", ".", "e", "-", "+", "a", "d", "_", "৳",
-                "১", "৯", "٣", "５"]                           # digits of other scripts read as numbers too
+                "১", "৯", "٣", "５", "\x85", "\u2003"]   # other digits and separators, as Python reads them
     texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 10))) for _ in range(3000)]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     rows = df.select("i", TX.money("t").alias("m"), TX.units("t").alias("u"), TX.token("t", 1).alias("k")).collect()
