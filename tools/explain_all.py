@@ -55,6 +55,8 @@ NOTES = {
                            "distinct skus.",
     "cards_by_class": "Parser in mapInPandas, one page at a time, Arrow batches capped in bytes; pages without "
                       "the class token are filtered out JVM-side first. No exchange.",
+    "cards_by_tag": "Parser in mapInPandas (cards and fields selected by tag), one page at a time; pages "
+                    "without the tag are filtered out JVM-side first. No exchange.",
     "page_position": "Window per page: a partition holds one page's cards (bounded by the page).",
     "attach_by_position": "Equi-join on (page_id, pos_in_pg), unique keys on both sides.",
     "replenish_list": LISTING + "The stock filter turns the labels join inner and is pushed to the labels "
