@@ -166,6 +166,11 @@ class CardCollector(HTMLParser):
         for ci, name in self._open_fields:
             self.cards[ci][name].append(data)
 
+    def unknown_decl(self, data):
+        # <![CDATA[...]]> sections are text of the enclosing element
+        if data.startswith("CDATA["):
+            self.handle_data(data[len("CDATA["):])
+
     def rows(self) -> list[dict]:
         out = []
         for rec in self.cards:

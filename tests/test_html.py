@@ -94,3 +94,9 @@ def test_parser_batch_without_cards(spark):
                                    (3, "Nor", "<script>'<div class=\"imageWrapper\">'</script>")],
                                   "page_id long, brand string, html string")
     assert daily.search_cards(pages).count() == 0
+
+
+def test_parser_keeps_cdata_text_and_skips_comments():
+    from shelfwise.functions.html import collect_cards
+    got = collect_cards('<div class="a"><![CDATA[zz]]>y<!-- no --><script>s</script></div>', ("div", "a"), {})
+    assert got == [{"card_text": "zzy"}]
