@@ -75,3 +75,9 @@ def test_selective_report_prunes_documents_before_shuffle(no_broadcast):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     pruned = [line for line in plan.splitlines() if "might_contain" in line]
     assert any("doc_id" in line for line in pruned) and any("event_id" in line for line in pruned)
+
+
+def test_every_registered_query_reads_the_tables(spark):
+    for name, q in QUERIES.items():
+        plan = q(spark, BASE)._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan parquet" in plan and "/root/testdata/" in plan, name
