@@ -64,7 +64,9 @@ def test_native_filter_sits_below_python_stage(spark):
     plan = daily.search_cards(pages)._jdf.queryExecution().optimizedPlan().toString()
     lines = plan.splitlines()
     mip = next(i for i, line in enumerate(lines) if "MapInPandas" in line or "MapInArrow" in line)
-    assert any("Filter" in line and "isnotnull(brand" in line for line in lines[mip:])
+    below = lines[mip:]
+    assert any("Filter" in line and "isnotnull(brand" in line for line in below)
+    assert any("Filter" in line and "Contains(html" in line and "imageWrapper" in line for line in below)
 
 
 def test_regex_and_parser_agree_on_random_flat_markup(spark):
