@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import timefmt as TF
+from ..schemas import LISTINGS
 
 # CSV options of the export.
 CSV_OPTIONS = {
@@ -73,6 +74,10 @@ def write_listings(listings: DataFrame, path: str) -> None:
 
 
 def read_listings(spark, path: str, day: dt.date | str | None = None) -> DataFrame:
-    """The listings table, pruned to one day when given (partition pruning)."""
-    df = spark.read.parquet(path)
+    """The listings table, pruned to one day when given (partition pruning).
+
+    Read with the declared schema, so a table written from an empty run reads
+    as empty instead of failing schema inference.
+    """
+    df = spark.read.schema(LISTINGS).parquet(path)
     return df if day is None else df.filter(F.col("report_date") == F.lit(str(day)).cast("date"))

@@ -199,3 +199,10 @@ def test_stream_ingest_restarts_from_its_checkpoint(spark, scratch):
     ingest.start_card_ingest(spark, landed_dir, out, checkpoint=ckpt).awaitTermination(180)
     cards = spark.read.parquet(out)
     assert cards.count() == 5 and cards.dropDuplicates(["page_id", "pos_in_pg"]).count() == 5
+
+
+def test_daily_run_without_relevant_cards(spark, scratch):
+    pages = spark.createDataFrame([(9, "u", "Opal", None, T0, "<p>nothing listed</p>")], LANDED_PAGES)
+    summary = daily.daily_run(spark, pages, spark.createDataFrame([], DESCRIPTIONS),
+                              spark.createDataFrame([], STOCK_OBSERVATIONS), ["Opal"], scratch, "2024-03-01")
+    assert summary.collect() == []                   # no listing, no summary row
