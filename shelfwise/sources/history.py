@@ -64,4 +64,7 @@ def append_history(rows: DataFrame, path: str, date_col: str = "report_date") ->
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The history table (text columns plus ``report_date``), read with its declared schema."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in HISTORY_COLUMNS]
+                          + [T.StructField("report_date", T.DateType())])
+    return spark.read.schema(schema).parquet(path)
