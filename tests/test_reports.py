@@ -157,3 +157,26 @@ def test_run_summary_matches_brute_force_on_random_listings(spark):
         g = got[0].asDict()
         g.pop("platform")
         assert g == want, (trial, rows)
+
+
+def test_slowest_brand_daily_matches_brute_force(spark):
+    import random
+    rnd = random.Random(17)
+    base_t = dt.datetime(2024, 2, 28, 0, 0, 0)
+    rows = [("x", rnd.choice(["Xa", "Xb", "Xc", None]), 1, "",
+             base_t + dt.timedelta(seconds=rnd.choice([0, 600, 3600, rnd.randrange(0, 3 * 86400)]),
+                                   microseconds=rnd.randrange(0, 10**6)))
+            for _ in range(300)]
+    per = {}
+    for _, b, _, _, t in rows:
+        per.setdefault((t.date(), b), []).append(t.replace(microsecond=0))
+    best = {}
+    for (d, b), ts in per.items():
+        s = int((max(ts) - min(ts)).total_seconds())
+        key = (-s, b is None, b or "")
+        if d not in best or key < best[d][0]:
+            best[d] = (key, b, s)
+    want = sorted((str(d), b, s) for d, (_, b, s) in best.items())
+    got = sorted((str(r.report_date), r.brand, r.span_seconds)
+                 for r in reports.slowest_brand_daily(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert got == want
