@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -28,6 +29,7 @@ DECIMAL_WITH_COMMAS = (r",*[+-]?,*(?:[0-9][0-9,]*(?:\.[0-9,]*)?|\.,*[0-9][0-9,]*
 INTEGER_WITH_COMMAS = r",*[+-]?,*[0-9][0-9,]*"
 
 
+@lru_cache(maxsize=1)
 def _decimal_digits() -> tuple[str, str]:
     # rule: every non-ASCII character of Unicode category Nd, mapped to its decimal value
     # (Python's int() and float() read these digits; Spark's casts do not)
@@ -40,13 +42,11 @@ def _decimal_digits() -> tuple[str, str]:
     return "".join(src), "".join(dst)
 
 
-UNICODE_DIGITS, ASCII_DIGITS = _decimal_digits()
-
-
 def ascii_digits(c: "ColumnOrName") -> Column:
     """Decimal digits of any script as ASCII digits (pure ASCII text is passed through)."""
     x = _col(c)
-    return F.when(F.octet_length(x) == F.length(x), x).otherwise(F.translate(x, UNICODE_DIGITS, ASCII_DIGITS))
+    src, dst = _decimal_digits()          # built once, on first use
+    return F.when(F.octet_length(x) == F.length(x), x).otherwise(F.translate(x, src, dst))
 
 
 def nth_token_pattern(n: int, token: str = r"\S+") -> str:
