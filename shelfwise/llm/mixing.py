@@ -162,17 +162,16 @@ def mix(docs: DataFrame, source_col: str = "source", text_col: str = "text", id_
     Reading by (mix_block, mix_order) gives the mixture; ``target`` as in :func:`plan`.
     """
     how = written(plan(docs, source_col, text_col, id_col, seed=seed, **target), "mix-plan")
+    how = how.select("__source", *[F.col(c).alias(f"__{c}") for c in how.columns[1:]])
     d = docs.drop("mix_epoch", "mix_block", "mix_order", "mix_weight")
-    joined = d.join(how.select("__source", "n", "weight", "target", "epochs", "cut_at", "cut_id"),
-                    d[source_col].eqNullSafe(how["__source"]))
-    last = place(id_col, F.col("epochs"), seed)
-    taken = (last < F.col("cut_at")) | ((last == F.col("cut_at")) & (
-        F.col("cut_id").isNull() | F.coalesce(F.col(id_col) <= F.col("cut_id"), F.lit(True))))
-    copies = F.col("epochs") + F.when(taken, 1).otherwise(0)
+    joined = d.join(how, d[source_col].eqNullSafe(how["__source"]))
+    last = place(id_col, F.col("__epochs"), seed)
+    taken = (last < F.col("__cut_at")) | ((last == F.col("__cut_at")) & (
+        F.col("__cut_id").isNull() | F.coalesce(F.col(id_col) <= F.col("__cut_id"), F.lit(True))))
+    copies = F.col("__epochs") + F.when(taken, 1).otherwise(0)
     out = joined.withColumn("mix_epoch", F.explode(F.when(copies > 0, F.sequence(F.lit(0), (copies - 1).cast("int")))))
     u = (F.col("mix_epoch") + place(id_col, F.col("mix_epoch"), seed) / F.lit(float(1 << ORDER_BITS))) \
-        / F.greatest(F.col("target") / F.col("n"), F.lit(1e-12))
+        / F.greatest(F.col("__target") / F.col("__n"), F.lit(1e-12))
     return out.withColumn("mix_block", F.least(F.floor(u * blocks), F.lit(blocks - 1)).cast("int")) \
         .withColumn("mix_order", F.xxhash64(F.col(id_col), F.col("mix_epoch"), F.lit(seed + 1))) \
-        .withColumn("mix_weight", F.col("weight")) \
-        .drop("__source", "n", "weight", "target", "epochs", "cut_at", "cut_id")
+        .withColumn("mix_weight", F.col("__weight")).drop(*how.columns)
