@@ -78,11 +78,8 @@ def _bucket(cells: np.ndarray, dim: int) -> np.ndarray:
     return (h >> np.uint64(1)).astype(np.int64)
 
 
-_erf = np.frompyfunc(math.erf, 1, 1)
-
-
 def _mass_below(z: np.ndarray) -> np.ndarray:
-    return 0.5 * (1 + _erf(z / math.sqrt(2)).astype(float))
+    return np.array([0.5 * (1 + math.erf(x / math.sqrt(2))) for x in z.tolist()])
 
 
 def probes(at: np.ndarray, width: float, sigma: float, mass: float) -> np.ndarray:
