@@ -51,7 +51,7 @@ SHARD_BITS = 20            # cells of a shard: 2^20 (1 MB while merging, 128 KB
 LEAST_CELLS = 1 << 20
 MOST_CELLS = 1 << 29
 BYTES_PER_WORD = 6
-CHUNK = 1 << 16            # windows hashed at a time of one document
+FLUSH_WORDS = 2_000_000    # words whose cells a task holds before it returns them
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
@@ -140,7 +140,7 @@ def sketch(docs: DataFrame, text_col: str, window: int, cells: int) -> DataFrame
                 if len(w) >= window:
                     held.append(_keys(w, window))
                     n += len(w)
-            if n > 4_000_000:
+            if n > FLUSH_WORDS:
                 yield from flush(held)
                 held, n = [], 0
         if held:
@@ -166,7 +166,7 @@ def _load(held: dict) -> list[np.ndarray]:
         for row, shard, bits in held["bits"]:
             b = np.frombuffer(zstandard.ZstdDecompressor().decompress(bits), np.uint8)
             rows[row][shard * len(b):(shard + 1) * len(b)] = b
-        held["rows"] = rows
+        held["rows"], held["bits"] = rows, None
     return held["rows"]
 
 
@@ -222,22 +222,24 @@ def repeated_starts(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
             runs = np.diff(np.append(np.flatnonzero(brk), len(at))) if len(at) else at
             rows_at = np.concatenate((named, first)).astype(np.int64)
             n = np.concatenate((np.ones(len(named), np.int64), runs))
-            k = np.concatenate((np.ones(len(named), bool), np.zeros(len(first), bool)))
+            run = np.concatenate((np.zeros(len(named), bool), np.ones(len(first), bool)))
             dup = np.concatenate((known[named], np.ones(len(first), bool)))
+            # a run is no window: it gets a key of its own, apart from the windows' keys
+            key1, key2 = k1[rows_at], k2[rows_at]
+            key1[run] ^= np.uint64(0xFFFFFFFFFFFFFFFF)
             who = pa.array(owner[rows_at])
             yield pa.RecordBatch.from_arrays(
                 [part.column(0).take(who), part.column(1).take(who), pa.array(start[rows_at].astype(np.int32)),
-                 pa.array(n.astype(np.int32)), pa.array(k1[rows_at].view(np.int64), mask=~k),
-                 pa.array(k2[rows_at].view(np.int64), mask=~k), pa.array(dup)],
-                names=["__id", "__h", "at", "n", "k1", "k2", "known"])
-
-    found = written(d.mapInArrow(suspects, f"__id {id_type}, __h bigint, at int, n int, k1 bigint, k2 bigint, "
-                                           "known boolean"), "suspects")
-    same = Window.partitionBy("k1", "k2")
-    exact = found.filter(F.col("k1").isNotNull()) \
-        .withColumn("times", F.count("*").over(same)).filter((F.col("times") > 1) & ~F.col("known"))
-    return exact.select("__id", "__h", "at", "n") \
-        .unionByName(found.filter(F.col("k1").isNull()).select("__id", "__h", "at", "n"))
+                 pa.array(n.astype(np.int32)), pa.array(key1.view(np.int64)), pa.array(key2.view(np.int64)),
+                 pa.array(dup.astype(np.int8) + run.astype(np.int8))],
+                names=["__id", "__h", "at", "n", "k1", "k2", "state"])
+
+    # state 0: known once here; 1: repeated here, told by a run; 2: such a run
+    found = d.mapInArrow(suspects, f"__id {id_type}, __h bigint, at int, n int, k1 bigint, k2 bigint, state tinyint")
+    times = F.count("*").over(Window.partitionBy("k1", "k2"))
+    return found.withColumn("times", times) \
+        .filter((F.col("state") == 2) | ((F.col("state") == 0) & (F.col("times") > 1))) \
+        .select("__id", "__h", "at", "n")
 
 
 def _covered(n_words: int, starts: list, counts: list, window: int) -> np.ndarray:
