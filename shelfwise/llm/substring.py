@@ -37,6 +37,7 @@ import zstandard
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window
 
 from . import common
@@ -46,13 +47,14 @@ cloudpickle.register_pickle_by_value(common)
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WINDOW = 35
-DEPTH = 2
+MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+DEPTH = len(MIX)           # sketch rows
 SHARD_BITS = 20            # cells of a shard: 2^20 (1 MB while merging, 128 KB as bits)
 LEAST_CELLS = 1 << 20
 MOST_CELLS = 1 << 29
+CELLS_PER_WINDOW = 2.5
 BYTES_PER_WORD = 6
-FLUSH_WORDS = 2_000_000    # words whose cells a task holds before it returns them
-MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+FLUSH_WORDS = 1_500_000    # words whose windows a task holds before it returns them
 
 
 def window_hashes(h: np.ndarray, window: int, base: int) -> np.ndarray:
@@ -92,10 +94,10 @@ def _keys(words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _cells(k1: np.ndarray, k2: np.ndarray, cells: int) -> list[np.ndarray]:
     """The cell of every window in each sketch row."""
-    shift = np.uint64(64 - cells.bit_length() + 1)
+    # the upper half of a mixed hash, scaled to the number of cells (below 2^32)
+    half = np.uint64(32)
     with np.errstate(over="ignore"):
-        return [((k1 if d == 0 else k2) * MIX[d % 2] ^ (k2 >> np.uint64(7) if d > 1 else np.uint64(0))) >> shift
-                for d in range(DEPTH)]
+        return [((k * m >> half) * np.uint64(cells)) >> half for k, m in zip((k1, k2), MIX, strict=True)]
 
 
 def _pack(v: np.ndarray) -> bytes:
@@ -115,7 +117,7 @@ def _sizes(docs: DataFrame, text_col: str) -> int:
 
 def sketch(docs: DataFrame, text_col: str, window: int, cells: int) -> DataFrame:
     """(row, shard, bits BINARY): the merged sketch, one bit per cell counted twice or more."""
-    shard = min(SHARD_BITS, cells.bit_length() - 1)
+    shard = SHARD_BITS
 
     def flush(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         k1 = np.concatenate([h[0] for h in held])
@@ -163,10 +165,11 @@ def _load(held: dict) -> list[np.ndarray]:
     """The sketch rows as bit arrays, put together once per worker process."""
     if held["rows"] is None:
         rows = [np.zeros(max(1, held["cells"] // 8), dtype=np.uint8) for _ in range(DEPTH)]
-        for row, shard, bits in held["bits"]:
+        while held["bits"]:                    # each piece is freed as it is put in its place
+            row, shard, bits = held["bits"].pop()
             b = np.frombuffer(zstandard.ZstdDecompressor().decompress(bits), np.uint8)
             rows[row][shard * len(b):(shard + 1) * len(b)] = b
-        held["rows"], held["bits"] = rows, None
+        held["rows"] = rows
     return held["rows"]
 
 
@@ -174,8 +177,8 @@ def repeated_starts(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
                     window: int = WINDOW) -> DataFrame:
     """(__id, __h, at, n): runs of ``n`` consecutive repeated windows from word ``at`` of a document."""
     spark = docs.sparkSession
-    want = max(LEAST_CELLS, 2 * _sizes(docs, text_col) // BYTES_PER_WORD)
-    cells = min(MOST_CELLS, 1 << (want - 1).bit_length())
+    want = int(CELLS_PER_WINDOW * _sizes(docs, text_col) / BYTES_PER_WORD)
+    cells = min(MOST_CELLS, max(LEAST_CELLS, -(-want >> SHARD_BITS) << SHARD_BITS))
     merged = written(sketch(docs, text_col, window, cells), "sketch")
     # bounded: DEPTH * cells / 8 bytes
     pieces = [(r["row"], r["shard"], zstandard.ZstdCompressor(level=1).compress(bytes(r["bits"])))
@@ -184,29 +187,36 @@ def repeated_starts(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     del pieces
     d = docs.select(*row_key(id_col, text_col), F.col(text_col).alias("__text"))
     id_type = docs.schema[id_col].dataType.simpleString()
+    id_arrow = to_arrow_type(docs.schema[id_col].dataType)
 
     def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = _load(shared.value)
-        for part in slices(batches):
-            owner, start, k1s, k2s = [], [], [], []
+        rows, cells_ = _load(shared.value), shared.value["cells"]
+        ids, hashes, held, n = [], [], [], 0
+        for part in slices(batches, 64):
+            ids_of, hashes_of = part.column(0), part.column(1)
             for i, t in enumerate(utf8(part.column(2))):
                 w = t.split()
                 if len(w) < window:
                     continue
                 k1, k2 = _keys(w, window)
                 ok = np.ones(len(k1), dtype=bool)
-                for bits, at in zip(rows, _cells(k1, k2, shared.value["cells"]), strict=True):
+                for bits, at in zip(rows, _cells(k1, k2, cells_), strict=True):
                     ok &= (bits[at >> np.uint64(3)] >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8))) & 1 == 1
                 at = np.flatnonzero(ok)
-                owner.append(np.full(len(at), i))
-                start.append(at)
-                k1s.append(k1[at])
-                k2s.append(k2[at])
-            if not owner:
-                continue
-            owner, start, k1, k2 = (np.concatenate(x) for x in (owner, start, k1s, k2s))
-            if not len(owner):
-                continue
+                n += len(w)
+                if len(at):
+                    held.append((np.full(len(at), len(ids)), at, k1[at], k2[at]))
+                    ids.append(ids_of[i].as_py())
+                    hashes.append(hashes_of[i].as_py())
+            if n > FLUSH_WORDS:
+                yield from named_once(ids, hashes, held)
+                ids, hashes, held, n = [], [], [], 0
+        yield from named_once(ids, hashes, held)
+
+    def named_once(ids: list, hashes: list, held: list) -> Iterator[pa.RecordBatch]:
+        """One named row per window, and runs of the windows that occur here more than once."""
+        if held:
+            owner, start, k1, k2 = (np.concatenate(x) for x in zip(*held, strict=True))
             order = np.lexsort((k2, k1))
             a, b = k1[order], k2[order]
             new = np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
@@ -229,8 +239,9 @@ def repeated_starts(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
             key1[run] ^= np.uint64(0xFFFFFFFFFFFFFFFF)
             who = pa.array(owner[rows_at])
             yield pa.RecordBatch.from_arrays(
-                [part.column(0).take(who), part.column(1).take(who), pa.array(start[rows_at].astype(np.int32)),
-                 pa.array(n.astype(np.int32)), pa.array(key1.view(np.int64)), pa.array(key2.view(np.int64)),
+                [pa.array(ids, id_arrow).take(who), pa.array(hashes, pa.int64()).take(who),
+                 pa.array(start[rows_at].astype(np.int32)), pa.array(n.astype(np.int32)),
+                 pa.array(key1.view(np.int64)), pa.array(key2.view(np.int64)),
                  pa.array(dup.astype(np.int8) + run.astype(np.int8))],
                 names=["__id", "__h", "at", "n", "k1", "k2", "state"])
 
