@@ -35,13 +35,12 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window
 
 from . import common
-from .common import row_key, slices, utf8, written
+from .common import slices, utf8, written
 
 cloudpickle.register_pickle_by_value(common)
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -111,6 +110,12 @@ def _unpack(b: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").ravel(), dtype=np.int64)
 
 
+def _key(id_col: str, text_col: str) -> list[Column]:
+    """Identity of a row's result: hashes of its id and of its text, never NULL, so that the
+    grouping of its runs and their join with the text share one shuffle."""
+    return [F.xxhash64(id_col).alias("__id"), F.xxhash64(text_col).alias("__h")]
+
+
 def _sizes(docs: DataFrame, text_col: str) -> int:
     return int(docs.agg(F.sum(F.octet_length(text_col).cast("bigint"))).first()[0] or 0)
 
@@ -185,9 +190,7 @@ def repeated_starts(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
               for r in merged.toLocalIterator()]
     shared = spark.sparkContext.broadcast({"cells": cells, "bits": pieces, "rows": None})
     del pieces
-    d = docs.select(*row_key(id_col, text_col), F.col(text_col).alias("__text"))
-    id_type = docs.schema[id_col].dataType.simpleString()
-    id_arrow = to_arrow_type(docs.schema[id_col].dataType)
+    d = docs.select(*_key(id_col, text_col), F.col(text_col).alias("__text"))
 
     def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, cells_ = _load(shared.value), shared.value["cells"]
@@ -239,14 +242,14 @@ def repeated_starts(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
             key1[run] ^= np.uint64(0xFFFFFFFFFFFFFFFF)
             who = pa.array(owner[rows_at])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, id_arrow).take(who), pa.array(hashes, pa.int64()).take(who),
+                [pa.array(ids, pa.int64()).take(who), pa.array(hashes, pa.int64()).take(who),
                  pa.array(start[rows_at].astype(np.int32)), pa.array(n.astype(np.int32)),
                  pa.array(key1.view(np.int64)), pa.array(key2.view(np.int64)),
                  pa.array(dup.astype(np.int8) + run.astype(np.int8))],
                 names=["__id", "__h", "at", "n", "k1", "k2", "state"])
 
     # state 0: known once here; 1: repeated here, told by a run; 2: such a run
-    found = d.mapInArrow(suspects, f"__id {id_type}, __h bigint, at int, n int, k1 bigint, k2 bigint, state tinyint")
+    found = d.mapInArrow(suspects, "__id bigint, __h bigint, at int, n int, k1 bigint, k2 bigint, state tinyint")
     times = F.count("*").over(Window.partitionBy("k1", "k2"))
     return found.withColumn("times", times) \
         .filter((F.col("state") == 2) | ((F.col("state") == 0) & (F.col("times") > 1))) \
@@ -266,11 +269,10 @@ def remove_repeated(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
                     digest: bool = False) -> DataFrame:
     """(id, n_words, n_removed, kept STRING) of every row; ``kept`` is the SHA-256 of the kept text if ``digest``."""
     runs = repeated_starts(docs, text_col, id_col, window).groupBy("__id", "__h") \
-        .agg(F.collect_list(F.struct("at", "n")).alias("runs")) \
-        .select(F.col("__id").alias("__id2"), F.col("__h").alias("__h2"), "runs")
-    d = docs.select(*row_key(id_col, text_col), F.col(text_col).alias("__text"))
-    rows = d.join(runs, d["__id"].eqNullSafe(runs["__id2"]) & (d["__h"] == runs["__h2"]), "left") \
-        .select("__id", "__text", F.col("runs.at").alias("at"), F.col("runs.n").alias("n"))
+        .agg(F.collect_list(F.struct("at", "n")).alias("runs"))
+    d = docs.select(F.col(id_col).alias("__own"), *_key(id_col, text_col), F.col(text_col).alias("__text"))
+    rows = d.join(runs, ["__id", "__h"], "left") \
+        .select("__own", "__text", F.col("runs.at").alias("at"), F.col("runs.n").alias("n"))
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
