@@ -74,7 +74,8 @@ def parse_cards(pages: DataFrame, card: tuple[str, str | None],
     JVM-side filter before any Python runs.
     """
     keep = list(keep)
-    fields = dict(fields or {})
+    card = (card[0].lower(), card[1])
+    fields = {n: (tag.lower(), token) for n, (tag, token) in (fields or {}).items()}
     in_schema = pages.select(*keep).schema
     out_schema = T.StructType(
         list(in_schema.fields)
@@ -93,7 +94,11 @@ def parse_cards(pages: DataFrame, card: tuple[str, str | None],
                     recs.append(rec)
             yield pd.DataFrame.from_records(recs, columns=keep + ["pos_in_pg", "card_text"] + list(fields))
 
-    maybe = F.col(html).contains(F.lit(card[1] if card[1] is not None else "<" + card[0]))
+    # never drops a page the parser would match: tags in any case; a class may be written with character references
+    if card[1] is not None:
+        maybe = F.col(html).contains(F.lit(card[1])) | F.col(html).contains(F.lit("&"))
+    else:
+        maybe = F.lower(html).contains(F.lit("<" + card[0]))
     return pages.filter(maybe).select(*keep, F.col(html).alias("page_html")).mapInPandas(run, out_schema)
 
 

@@ -17,12 +17,6 @@ from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
 
-# Largest brand list tested row by row (broadcast nested-loop semi join): each
-# row costs one ``contains`` per brand, so beyond a few hundred brands the
-# exact substring equi-join (cost per distinct sku, independent of the brand
-# count) is cheaper.
-MAX_BROADCAST_BRANDS = 256
-
 
 def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -54,7 +48,8 @@ def brand_prefix_join(rows: DataFrame, brands: Sequence[str] | DataFrame, sku: s
     side is broadcast while small (size known to the planner) and shuffled
     otherwise. The brand lengths are scalar subqueries, not a collect.
     """
-    b = brands_frame(rows.sparkSession, brands, brand)
+    b = brands_frame(rows.sparkSession, brands, brand).select(brand)
+    rows = rows.drop(brand)                     # the matched brand takes that name
     # empty brands are ignored (they would match every row)
     b = b.withColumn("__key", F.lower(F.col(brand))).filter(F.length("__key") >= 1)
     maxlen = b.select(F.max(F.length("__key"))).scalar()
@@ -64,25 +59,13 @@ def brand_prefix_join(rows: DataFrame, brands: Sequence[str] | DataFrame, sku: s
     # only lengths some brand has, before anything is shuffled
     cand = cand.filter((F.col("__len") >= 1) & F.array_contains(lengths, F.col("__len")))
     cand = cand.withColumn("__key", F.substring(low, 1, F.col("__len")))
-    joined = cand.join(b.drop(*[c for c in b.columns if c in rows.columns and c != "__key"]),
-                       on="__key", how="inner")
+    joined = cand.join(b, on="__key", how="inner")
     return joined.drop("__key", "__len")
 
 
-def _substrings(s: Column, n: int) -> Column:
-    """All substrings of ``s`` of length ``n`` (empty when ``s`` is shorter)."""
-    return F.when(F.length(s) >= n, F.transform(F.sequence(F.lit(1), F.length(s) - n + 1),
-                                                lambda i: F.substring(s, i, F.lit(n)))) \
-        .otherwise(F.array().cast("array<string>"))
-
-
-def _all_substrings(s: Column, lengths: Sequence[int]) -> Column:
-    return F.flatten(F.array(*[_substrings(s, n) for n in lengths]))
-
-
 def portfolio_flag(sku: ColumnOrName, brands: Sequence[str]) -> Column:
     """1 when ``sku`` contains any brand (case-sensitive), else 0; NULL sku gives NULL."""
-    arr = F.array(*[F.lit(b) for b in brands])
+    arr = F.array(*[F.lit(b) for b in brands if b]).cast("array<string>")      # empty brands are ignored
     return F.exists(arr, lambda b: F.contains(_col(sku), b)).cast("int")
 
 
@@ -92,27 +75,22 @@ def portfolio_filter(rows: DataFrame, brands: Sequence[str], sku: str = "sku") -
 
 
 def portfolio_semi_join(rows: DataFrame, brands: Sequence[str] | DataFrame, sku: str = "sku",
-                        brand: str = "brand",
-                        max_broadcast: int = MAX_BROADCAST_BRANDS) -> DataFrame:
-    """Rows whose sku contains at least one brand (EXISTS), each row once.
-
-    A brand dimension whose counted size is within ``max_broadcast`` is
-    broadcast to a nested-loop semi join (no shuffle of ``rows``). A larger
-    one uses an exact equi semi join on every substring (of a brand length) of
-    the distinct skus.
+                        brand: str = "brand") -> DataFrame:
+    """Rows whose sku contains at least one brand (EXISTS), each row once; empty and NULL brands are ignored.
+
+    One plan for any brand count: the distinct skus propose their pieces of the
+    shortest brand's length, equi-joined with the brands' first pieces; the pairs
+    found are verified with ``contains``. Pieces carry a hash of their sku, not
+    its text (the verification also settles equal hashes).
     """
-    b = brands_frame(rows.sparkSession, brands, brand).select(brand).filter(F.length(brand) >= 1)
-    n = len(brands) if not isinstance(brands, DataFrame) else b.count()
-    if n <= max_broadcast:
-        cond = F.contains(rows[sku], F.col("__b"))
-        return rows.join(F.broadcast(b.withColumnRenamed(brand, "__b")), cond, "left_semi")
-    # distinct brand lengths: a bounded set of small integers (at most the longest brand)
-    lengths = sorted(r[0] for r in b.select(F.length(brand).alias("n")).distinct().collect() if r[0])
-    b = b.withColumn("__key", F.col(brand))
-    # whether a row matches depends on its sku only: explode the distinct skus
-    # (partial aggregation first, so a frequent sku costs one row), keep those
-    # with a brand among their substrings, semi-join the rows back on sku
-    distinct_skus = rows.select(F.col(sku).alias("__sku")).distinct()
-    cand = distinct_skus.select("__sku", F.explode(_all_substrings(F.col("__sku"), lengths)).alias("__key"))
-    matched = cand.join(b.select("__key").distinct(), "__key", "left_semi").select("__sku").distinct()
+    b = brands_frame(rows.sparkSession, brands, brand).select(F.col(brand).alias("__b")) \
+        .filter(F.length("__b") >= 1).distinct()
+    size = b.select(F.min(F.length("__b"))).scalar()
+    skus = rows.select(F.col(sku).alias("__sku")).distinct().withColumn("__k", F.xxhash64("__sku"))
+    pieces = skus.withColumn("__n", size).filter(F.length("__sku") >= F.col("__n")) \
+        .withColumn("__at", F.explode(F.sequence(F.lit(1), F.length("__sku") - F.col("__n") + 1))) \
+        .select("__k", F.substring(F.col("__sku"), F.col("__at"), F.col("__n")).alias("__piece")).distinct()
+    pairs = pieces.join(b.withColumn("__piece", F.substring(F.col("__b"), F.lit(1), size)), "__piece") \
+        .select("__k", "__b").distinct()
+    matched = skus.join(pairs, "__k").filter(F.contains("__sku", F.col("__b"))).select("__sku").distinct()
     return rows.join(matched, rows[sku] == matched["__sku"], "left_semi")

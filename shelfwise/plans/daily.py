@@ -7,8 +7,8 @@ cards. The run:
 1. extracts the cards of every page (parser, executors; native filters first),
 2. keeps the cards whose name starts with the page's brand,
 3. folds stock and attaches descriptions by position,
-4. writes the rows to the listings table (Parquet, by report date; a rerun
-   replaces its day) -- the written table is the run's recovery point: the
+4. writes the rows to the listings table (Parquet, one partition per run day,
+   which holds all rows of the run; a rerun replaces exactly its day) -- the written table is the run's recovery point: the
    summary and the CSV export read it back instead of recomputing the
    extraction,
 5. computes the one-row summary and writes the dated CSV export.
@@ -57,7 +57,7 @@ def daily_run(spark: SparkSession, pages: DataFrame, descriptions: DataFrame, ob
     """Run one day; returns the run summary (read from the written listings table)."""
     rows = listings.build_listings(search_cards(pages), descriptions, observations, description_marker)
     table = _join(out_dir, "listings")
-    sinks.write_listings(rows, table)
+    sinks.write_listings(rows, table, day)
     written = sinks.read_listings(spark, table, day)
     sinks.write_dated_csv(written.select(*listings.LISTING_COLUMNS), _join(out_dir, "exports"), csv_prefix, day)
     n_brands = brands if isinstance(brands, DataFrame) else len(brands)

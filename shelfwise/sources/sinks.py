@@ -58,19 +58,13 @@ def read_csv_text(spark, path: str, columns: list[str]) -> DataFrame:
     return r.csv(path)
 
 
-def with_report_date(listings: DataFrame, ts: str = "report_time") -> DataFrame:
-    return listings.withColumn("report_date", F.to_date(F.col(ts)))
+def write_listings(listings: DataFrame, path: str, day: dt.date | str) -> None:
+    """Write a run's rows as the partition of the run's ``day``, whatever their report times.
 
-
-def write_listings(listings: DataFrame, path: str) -> None:
-    """Write a run's rows to the listings table, partitioned by report date.
-
-    Only the dates present in ``listings`` are replaced (dynamic partition
-    overwrite), so a rerun of a day replaces that day instead of adding its
-    rows twice; other days are untouched.
+    Exactly that partition is replaced, also by an empty run; all rows of the run
+    are in it and other days are untouched.
     """
-    with_report_date(listings).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy("report_date").parquet(path)
+    listings.drop("report_date").write.mode("overwrite").parquet(f"{path.rstrip('/')}/report_date={day}")
 
 
 def read_listings(spark, path: str, day: dt.date | str | None = None) -> DataFrame:

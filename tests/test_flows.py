@@ -206,3 +206,28 @@ def test_daily_run_without_relevant_cards(spark, scratch):
     summary = daily.daily_run(spark, pages, spark.createDataFrame([], DESCRIPTIONS),
                               spark.createDataFrame([], STOCK_OBSERVATIONS), ["Opal"], scratch, "2024-03-01")
     assert summary.collect() == []                   # no listing, no summary row
+
+
+def test_daily_run_keeps_every_row_and_other_days(spark, scratch):
+    """A run over midnight and without capture times: all its rows, and only its own partition."""
+    late = [(1, "u1", "Nor", None, dt.datetime(2024, 3, 2, 0, 1), card("Nor a", "1", "৳ 1") + card("Nor b", "1", "৳ 2")),
+            (2, "u2", "Nor", None, None, card("Nor c", "1", "৳ 3"))]
+    table = os.path.join(scratch, "listings")
+
+    def run(pages, day):
+        return daily.daily_run(spark, spark.createDataFrame(pages, LANDED_PAGES), spark.createDataFrame([], DESCRIPTIONS),
+                               spark.createDataFrame([], STOCK_OBSERVATIONS), ["Nor"], scratch, day).collect()
+
+    assert run(PAGES, "2024-03-02")[0].skus == 4
+    assert run(late, "2024-03-01")[0].skus == 3
+    assert sinks.read_listings(spark, table, "2024-03-02").count() == 4
+    assert run([], "2024-03-01") == []                       # an empty rerun empties its own day only
+    assert sinks.read_listings(spark, table, "2024-03-01").count() == 0
+    assert sinks.read_listings(spark, table, "2024-03-02").count() == 4
+
+
+def test_prefilter_keeps_what_the_parser_matches(spark):
+    from shelfwise.operators import extract
+    pages = spark.createDataFrame([(1, '<LI>x</LI>'), (2, '<p class="a&#100;">y</p>')], "page_id bigint, html string")
+    assert [r.page_id for r in extract.parse_cards(pages, ("LI", None)).collect()] == [1]
+    assert [r.page_id for r in extract.parse_cards(pages, ("P", "ad")).collect()] == [2]

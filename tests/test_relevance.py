@@ -56,7 +56,7 @@ def test_semi_join_paths_agree(spark):
     expect = sorted(i for i, s in enumerate(skus) if s is not None and any(b in s for b in brands))
     small = sorted(r.i for r in R.portfolio_semi_join(df, brands).collect())
     bdf = spark.createDataFrame([(b,) for b in brands], "brand string")
-    large = sorted(r.i for r in R.portfolio_semi_join(df, bdf, max_broadcast=0).collect())
+    large = sorted(r.i for r in R.portfolio_semi_join(df, bdf).collect())
     assert small == expect == large
 
 
