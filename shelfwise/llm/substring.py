@@ -225,8 +225,9 @@ def repeated_starts(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
             new = np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
             group = np.cumsum(new) - 1
             several = np.bincount(group)[group] > 1
-            # one named row per window; of those held more than once, the rest are known already
-            named = order[new]
+            # one named row per window; of those held more than once, the rest are known already.
+            # In document order: neighbouring rows then repeat their identity, which compresses
+            named = np.sort(order[new])
             known = np.zeros(len(owner), dtype=bool)
             known[order[several]] = True
             at = np.flatnonzero(known)
