@@ -76,8 +76,8 @@ def money(c: ColumnOrName, n: int = 2) -> Column:
 
 
 def units(c: ColumnOrName, n: int = 1) -> Column:
-    """Unit count from text such as ``'1,200 in bag'``: token n, commas removed, as INT."""
-    return _numeric_token(c, n, INTEGER_WITH_COMMAS, "int")
+    """Unit count from text such as ``'1,200 in bag'``: token n, commas removed, as BIGINT."""
+    return _numeric_token(c, n, INTEGER_WITH_COMMAS, "bigint")
 
 
 def first_token(c: ColumnOrName) -> Column:

@@ -60,15 +60,17 @@ def build_listings(cards: DataFrame, descriptions: DataFrame, observations: Data
     discounted_price_text, optionally captured_at (each page tagged with its
     brand). The relevance
     filter runs first, on the cards, before any join. Stock is folded from the
-    observations (one shuffle, skew-safe) together with the time of the last
-    observation (``report_time``); descriptions are attached by position with
+    observations (skew-safe) together with the time its reading ended
+    (``report_time``); descriptions are attached by position with
     ``description_marker`` where none was fetched.
     """
     rel = relevance.brand_prefix_filter(card_fields(cards))
     stocks = stock_ops.fold_stock(observations, POSITION_KEYS, time_col="observed_at") \
         .withColumnRenamed("seen_at", "report_time")
     out = attach_by_position(rel, stocks)
-    out = attach_by_position(out, descriptions.select(*POSITION_KEYS, "description"))
+    # one description per position (the greatest text of several), on the join's own partitioning
+    texts = descriptions.groupBy(*POSITION_KEYS).agg(F.max("description").alias("description"))
+    out = attach_by_position(out, texts)
     out = out.withColumn("description", extract.with_default(TX.one_line("description"), description_marker))
     if "captured_at" in out.columns:
         # a card with no observation at all still belongs to its page's run (stock NULL: failed)

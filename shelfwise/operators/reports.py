@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 
 from ..functions import timefmt as TF
 
-# Fixed value: size of the reference brand list of the search-page run.
-DEFAULT_BRAND_COUNT = 30
 DEFAULT_PLATFORM = "shop"
 
 FACT_COLUMNS = ["brand", "sku_present", "stock", "desc_len", "report_time"]
@@ -46,7 +44,7 @@ def listing_facts(listings: DataFrame) -> DataFrame:
     which costs per group instead of per row.
     """
     return listings.select(
-        "brand", F.col("sku").isNotNull().alias("sku_present"), F.col("stock").cast("int").alias("stock"),
+        "brand", F.col("sku").isNotNull().alias("sku_present"), F.col("stock").cast("bigint").alias("stock"),
         F.length("description").cast("bigint").alias("desc_len"), "report_time")
 
 
@@ -77,7 +75,7 @@ def _brand_count(n_brands: int | DataFrame) -> Column:
     return F.lit(int(n_brands)).cast("bigint")
 
 
-def run_summary(listings: DataFrame, n_brands: int | DataFrame = DEFAULT_BRAND_COUNT,
+def run_summary(listings: DataFrame, n_brands: int | DataFrame,
                 platform: str = DEFAULT_PLATFORM) -> DataFrame:
     """The one-row run report; no row when the listings are empty.
 
@@ -124,7 +122,7 @@ def with_display_headings(summary: DataFrame) -> DataFrame:
 
 
 RUN_SUMMARY_SQL = """
-select '{platform}' as platform, skus, skus_out_of_stock, skus_failed_stock,
+select :platform as platform, skus, skus_out_of_stock, skus_failed_stock,
        {n_brands} - brands_seen as brands_failed_stock, skus_not_described,
        lo - make_dt_interval(0, 0, 0, date_part('SECOND', lo) - second(lo)) as stocking_start_time,
        format_string('%02d:%02d:%02d', run_s div 3600, (run_s % 3600) div 60, run_s % 60) as time_to_scrape_stocks,
@@ -154,13 +152,11 @@ where n_groups > 0
 """
 
 
-def run_summary_sql(listings: DataFrame, n_brands: int = DEFAULT_BRAND_COUNT,
+def run_summary_sql(listings: DataFrame, n_brands: int,
                     platform: str = DEFAULT_PLATFORM) -> DataFrame:
     """The run summary written as Spark SQL over a DataFrame argument (same plan shape)."""
-    if "'" in platform:
-        raise ValueError("platform must not contain a quote")
-    return listings.sparkSession.sql(RUN_SUMMARY_SQL.format(platform=platform, n_brands=int(n_brands),
-                                                            listings="{listings}"), listings=listings)
+    return listings.sparkSession.sql(RUN_SUMMARY_SQL.format(n_brands=int(n_brands), listings="{listings}"),
+                                     args={"platform": platform}, listings=listings)
 
 
 def stock_counts(listings: DataFrame) -> DataFrame:
@@ -170,7 +166,7 @@ def stock_counts(listings: DataFrame) -> DataFrame:
                  _count_sku(F.col("stock").isNull()).alias("skus_failed_stock"))
 
 
-def brands_missing(listings: DataFrame, n_brands: int | DataFrame = DEFAULT_BRAND_COUNT) -> DataFrame:
+def brands_missing(listings: DataFrame, n_brands: int | DataFrame) -> DataFrame:
     """Brands of the list with no row: ``N - count(distinct brand)`` (exact)."""
     return listings.select("brand").agg(
         (_brand_count(n_brands) - F.count_distinct("brand")).alias("brands_failed_stock"))

@@ -69,7 +69,12 @@ def bucket_summaries(flags: DataFrame, keys: Sequence[str], bucket_steps: int =
     b = b.withColumn("stop_before", F.coalesce(F.max("is_stop").over(w), F.lit(False)))
     parsed = F.col("parsed").isNotNull()
     upto = parsed & ~F.col("stop_before")
-    extra = [F.max("seen_at").alias("seen_at")] if "seen_at" in flags.columns else []
+    extra = []
+    if "seen_at" in flags.columns:
+        # (step, time) of the first stop, the first failure and the last observation with a time
+        at = F.struct("step", "seen_at")
+        extra = [F.min(F.when(F.col("is_stop"), at)).alias("stop_at"), F.min(F.when(F.col("fail"), at)).alias("fail_at"),
+                 F.max(F.when(F.col("seen_at").isNotNull(), at)).alias("end_at")]
     return b.groupBy(*keys, "seg").agg(
         *extra,
         F.min(F.when(F.col("is_stop"), F.col("step"))).alias("first_stop"),
@@ -94,7 +99,8 @@ def merge_segments(segs: DataFrame, group: Sequence[str]) -> DataFrame:
     before_stop = F.col("first_stop").isNull() & (F.col("S").isNull() | (F.col("last_step") < F.col("S")))
     cand_step = F.when(in_stop_seg, F.col("upto_step")).when(before_stop, F.col("last_step"))
     cand_val = F.when(in_stop_seg, F.col("upto_val")).when(before_stop, F.col("last_val"))
-    extra = [F.max("seen_at").alias("seen_at")] if "seen_at" in segs.columns else []
+    extra = [F.min("stop_at").alias("stop_at"), F.min("fail_at").alias("fail_at"),
+             F.max("end_at").alias("end_at")] if "end_at" in segs.columns else []
     return segs.groupBy(*group).agg(
         *extra,
         F.min("first_stop").alias("first_stop"),
@@ -109,9 +115,11 @@ def stock_from_summary(summary: DataFrame, keys: Sequence[str], out: str = "stoc
     """Stock from the one summary per key: NULL when a failure came at or before the first stop."""
     f, s = F.col("first_fail"), F.col("first_stop")
     failed_before_stop = f.isNotNull() & (s.isNull() | (f <= s))
-    stock = F.when(failed_before_stop, F.lit(None).cast("int")).otherwise(F.coalesce("upto_val", F.lit(0)))
-    extra = ["seen_at"] if "seen_at" in summary.columns else []
-    return summary.select(*keys, stock.cast("int").alias(out), *extra)
+    stock = F.when(failed_before_stop, F.lit(None).cast("bigint")).otherwise(F.coalesce("upto_val", F.lit(0)))
+    # the reading ends at the failure or the stop, else with the last observation
+    ended = F.when(failed_before_stop, F.col("fail_at.seen_at")).when(s.isNotNull(), F.col("stop_at.seen_at")) \
+        .otherwise(F.col("end_at.seen_at")) if "end_at" in summary.columns else None
+    return summary.select(*keys, stock.cast("bigint").alias(out), *([ended.alias("seen_at")] if ended is not None else []))
 
 
 def fold_stock(obs: DataFrame, keys: Sequence[str] = ("page_id", "pos_in_pg"), step: str = "step",
@@ -119,10 +127,11 @@ def fold_stock(obs: DataFrame, keys: Sequence[str] = ("page_id", "pos_in_pg"), s
                counter: str = "counter_present", failed: str = "failed",
                out: str = "stock", bucket_steps: int = BUCKET_STEPS, merge_levels: int = MERGE_LEVELS,
                merge_fanin: int = MERGE_FANIN, time_col: str | None = None) -> DataFrame:
-    """One row per key: ``keys`` + ``out`` (INT, NULL when collection failed).
+    """One row per key: ``keys`` + ``out`` (BIGINT, NULL when collection failed).
 
-    With ``time_col`` also ``seen_at``: the latest observation time of the key
-    (the time its stock reading finished), merged in the same aggregates.
+    With ``time_col`` also ``seen_at``: the time at which the reading ended, that is of
+    the first stop or of a failure before it (NULL when that step has no time), else of
+    the last observation with a time; merged in the same aggregates.
     Buckets of ``bucket_steps`` steps are merged ``merge_fanin`` at a time for
     ``merge_levels`` levels, then once per key: the last merge holds at most
     (step range of a key) / (bucket_steps * merge_fanin ** merge_levels)

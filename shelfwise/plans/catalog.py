@@ -29,6 +29,7 @@ PORTFOLIO = ["ring", "gear", "rod"]
 SEARCH_BASE = "https://shop.example/search/"
 HISTORY_CUTOFF = "2024-01-15 00:00:00"
 STRIDE = 3
+N_BRANDS = 30
 NTH = 3
 
 def _lv(spark, base):
@@ -48,7 +49,7 @@ def _part(spark, base):
 
 
 def q_run_summary(spark, base):
-    return reports.run_summary(V.listing_facts_view(spark, base))
+    return reports.run_summary(V.listing_facts_view(spark, base), N_BRANDS)
 
 
 def q_stock_counts(spark, base):
@@ -56,7 +57,7 @@ def q_stock_counts(spark, base):
 
 
 def q_brands_missing(spark, base):
-    return reports.brands_missing(_lv(spark, base))
+    return reports.brands_missing(_lv(spark, base), N_BRANDS)
 
 
 def q_undescribed_count(spark, base):
@@ -196,7 +197,7 @@ def q_stock_known(spark, base):
 
 
 def q_stock_from_observations(spark, base):
-    return stock.fold_stock(V.event_observations(spark, base), keys=["user_id"])
+    return stock.fold_stock(V.event_observations(spark, base), keys=["user_id"], time_col="observed_at")
 
 
 def q_replenish_list(spark, base):
@@ -272,11 +273,11 @@ def q_stride_chunks(spark, base):
 
 
 def q_run_summary_sql(spark, base):
-    return reports.run_summary_sql(_lv(spark, base))
+    return reports.run_summary_sql(_lv(spark, base), N_BRANDS)
 
 
 def q_summary_headings(spark, base):
-    return reports.with_display_headings(reports.run_summary(V.listing_facts_view(spark, base)))
+    return reports.with_display_headings(reports.run_summary(V.listing_facts_view(spark, base), N_BRANDS))
 
 
 def q_brand_rollup(spark, base):
@@ -383,7 +384,7 @@ def _money_sql(expr: str) -> str:
 
 def _units_sql(expr: str) -> str:
     t = f"replace({_tok(expr, 1)}, ',', '')"
-    return f"case when regexp_matches({t}, '^[+-]?[0-9]+$') then try_cast({t} as integer) end"
+    return f"case when regexp_matches({t}, '^[+-]?[0-9]+$') then try_cast({t} as bigint) end"
 
 
 def _amount_sql(amount: str) -> str:
@@ -422,9 +423,9 @@ with t as (
 _OBS = """
 with obs as (
   select user_id, event_id as step,
-         case when event_type in ('view', 'purchase') then cast(floor(value) as integer) end as parsed,
+         case when event_type in ('view', 'purchase') then cast(floor(value) as bigint) end as parsed,
          event_type = 'purchase' or event_type = 'signup' as is_stop,
-         event_type = 'error' as fail
+         event_type = 'error' as fail, date_trunc('second', ts) as seen
   from events),
 stops as (select user_id, min(step) filter (where is_stop) as s from obs group by user_id)
 """
@@ -562,7 +563,8 @@ where exists (select 1 from (values ('ring'), ('gear'), ('rod')) b(brand) where
     "stock_from_observations": _OBS + """
 select o.user_id,
        case when bool_or(o.fail) then null
-            else coalesce(arg_max(o.parsed, o.step) filter (where o.parsed is not null), 0) end as stock
+            else coalesce(arg_max(o.parsed, o.step) filter (where o.parsed is not null), 0) end as stock,
+       coalesce(arg_min(o.seen, o.step) filter (where o.is_stop or o.fail), max_by(o.seen, o.step)) as seen_at
 from obs o join stops s on s.user_id = o.user_id
 where s.s is null or o.step <= s.s
 group by o.user_id""",

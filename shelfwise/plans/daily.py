@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import extract, listings, reports
+from ..operators import extract, listings, relevance, reports
 from ..sources import sinks
 
 # The card and field selectors of a search page (tag, class token).
@@ -55,6 +55,8 @@ def daily_run(spark: SparkSession, pages: DataFrame, descriptions: DataFrame, ob
               description_marker: str | None = None, platform: str = reports.DEFAULT_PLATFORM,
               csv_prefix: str = "stocks_data_") -> DataFrame:
     """Run one day; returns the run summary (read from the written listings table)."""
+    listed = relevance.brands_frame(spark, brands).select("brand").distinct()
+    pages = pages.join(listed, "brand", "left_semi")           # only pages of listed brands
     rows = listings.build_listings(search_cards(pages), descriptions, observations, description_marker)
     table = _join(out_dir, "listings")
     sinks.write_listings(rows, table, day)

@@ -27,7 +27,7 @@ STOCK_OBSERVATIONS = _s(("page_id", L, False), ("pos_in_pg", L, False), ("step",
 DESCRIPTIONS = _s(("page_id", L, False), ("pos_in_pg", L, False), ("description", S, True))
 
 LISTINGS = _s(("sku", S, True), ("brand", S, True), ("quantity", S, True), ("price", D, True),
-              ("price_if_discounted", D, True), ("pos_in_pg", L, True), ("stock", I, True),
+              ("price_if_discounted", D, True), ("pos_in_pg", L, True), ("stock", L, True),
               ("description", S, True), ("report_time", TS, True), ("page_id", L, True),
               ("report_date", DT, True))
 

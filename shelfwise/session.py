@@ -52,10 +52,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster (``spark.checkpoint.dir``).
 
     Only when the setting is absent (local tests) a folder of our own is
-    created and registered; on a cluster the configured shared folder wins.
+    created and registered; on a cluster the missing setting is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="shelfwise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -47,7 +47,7 @@ def null_to_empty(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
 
 
 def typed_history(text: DataFrame) -> DataFrame:
-    """Typed copies of the sheet columns: ``stock_n`` INT and ``report_ts`` TIMESTAMP_NTZ."""
+    """Typed copies of the sheet columns: ``stock_n`` BIGINT and ``report_ts`` TIMESTAMP_NTZ."""
     return text.withColumn("stock_n", TX.units("stock")) \
         .withColumn("report_ts", TF.parse_report_time(F.col("report_time"), TF.SHEET_TIME))
 

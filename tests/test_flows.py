@@ -216,7 +216,7 @@ def test_daily_run_keeps_every_row_and_other_days(spark, scratch):
 
     def run(pages, day):
         return daily.daily_run(spark, spark.createDataFrame(pages, LANDED_PAGES), spark.createDataFrame([], DESCRIPTIONS),
-                               spark.createDataFrame([], STOCK_OBSERVATIONS), ["Nor"], scratch, day).collect()
+                               spark.createDataFrame([], STOCK_OBSERVATIONS), ["Nor", "Vela"], scratch, day).collect()
 
     assert run(PAGES, "2024-03-02")[0].skus == 4
     assert run(late, "2024-03-01")[0].skus == 3
@@ -231,3 +231,12 @@ def test_prefilter_keeps_what_the_parser_matches(spark):
     pages = spark.createDataFrame([(1, '<LI>x</LI>'), (2, '<p class="a&#100;">y</p>')], "page_id bigint, html string")
     assert [r.page_id for r in extract.parse_cards(pages, ("LI", None)).collect()] == [1]
     assert [r.page_id for r in extract.parse_cards(pages, ("P", "ad")).collect()] == [2]
+
+
+def test_unlisted_brands_and_repeated_descriptions(spark, scratch):
+    desc = [*DESC, (1, 1, "A newer text"), (1, 1, None)]
+    s = daily.daily_run(spark, spark.createDataFrame(PAGES, LANDED_PAGES), spark.createDataFrame(desc, DESCRIPTIONS),
+                        spark.createDataFrame(OBS, STOCK_OBSERVATIONS), ["Nor"], scratch, "2024-03-01").collect()[0]
+    assert (s["skus"], s["brands_failed_stock"]) == (2, 0)
+    rows = {r.sku: r.description for r in sinks.read_listings(spark, os.path.join(scratch, "listings")).collect()}
+    assert rows == {"Nor Power 1kg": "Good soap", "nor bar": ""}

@@ -54,7 +54,7 @@ def test_run_summary_ties_spans_and_empty(spark):
     assert r.time_to_scrape_stocks == "00:00:30"
     top = reports.slowest_brand(spark.createDataFrame(rows, SCHEMA)).collect()[0]
     assert top.brand == "Long" and top.span_seconds == 86430
-    assert reports.run_summary(spark.createDataFrame([], SCHEMA)).count() == 0
+    assert reports.run_summary(spark.createDataFrame([], SCHEMA), 30).count() == 0
     assert reports.run_summary(spark.createDataFrame(rows, SCHEMA),
                                spark.createDataFrame([("a",)] * 5, "brand string")).collect()[0].brands_failed_stock == 2
 
@@ -97,7 +97,7 @@ def test_facts_view_equals_facts_of_listing_view(spark):
 
 
 def test_summary_plan_has_no_join(spark):
-    plan = reports.run_summary(V.listing_facts_view(spark, "/root/testdata/sf0.001"))._jdf.queryExecution() \
+    plan = reports.run_summary(V.listing_facts_view(spark, "/root/testdata/sf0.001"), 30)._jdf.queryExecution() \
         .optimizedPlan().toString()
     # only the view's two left joins; the report itself adds none (no cross join of its halves)
     assert plan.count("Join ") == 2 and "Cross" not in plan and plan.count("LeftOuter") == 2

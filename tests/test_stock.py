@@ -1,3 +1,4 @@
+import datetime as dt
 import random
 
 from shelfwise.operators import stock
@@ -101,3 +102,16 @@ def test_fold_plan_spreads_hot_keys(spark):
     # the full shuffle is on (key, segment), never on the key alone
     assert "hashpartitioning(page_id" in plan and "seg" in plan
     assert "MapInPandas" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_fold_time_is_the_end_of_the_reading(spark):
+    t = [dt.datetime(2024, 1, 1, 10) + dt.timedelta(hours=h) for h in range(5)]
+    rows = [(1, 1, 1, "1", False, True, False, t[0]), (1, 1, 2, "5", True, True, False, t[1]),
+            (1, 1, 3, "9", False, True, True, t[3]),                              # after the stop: not read
+            (1, 2, 1, "3", False, True, True, t[1]), (1, 2, 2, "4", True, True, False, t[2]),
+            (1, 3, 1, "3000000000 in bag", False, True, False, t[2]), (1, 3, 2, "x", False, True, False, None)]
+    df = spark.createDataFrame(rows, STOCK_OBSERVATIONS)
+    for b, levels in ((1, 0), (1, 2), (1 << 16, 1)):
+        got = {r.pos_in_pg: (r.stock, r.seen_at) for r in stock.fold_stock(
+            df, bucket_steps=b, merge_fanin=2, merge_levels=levels, time_col="observed_at").collect()}
+        assert got == {1: (5, t[1]), 2: (None, t[1]), 3: (3000000000, t[2])}

@@ -41,7 +41,7 @@ def py_units(t, n=1):
     if not re.fullmatch(TX.INTEGER_TEXT, tok):
         return None
     v = int(tok)
-    return v if -2**31 <= v < 2**31 else None
+    return v if -2**63 <= v < 2**63 else None
 
 
 EDGE_PRICES = [
