@@ -54,7 +54,7 @@ EDGE_PRICES = [
 
 EDGE_UNITS = [
     ("1,200 in bag", 1200), ("  12", 12), ("1.5 left", None), ("add to bag", None), ("", None), (None, None),
-    ("+7", 7), ("-3 x", -3), ("99999999999", None), ("12" + NBSP + "x", 12), ("1_000", None),
+    ("+7", 7), ("-3 x", -3), ("99999999999", 99999999999), ("9" * 20, None), ("12" + NBSP + "x", 12), ("1_000", None),
 ]
 
 
