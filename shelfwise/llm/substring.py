@@ -235,26 +235,24 @@ def repeated_starts(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
             first = at[brk] if len(at) else at
             runs = np.diff(np.append(np.flatnonzero(brk), len(at))) if len(at) else at
             rows_at = np.concatenate((named, first)).astype(np.int64)
-            n = np.concatenate((np.ones(len(named), np.int64), runs))
+            n = np.concatenate((np.where(known[named], -1, 0), runs))
             run = np.concatenate((np.zeros(len(named), bool), np.ones(len(first), bool)))
-            dup = np.concatenate((known[named], np.ones(len(first), bool)))
             # a run is no window: it gets a key of its own, apart from the windows' keys
             key1, key2 = k1[rows_at], k2[rows_at]
             key1[run] ^= np.uint64(0xFFFFFFFFFFFFFFFF)
             who = pa.array(owner[rows_at])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()).take(who), pa.array(hashes, pa.int64()).take(who),
-                 pa.array(start[rows_at].astype(np.int32)), pa.array(n.astype(np.int32)),
-                 pa.array(key1.view(np.int64)), pa.array(key2.view(np.int64)),
-                 pa.array(dup.astype(np.int8) + run.astype(np.int8))],
-                names=["__id", "__h", "at", "n", "k1", "k2", "state"])
+                 pa.array(n.astype(np.int32)), pa.array(start[rows_at].astype(np.int32)),
+                 pa.array(key1.view(np.int64)), pa.array(key2.view(np.int64))],
+                names=["__id", "__h", "n", "at", "k1", "k2"])
 
-    # state 0: known once here; 1: repeated here, told by a run; 2: such a run
-    found = d.mapInArrow(suspects, "__id bigint, __h bigint, at int, n int, k1 bigint, k2 bigint, state tinyint")
+    # n = 0: a window named once here; -1: one repeated here, told by a run; above: such a run of n
+    found = d.mapInArrow(suspects, "__id bigint, __h bigint, n int, at int, k1 bigint, k2 bigint")
     times = F.count("*").over(Window.partitionBy("k1", "k2"))
     return found.withColumn("times", times) \
-        .filter((F.col("state") == 2) | ((F.col("state") == 0) & (F.col("times") > 1))) \
-        .select("__id", "__h", "at", "n")
+        .filter((F.col("n") > 0) | ((F.col("n") == 0) & (F.col("times") > 1))) \
+        .select("__id", "__h", "at", F.greatest("n", F.lit(1)).alias("n"))
 
 
 def _covered(n_words: int, starts: list, counts: list, window: int) -> np.ndarray:
