@@ -4,7 +4,9 @@ Two forms of the same selection ("elements of tag T whose class attribute holds
 token K, in document order"):
 
 * ``class_pattern`` / ``first_text`` / ``all_texts``: Java regular expressions,
-  evaluated JVM-side. Exact for flat markup (the element holds text only).
+  evaluated JVM-side. Agree with the parser on flat markup (the element holds
+  text only); not read: class names written with character references, named
+  entities beyond the basic ones, text of ``template`` as hidden.
 * ``CardCollector``: a ``html.parser`` handler used per page inside
   ``mapInPandas`` (see ``operators.extract.parse_cards``). Exact for nested
   markup: class matching is by token, fields are the first matching descendant
@@ -27,60 +29,95 @@ VOID_TAGS = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN_TEXT_TAGS = frozenset(["script", "style", "template"])
 
-# The five basic entities decoded by the regex form.
-BASIC_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
+# The basic entities decoded by the regex form (besides numeric references).
+BASIC_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&")]
+NUMERIC_REFERENCE = r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
+
+# What holds no elements: comments, and the raw text of scripts and styles.
+NOT_MARKUP = r"(?is)<!--.*?-->|<(script|style)\b[^>]*+>.*?(?:</\1[^>]*+>|\z)"
+# An attribute's value (quoted either way, or bare), and the rest of an opening tag: quoted values are stepped over.
+VALUE = r"(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'>]++))?+"
+REST_OF_TAG = r"(?:[^\"'>]++|\"[^\"]*+\"|'[^']*+')*+>"
 
 
 def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def class_pattern(tag: str, token: str) -> str:
-    """Regex for the opening tag of ``<tag class="... token ...">`` (token-aware).
+def visible(html: ColumnOrName) -> Column:
+    """The page without comments, scripts and styles: their text is no markup."""
+    return F.regexp_replace(_col(html), NOT_MARKUP, "")
+
+
+def _upto_attr(tag: str | None, attr: str) -> str:
+    """Regex of an opening tag (any, if ``tag`` is None) up to the value of its first ``attr``."""
+    name = r"[a-zA-Z][^\s/>]*+" if tag is None else rf"(?i:{re.escape(tag)})(?=[\s/])"
+    a = re.escape(attr)
+    return rf"<{name}(?:[\s/]++(?!(?i:{a})[\s=/>])[^\s\"'>/=]++{VALUE})*+[\s/]++(?i:{a})\s*+=\s*+"
+
+
+def class_pattern(tag: str | None, token: str) -> str:
+    """Regex for the opening tag of ``<tag class="... token ...">`` (token-aware); any tag, if None.
 
     Tag and attribute names match in any case, as in HTML; the class token is
-    case-sensitive.
+    case-sensitive. Attributes are read one by one, so neither ``data-class`` nor
+    text inside another value is taken for a class.
     """
-    t = re.escape(tag)
     k = re.escape(token)
-    return (rf"<(?i:{t})\b[^>]*?\b(?i:class)\s*=\s*(?:\"(?:[^\"]*\s)?{k}(?:\s[^\"]*)?\""
-            rf"|'(?:[^']*\s)?{k}(?:\s[^']*)?')[^>]*>")
+    return (_upto_attr(tag, "class") + rf"(?:\"(?:[^\"]*\s)?{k}(?:\s[^\"]*)?\"|'(?:[^']*\s)?{k}(?:\s[^']*)?'"
+            rf"|{k}(?=[\s>])){REST_OF_TAG}")
+
+
+def _character(ref: Column) -> Column:
+    """The character of a numeric reference; an ampersand stays a reference, for the named entities' turn."""
+    digits = F.regexp_replace(ref, "[^0-9a-fA-F]", "")
+    hexed = F.when(F.lower(F.substring(ref, 3, 1)) == "x", digits).otherwise(F.conv(digits, 10, 16))
+    code = F.conv(hexed, 16, 10).cast("bigint")
+    known = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    return F.when(code == 38, "&amp;").when(known, F.decode(F.unhex(F.lpad(hexed, 8, "0")), "UTF-32")) \
+        .otherwise("\ufffd")
 
 
 def decode_basic(c: ColumnOrName) -> Column:
-    out = _col(c)
+    """Numeric references and the basic entities decoded."""
+    c = _col(c)
+    refs = F.regexp_extract_all(c, F.lit(NUMERIC_REFERENCE), F.lit(0))
+    decoded = F.array_join(F.transform(F.split(c, NUMERIC_REFERENCE, -1), lambda piece, i: F.concat(
+        piece, F.when(i < F.size(refs), _character(F.get(refs, i))).otherwise(""))), "")
+    out = F.when(F.contains(c, F.lit("&#")), decoded).otherwise(c)
     for ent, ch in BASIC_ENTITIES:
         out = F.replace(out, F.lit(ent), F.lit(ch))
     return out
 
 
-def has_class(html: ColumnOrName, tag: str, token: str) -> Column:
-    return _col(html).rlike(class_pattern(tag, token))
+def has_class(html: ColumnOrName, tag: str | None, token: str) -> Column:
+    return visible(html).rlike(class_pattern(tag, token))
 
 
-def first_text(html: ColumnOrName, tag: str, token: str, decode: bool = True) -> Column:
-    """Text of the first ``tag.token`` element (flat markup); NULL when there is none."""
+def first_text(html: ColumnOrName, tag: str | None, token: str, decode: bool = True) -> Column:
+    """Text of the first ``tag.token`` element (flat markup; any tag, if None); NULL when there is none."""
     p = class_pattern(tag, token)
-    txt = F.regexp_extract(_col(html), p + r"([^<]*)", 1)
+    txt = F.regexp_extract(visible(html), p + r"([^<]*)", 1)
     txt = decode_basic(txt) if decode else txt
-    return F.when(_col(html).rlike(p), txt)
+    return F.when(has_class(html, tag, token), txt)
 
 
-def all_texts(html: ColumnOrName, tag: str, token: str) -> Column:
+def all_texts(html: ColumnOrName, tag: str | None, token: str) -> Column:
     """Array of the texts of all ``tag.token`` elements (flat markup), document order."""
-    return F.regexp_extract_all(_col(html), F.lit(class_pattern(tag, token) + r"([^<]*)"), F.lit(1))
+    return F.regexp_extract_all(visible(html), F.lit(class_pattern(tag, token) + r"([^<]*)"), F.lit(1))
 
 
 def tag_text(html: ColumnOrName, tag: str) -> Column:
     """Text of the first ``<tag>`` element (flat), NULL when absent."""
-    p = rf"<(?i:{re.escape(tag)})\b[^>]*>([^<]*)"
-    return F.when(_col(html).rlike(p), decode_basic(F.regexp_extract(_col(html), p, 1)))
+    p = rf"<(?i:{re.escape(tag)})(?=[\s/>]){REST_OF_TAG}([^<]*)"
+    return F.when(visible(html).rlike(p), decode_basic(F.regexp_extract(visible(html), p, 1)))
 
 
 def attr_value(html: ColumnOrName, tag: str, attr: str) -> Column:
-    """Value of ``attr`` on the first ``<tag>``, NULL when absent."""
-    p = rf"<(?i:{re.escape(tag)})\b[^>]*?\b(?i:{re.escape(attr)})\s*=\s*\"([^\"]*)\""
-    return F.when(_col(html).rlike(p), F.regexp_extract(_col(html), p, 1))
+    """Value of ``attr`` on the first ``<tag>`` that has it, quoted either way or bare; NULL when absent."""
+    p = _upto_attr(tag, attr) + r"(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
+    value = F.concat(*[F.regexp_extract(visible(html), p, g) for g in (1, 2, 3)])
+    return F.when(visible(html).rlike(p), decode_basic(value))
 
 
 class CardCollector(HTMLParser):

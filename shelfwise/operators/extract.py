@@ -23,8 +23,8 @@ cloudpickle.register_pickle_by_value(H)
 
 ColumnOrName = Column | str
 
-# Fixed value: the element whose presence shifts the page layout by one section.
-BANNER = ("div", "important-banner")
+# Fixed value: the element (of any tag) whose presence shifts the page layout by one section.
+BANNER = (None, "important-banner")
 
 
 def _col(c: ColumnOrName) -> Column:
@@ -53,10 +53,11 @@ def regex_cards(pages: DataFrame, pattern: str, groups: dict[str, int], html: st
                            *[F.regexp_extract("__match", pattern, g).alias(n) for n, g in groups.items()])
 
 
-def class_cards(pages: DataFrame, tag: str, token: str, html: str = "html",
+def class_cards(pages: DataFrame, tag: str | None, token: str, html: str = "html",
                 keep: Iterable[str] = ("page_id",), decode: bool = True) -> DataFrame:
-    """Flat ``tag.token`` elements as rows: ``keep``, ``pos_in_pg``, ``card_text``."""
-    out = regex_cards(pages, H.class_pattern(tag, token) + r"([^<]*)", {"card_text": 1}, html, keep)
+    """Flat ``tag.token`` elements (any tag, if None) as rows: ``keep``, ``pos_in_pg``, ``card_text``."""
+    out = regex_cards(pages.withColumn(html, H.visible(html)), H.class_pattern(tag, token) + r"([^<]*)",
+                      {"card_text": 1}, html, keep)
     return out.withColumn("card_text", H.decode_basic("card_text")) if decode else out
 
 
@@ -113,7 +114,7 @@ def nth(cards_array: ColumnOrName, pos: int | ColumnOrName) -> Column:
     return F.try_element_at(_col(cards_array), p)
 
 
-def layout_section(html: ColumnOrName, banner: tuple[str, str] = BANNER,
+def layout_section(html: ColumnOrName, banner: tuple[str | None, str] = BANNER,
                    with_banner: int = 3, without_banner: int = 2) -> Column:
     """Layout choice by page: section index when a banner element is present, else the default."""
     return F.when(H.has_class(html, *banner), F.lit(with_banner)).otherwise(F.lit(without_banner))

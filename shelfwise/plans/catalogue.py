@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import html as HT
 from ..functions import text as TX
 from ..functions import timefmt as TF
 from ..operators import extract, relevance, stock
@@ -25,10 +26,15 @@ from ..sources import history as H
 # Card and field selectors of the catalogue page (tag, class token).
 CATALOGUE_CARD = ("div", "product")
 CATALOGUE_FIELDS = {"sku": ("div", "name"), "quantity": ("div", "subText")}
+CATALOGUE_LOCATION = "metropolitanAreaName"        # class token, of any tag
 
 
 def catalogue_rows(pages: DataFrame, observations: DataFrame, portfolio: Sequence[str]) -> DataFrame:
-    """History rows (sku label, stock, location, report_time as text) plus ``report_date``."""
+    """History rows (sku label, stock, location, report_time as text) plus ``report_date``.
+
+    The location is the landed page's own, else the text of its first element of the location class.
+    """
+    pages = pages.withColumn("location", F.coalesce("location", HT.first_text("html", None, CATALOGUE_LOCATION)))
     cards = extract.parse_cards(pages, CATALOGUE_CARD, CATALOGUE_FIELDS,
                                 keep=("page_id", "location", "captured_at"))
     cards = cards.withColumn("quantity", TX.strip_spaces("quantity"))

@@ -91,6 +91,26 @@ def test_regex_and_parser_agree_on_random_flat_markup(spark):
     assert a == b and len(a) > 100
 
 
+def test_regex_and_parser_agree_on_odd_tags(spark):
+    import random
+    rnd = random.Random(5)
+    parts = ['<div class="card">a&nbsp;b &#233; &#xE9; &#38;lt; &amp;#39;</div>', "<div data-class='card'>no</div>",
+             '<div title="x > y" class="b card">after a bracket</div>', "<div title='class=\"card\"'>no</div>",
+             '<!-- <div class="card">no</div> -->', "<script>s = '<div class=\"card\">';</script>",
+             '<STYLE>x<div class="card"></style>', "<DIV\nCLASS=card\nid=k>bare</DIV>", "<div class=cards>no</div>",
+             '<div id=a/b class="card" disabled>slash</div>', '<div class="x" class="card">second class</div>',
+             '<divx class="card">no</divx>', "<div disabled class='card x'>flag</div>", "<div class=\"a'card\">no</div>",
+             '<span class="card">other tag</span>']
+    pages = [(i, "".join(rnd.sample(parts, rnd.randint(1, 6)))) for i in range(300)]
+    df = spark.createDataFrame(pages, "page_id long, html string")
+    a = sorted(map(tuple, extract.parse_cards(df, ("div", "card")).collect()))
+    b = sorted(map(tuple, extract.class_cards(df, "div", "card").collect()))
+    assert a == b and len(a) > 100
+    values = spark.createDataFrame([("<html dir=x lang='bn'>",), ('<html lang="a&amp;b">',), ("<html LANG=fr>",),
+                                    ("<html data-lang='no'>",)], "html string")
+    assert [r[0] for r in values.select(H.attr_value("html", "html", "lang")).collect()] == ["bn", "a&b", "fr", None]
+
+
 def test_parser_batch_without_cards(spark):
     pages = spark.createDataFrame([(1, "Nor", "<p>imageWrapper mentioned only</p>"), (2, "Nor", None),
                                    (3, "Nor", "<script>'<div class=\"imageWrapper\">'</script>")],
