@@ -19,6 +19,7 @@ from ..operators import extract, listings, relevance, reports, stock
 from ..sources import history
 from ..sources.landed import brand_urls
 from ..sources.tables import read_table
+from . import catalogue, daily
 from . import views as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Fixed values used by the registered queries (parameters of the operators).
 PREFIX_BRANDS = ["Red", "Small", "Hot"]
 PORTFOLIO = ["ring", "gear", "rod"]
+CATALOGUE_PORTFOLIO = ["th", "en"]
 SEARCH_BASE = "https://shop.example/search/"
 HISTORY_CUTOFF = "2024-01-15 00:00:00"
 STRIDE = 3
@@ -294,7 +296,58 @@ def q_preview_top5(spark, base):
     return reports.preview(_lv(spark, base), ["doc_id"], 5)
 
 
+def q_layout_shapes(spark, base):
+    return V.shaped_pages(spark, base).select("page_id", extract.layout_section("html").alias("section"))
+
+
+def q_banner_shapes(spark, base):
+    return V.shaped_pages(spark, base).select("page_id", H.first_text("html", *extract.BANNER).alias("banner_text"))
+
+
+def q_heading_shapes(spark, base):
+    return V.shaped_pages(spark, base).select(
+        "page_id", extract.fallback(H.tag_text("html", "h2"), H.tag_text("html", "h1")).alias("heading"))
+
+
+def q_card_shapes(spark, base):
+    return extract.parse_cards(V.shaped_pages(spark, base), ("div", "ad"))
+
+
+def q_card_shapes_regex(spark, base):
+    return extract.class_cards(V.shaped_pages(spark, base), "div", "ad")
+
+
+def q_card_at_position(spark, base):
+    pos = (F.pmod("page_id", F.lit(9)) + 1).cast("int")
+    return _pages(spark, base).select("page_id", extract.nth(V.nav_links_array(), pos).alias("card_text"))
+
+
+def q_listings_built(spark, base):
+    cards = daily.search_cards(V.composed_pages(spark, base, daily.SEARCH_CARD[1]))
+    return listings.build_listings(cards, V.page_descriptions(spark, base), V.page_observations(spark, base),
+                                   V.FAILED_MARKER)
+
+
+def q_listings_summary(spark, base):
+    return reports.run_summary(q_listings_built(spark, base), N_BRANDS)
+
+
+def q_catalogue_rows(spark, base):
+    head = f'<span class="big {catalogue.CATALOGUE_LOCATION}">North\nSide</span>'
+    pages = V.composed_pages(spark, base, catalogue.CATALOGUE_CARD[1], head)
+    return catalogue.catalogue_rows(pages, V.page_observations(spark, base), CATALOGUE_PORTFOLIO)
+
+
 QUERIES: dict[str, Query] = {
+    "layout_shapes": q_layout_shapes,
+    "banner_shapes": q_banner_shapes,
+    "heading_shapes": q_heading_shapes,
+    "card_shapes": q_card_shapes,
+    "card_shapes_regex": q_card_shapes_regex,
+    "card_at_position": q_card_at_position,
+    "listings_built": q_listings_built,
+    "listings_summary": q_listings_summary,
+    "catalogue_rows": q_catalogue_rows,
     "run_summary": q_run_summary,
     "stock_counts": q_stock_counts,
     "brands_missing": q_brands_missing,
@@ -617,6 +670,85 @@ from lv group by brand""",
     "stock_text": _BAGS + f"select l_orderkey, l_linenumber, {_tok('bag_text', 1)} as stock from t",
 }
 
+_HEADING_ENTITIES = """replace(replace(replace(replace(replace({}, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'),
+      '&#39;', ''''), '&amp;', '&')"""
+
+_FLOW = f"""
+with links as (
+  select page_id, captured_at, brand, cast(generate_subscripts(t, 1) as bigint) as pos_in_pg,
+         translate(unnest(t), '&', '+') as sku
+  from (select page_id, timestamp '2024-03-01 00:00:00' + to_minutes(page_id) as captured_at,
+               case page_id % 4 when 0 then 'E' when 1 then 't' when 2 then 'o' end as brand,
+               regexp_extract_all(html, {_NAV}, 2) as t from pages)
+  where len(t) > 0),
+obs as (
+  select user_id as page_id, event_id % 6 + 1 as pos_in_pg, event_id as step,
+         case when event_type in ('view', 'purchase') then cast(floor(value) as bigint) end as parsed,
+         event_type = 'purchase' or event_type = 'signup' as is_stop,
+         event_type = 'error' as fail, date_trunc('second', ts) as seen
+  from events),
+stops as (select page_id, pos_in_pg, min(step) filter (where is_stop) as s from obs group by 1, 2),
+folded as (
+  select o.page_id, o.pos_in_pg,
+         case when bool_or(o.fail) then null
+              else coalesce(arg_max(o.parsed, o.step) filter (where o.parsed is not null), 0) end as stock,
+         coalesce(arg_min(o.seen, o.step) filter (where o.is_stop or o.fail), max_by(o.seen, o.step)) as seen_at
+  from obs o join stops s on s.page_id = o.page_id and s.pos_in_pg = o.pos_in_pg
+  where s.s is null or o.step <= s.s
+  group by 1, 2),
+described as (
+  select doc_id // 5 as page_id, doc_id % 5 + 1 as pos_in_pg, max(text) as description from documents group by 1, 2),
+built as (
+  select l.sku, l.brand, cast(l.pos_in_pg as varchar) || ' kg' as quantity,
+         cast(l.page_id * 100 + l.pos_in_pg as double) + 0.5 as price,
+         case when l.pos_in_pg % 2 = 1 then cast(l.pos_in_pg as double) end as price_if_discounted, l.pos_in_pg,
+         f.stock, coalesce(replace(d.description, chr(10), ' '), 'ERROR') as description,
+         coalesce(f.seen_at, l.captured_at) as report_time, l.page_id
+  from links l left join folded f on f.page_id = l.page_id and f.pos_in_pg = l.pos_in_pg
+  left join described d on d.page_id = l.page_id and d.pos_in_pg = l.pos_in_pg
+  where l.sku ilike l.brand || '%')
+"""
+
+ORACLE_SQL |= {
+    "layout_shapes": """
+select page_id, case when page_id % 6 in (0, 4) or html like '%important-banner%' then 3 else 2 end as section
+from pages""",
+    "banner_shapes": """
+select page_id, case page_id % 6 when 0 then 'Sale & more' when 4 then 'Now' end as banner_text from pages""",
+    "heading_shapes": f"""
+select page_id, case page_id % 6 when 1 then 'Top' || chr(160) || chr(233) when 2 then 'Second <1>'
+  else {_HEADING_ENTITIES.format("case when regexp_matches(html, '<h1[ >]') then regexp_extract(html, '<h1[^>]*>([^<]*)', 1) end")}
+  end as heading
+from pages""",
+    "card_at_position": f"""
+select page_id, regexp_extract_all(html, {_NAV}, 2)[page_id % 9 + 1] as card_text from pages""",
+    "listings_built": _FLOW + "select * from built",
+    "listings_summary": _FLOW + f"""
+, per as (select brand, min(report_time) as lo, max(report_time) as hi from built group by brand),
+top as (
+  select brand, {_SPAN.format(hi='hi', lo='lo')} as span_text, date_diff('second', lo, hi) as secs from per
+  order by 2 desc nulls last, brand asc nulls last limit 1)
+select 'shop' as platform, t1.*, top.brand as longest_stock_to_scrape, top.span_text as longest_time_to_scrape_stock
+from (select count(sku) as skus, count(case when stock = 0 then sku end) as skus_out_of_stock,
+             count(case when stock is null then sku end) as skus_failed_stock,
+             30 - count(distinct brand) as brands_failed_stock,
+             count(case when length(description) = 0 then sku end) as skus_not_described,
+             min(report_time) as stocking_start_time,
+             {_SPAN.format(hi='max(report_time)', lo='min(report_time)')} as time_to_scrape_stocks
+      from built) t1, top""",
+    "catalogue_rows": _FLOW + """
+select l.sku || ' ' || cast(l.pos_in_pg as varchar) || 'kg' as sku, cast(f.stock as varchar) as stock,
+       'North Side' as location, strftime(l.captured_at, '%d-%b-%y, %I:%M %p') as report_time,
+       cast(l.captured_at as date) as report_date
+from links l join folded f on f.page_id = l.page_id and f.pos_in_pg = l.pos_in_pg
+where f.stock is not null and (contains(l.sku, 'th') or contains(l.sku, 'en'))""",
+}
+ORACLE_SQL["card_shapes"] = """
+select page_id, cast(generate_subscripts(a, 1) as bigint) as pos_in_pg, unnest(a) as card_text
+from (select page_id, list_concat(case page_id % 6 when 3 then ['quoted'] when 4 then ['bare'] else [] end,
+                                  regexp_extract_all(html, '<div class="ad">([^<]*)</div>', 1)) as a from pages)
+where len(a) > 0"""
+ORACLE_SQL["card_shapes_regex"] = ORACLE_SQL["card_shapes"]
 ORACLE_SQL["run_summary_sql"] = ORACLE_SQL["run_summary"]
 ORACLE_SQL["summary_headings"] = """
 select platform, skus as "SKUs", skus_out_of_stock as "SKUs out of stock",

@@ -147,6 +147,63 @@ def event_observations(spark: SparkSession, base: str) -> DataFrame:
                      TF.to_seconds_ntz("ts").alias("observed_at"))
 
 
+# Markup put in front of a test page, by page id modulo their number.
+PAGE_SHAPES = [
+    '<section class="wide important-banner">Sale &amp; more</section>',
+    '<!-- <div class="important-banner">old</div> --><h2 class="t">Top&nbsp;&#233;</h2>',
+    '<script>var s = \'<div class="important-banner">\';</script><h2>Second &lt;1&gt;</h2>',
+    '<DIV data-class="important-banner" title="a > b">no</DIV><div title="a > b" class=\'x ad\'>quoted</div>',
+    "<p class='important-banner'>Now</p><DIV CLASS=ad>bare</DIV>",
+    "",
+]
+
+
+def shaped_pages(spark: SparkSession, base: str) -> DataFrame:
+    """page_id, html: pages with banners of several tags, commented ones, second headings and other quotes."""
+    shape = F.element_at(F.array(*[F.lit(s) for s in PAGE_SHAPES]),
+                         (F.pmod("page_id", F.lit(len(PAGE_SHAPES))) + 1).cast("int"))
+    return read_table(spark, base, "pages").select("page_id", F.concat(shape, "html").alias("html"))
+
+
+def _div(token: str, *content: Column) -> Column:
+    return F.concat(F.lit(f'<div class="{token}">'), *content, F.lit("</div>"))
+
+
+def composed_pages(spark: SparkSession, base: str, card: str, head: str = "") -> DataFrame:
+    """Landed pages whose cards are the navigation links of ``pages``.
+
+    The name is the link text, the quantity the position, the price is made of
+    page and position, odd positions have a discount; the brand is E, t, o or
+    NULL by page; pages are captured a minute apart.
+    """
+    def one(text: Column, i: Column) -> Column:
+        pos = (i + 1).cast("bigint")
+        price = F.concat(F.lit("Tk "), F.format_number(F.col("page_id") * 100 + pos, 0), F.lit(".50"))
+        return _div(card, _div("name", F.translate(text, "&", "+")), _div("subText", pos.cast("string"), F.lit(" kg")),
+                    _div("price", price),
+                    F.when(pos % 2 == 1, _div("discountedPrice", F.lit("Tk "), pos.cast("string"))).otherwise(""))
+
+    brand = F.get(F.array(F.lit("E"), F.lit("t"), F.lit("o"), F.lit(None)), F.pmod("page_id", F.lit(4)).cast("int"))
+    at = F.expr("timestamp_ntz'2024-03-01 00:00:00' + make_dt_interval(0, 0, cast(page_id as int))")
+    return read_table(spark, base, "pages").select(
+        "page_id", brand.alias("brand"), F.lit(None).cast("string").alias("location"), at.alias("captured_at"),
+        F.concat(F.lit(head), F.array_join(F.transform(nav_links_array(), one), "")).alias("html"))
+
+
+def page_observations(spark: SparkSession, base: str) -> DataFrame:
+    """Events as observations of page positions: the page is the user id, the position event id modulo 6, plus 1."""
+    o = event_observations(spark, base)
+    return o.select(F.col("user_id").cast("bigint").alias("page_id"),
+                    (F.pmod("step", F.lit(6)) + 1).cast("bigint").alias("pos_in_pg"), *o.columns[1:])
+
+
+def page_descriptions(spark: SparkSession, base: str) -> DataFrame:
+    """Documents as fetched descriptions, five to a page."""
+    return read_table(spark, base, "documents").select(
+        F.expr("doc_id div 5").alias("page_id"), (F.pmod("doc_id", F.lit(5)) + 1).cast("bigint").alias("pos_in_pg"),
+        F.col("text").alias("description"))
+
+
 def page_location(html: str = "html") -> Column:
     """Page-level attribute carried onto every card (the page language here)."""
     return H.attr_value(html, "html", "lang")
