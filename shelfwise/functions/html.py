@@ -130,10 +130,12 @@ class CardCollector(HTMLParser):
     parsers do; void elements are never opened.
     """
 
-    def __init__(self, card: tuple[str, str | None], fields: dict[str, tuple[str, str | None]]):
+    def __init__(self, card: tuple[str, str | None], fields: dict[str, tuple[str, str | None]],
+                 card_text: bool = True):
         super().__init__(convert_charrefs=True)
         self.card = card
         self.fields = fields
+        self.card_text = card_text
         self.cards: list[dict] = []
         # open elements: (tag, card index it opened, list of (card idx, field) it opened)
         self._stack: list[tuple[str, int | None, list[tuple[int, str]]]] = []
@@ -198,8 +200,9 @@ class CardCollector(HTMLParser):
     def handle_data(self, data):
         if self._hidden:
             return
-        for ci in self._open_cards:
-            self.cards[ci]["_text"].append(data)
+        if self.card_text:
+            for ci in self._open_cards:
+                self.cards[ci]["_text"].append(data)
         for ci, name in self._open_fields:
             self.cards[ci][name].append(data)
 
@@ -211,19 +214,19 @@ class CardCollector(HTMLParser):
     def rows(self) -> list[dict]:
         out = []
         for rec in self.cards:
-            row = {"card_text": "".join(rec["_text"])}
+            row = {"card_text": "".join(rec["_text"])} if self.card_text else {}
             for name in self.fields:
                 row[name] = "".join(rec[name]) if name in rec else None
             out.append(row)
         return out
 
 
-def collect_cards(html: str | None, card: tuple[str, str],
-                  fields: dict[str, tuple[str, str]]) -> list[dict]:
-    """Cards of one page as dicts (``card_text`` plus one key per field)."""
+def collect_cards(html: str | None, card: tuple[str, str | None],
+                  fields: dict[str, tuple[str, str | None]], card_text: bool = True) -> list[dict]:
+    """Cards of one page as dicts (``card_text``, if wanted, plus one key per field)."""
     if html is None:
         return []
-    p = CardCollector(card, fields)
+    p = CardCollector(card, fields, card_text)
     p.feed(html)
     p.close()
     return p.rows()

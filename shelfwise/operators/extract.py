@@ -26,6 +26,9 @@ ColumnOrName = Column | str
 # Fixed value: the element (of any tag) whose presence shifts the page layout by one section.
 BANNER = (None, "important-banner")
 
+# Cards after which a task hands on what it has parsed (at the end of a page).
+PIECE_ROWS = 4096
+
 
 def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -63,13 +66,13 @@ def class_cards(pages: DataFrame, tag: str | None, token: str, html: str = "html
 
 def parse_cards(pages: DataFrame, card: tuple[str, str | None],
                 fields: dict[str, tuple[str, str | None]] | None = None, html: str = "html",
-                keep: Iterable[str] = ("page_id",)) -> DataFrame:
+                keep: Iterable[str] = ("page_id",), card_text: bool = True) -> DataFrame:
     """Cards of nested markup with a real parser (``mapInPandas``, one page at a time).
 
     ``card`` and fields are ``(tag, class token)``; a token of ``None`` selects
     by tag alone. Output: ``keep`` columns, ``pos_in_pg`` (BIGINT, 1-based), ``card_text``
-    and one STRING column per field (NULL when the card has no such
-    descendant). Put native filters on ``pages`` before calling: Catalyst does
+    (with ``card_text=False`` it is never put together) and one STRING column per
+    field (NULL when the card has no such descendant). Put native filters on ``pages`` before calling: Catalyst does
     not push predicates through a Python stage. Pages whose HTML does not even
     contain the card's class token cannot hold a card and are dropped by a
     JVM-side filter before any Python runs.
@@ -77,23 +80,29 @@ def parse_cards(pages: DataFrame, card: tuple[str, str | None],
     keep = list(keep)
     card = (card[0].lower(), card[1])
     fields = {n: (tag.lower(), token) for n, (tag, token) in (fields or {}).items()}
+    texts = [*(["card_text"] if card_text else []), *fields]
     in_schema = pages.select(*keep).schema
     out_schema = T.StructType(
         list(in_schema.fields)
-        + [T.StructField("pos_in_pg", T.LongType(), False), T.StructField("card_text", T.StringType())]
-        + [T.StructField(n, T.StringType()) for n in fields])
+        + [T.StructField("pos_in_pg", T.LongType(), False)]
+        + [T.StructField(n, T.StringType()) for n in texts])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            recs = []
-            kept = [pdf[k].tolist() for k in keep]
+            out = {n: [] for n in out_schema.names}
+            kept = {k: pdf[k].tolist() for k in keep}
             for r, page_html in enumerate(pdf["page_html"].tolist()):
-                for i, c in enumerate(H.collect_cards(page_html, card, fields), start=1):
-                    rec = {k: kept[j][r] for j, k in enumerate(keep)}
-                    rec["pos_in_pg"] = i
-                    rec.update(c)
-                    recs.append(rec)
-            yield pd.DataFrame.from_records(recs, columns=keep + ["pos_in_pg", "card_text"] + list(fields))
+                cards = H.collect_cards(page_html, card, fields, card_text)
+                for k in keep:
+                    out[k] += [kept[k][r]] * len(cards)
+                out["pos_in_pg"] += range(1, len(cards) + 1)
+                for n in texts:
+                    out[n] += [c[n] for c in cards]
+                if len(out["pos_in_pg"]) >= PIECE_ROWS:
+                    yield pd.DataFrame(out)
+                    out = {n: [] for n in out_schema.names}
+            if out["pos_in_pg"]:
+                yield pd.DataFrame(out)
 
     # never drops a page the parser would match: tags in any case; a class may be written with character references
     if card[1] is not None:

@@ -36,7 +36,7 @@ def catalogue_rows(pages: DataFrame, observations: DataFrame, portfolio: Sequenc
     """
     pages = pages.withColumn("location", F.coalesce("location", HT.first_text("html", None, CATALOGUE_LOCATION)))
     cards = extract.parse_cards(pages, CATALOGUE_CARD, CATALOGUE_FIELDS,
-                                keep=("page_id", "location", "captured_at"))
+                                keep=("page_id", "location", "captured_at"), card_text=False)
     cards = cards.withColumn("quantity", TX.strip_spaces("quantity"))
     cards = relevance.portfolio_filter(cards, portfolio)
     stocks = stock.fold_stock(observations, ("page_id", "pos_in_pg"))

@@ -43,7 +43,7 @@ def search_cards(pages: DataFrame, card: tuple[str, str] = SEARCH_CARD,
     """Cards of the brand search pages (pages without a brand are skipped before parsing)."""
     tagged = pages.filter(F.col("brand").isNotNull())
     keep = ["page_id", "brand"] + (["captured_at"] if "captured_at" in pages.columns else [])
-    return extract.parse_cards(tagged, card, fields or SEARCH_FIELDS, keep=keep)
+    return extract.parse_cards(tagged, card, fields or SEARCH_FIELDS, keep=keep, card_text=False)
 
 
 def _join(folder: str, name: str) -> str:

@@ -118,6 +118,18 @@ def test_parser_batch_without_cards(spark):
     assert daily.search_cards(pages).count() == 0
 
 
+def test_cards_without_text_and_in_pieces(spark, monkeypatch):
+    pages = spark.createDataFrame([(i, f'<div class="a"><b>x{i}</b> y</div>' * (i % 4)) for i in range(50)],
+                                  "page_id long, html string").coalesce(1)
+    whole = extract.parse_cards(pages, ("div", "a"), {"b": ("b", None)}).collect()
+    fields = extract.parse_cards(pages, ("div", "a"), {"b": ("b", None)}, card_text=False)
+    assert fields.columns == ["page_id", "pos_in_pg", "b"]
+    assert [(r.page_id, r.pos_in_pg, r.b) for r in whole] == [tuple(r) for r in fields.collect()]
+    monkeypatch.setattr(extract, "PIECE_ROWS", 2)
+    assert extract.parse_cards(pages, ("div", "a"), {"b": ("b", None)}).collect() == whole
+    assert {r.card_text for r in whole if r.page_id == 3} == {"x3 y"} and len(whole) == 73
+
+
 def test_parser_keeps_cdata_text_and_skips_comments():
     from shelfwise.functions.html import collect_cards
     got = collect_cards('<div class="a"><![CDATA[zz]]>y<!-- no --><script>s</script></div>', ("div", "a"), {})
