@@ -13,6 +13,12 @@ probability is a product of normal interval masses; probing stops when the
 visited mass reaches ``mass``. Candidates of all visited buckets of all tables
 are scored exactly (double precision, original vectors) and merged.
 
+One sigma does not fit every query. The k-th distance found is an upper bound of
+the true one, so a query whose k-th distance exceeds the sigma it was probed with
+is probed once more with the next ``2^level`` x sigma that covers it, in tables
+whose cells are as much wider. A query that found too few candidates, or whose
+sigma would exceed ``SELECTIVE``, is scored against every vector instead.
+
 Nothing is capped: a bucket's candidates and queries are cut into blocks of
 about ``BLOCK`` rows, every block pair is scored, and each returns its best ``k``
 per query, which loses nothing of the bucket's best ``k``. Equal vectors are one
@@ -22,12 +28,14 @@ never be among the ``k`` nearest (ties go to smaller ids).
 Defined cases: NULL or empty vectors, zero vectors and vectors with NULL or
 non-finite components take no part, neither as query nor as candidate; vectors
 of another length are not comparable; rows that repeat id and vector count once;
-a query with fewer candidates gets them all if visited; an empty table gives no
+a query with fewer candidates than ``k`` gets them all; an empty table gives no
 rows; other columns are not read.
 """
 
 from __future__ import annotations
 
+import functools
+import itertools
 import math
 import sys
 from collections.abc import Iterator
@@ -54,6 +62,8 @@ BLOCK = 8192
 SAMPLE_QUERIES = 256
 SAMPLE_ROWS = 8192
 REACH = 3.0                # cells further than this many sigma are not considered
+SELECTIVE = 0.7            # cells wider than this (orthogonal vectors are 1.41 apart) part little
+SPREAD = 32                # least number of parts of a comparison with every vector
 SEED = 20
 
 
@@ -157,50 +167,53 @@ def search(vectors: DataFrame, k: int, id_col: str = "vec_id", vec_col: str = "e
     queries = asked.groupBy("vid").agg(F.any_value("vec").alias("vec"))
     n_queries = queries.count()
     sigma = _sigma(reps, queries, n, n_queries, k, top)
-    w = width * sigma
-
-    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            for at, x in _matrix(part.column(1)):
-                x = x / top
-                x = np.hstack([x, np.sqrt(np.maximum(0, 1 - (x * x).sum(axis=1)))[:, None]])
-                a, b = _projections(x.shape[1] - 1, tables, hashes)
-                who = part.take(pa.array(at))
-                for t in range(tables):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([t] * len(at), pa.int32()),
-                         pa.array(_bucket(np.floor(x @ a[t] / w + b[t]).astype(np.int64), x.shape[1])), *who.columns],
-                        names=["t", "bucket", "vid", "vec"])
-
-    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            for at, x in _matrix(part.column(1)):
-                x = x / np.linalg.norm(x, axis=1, keepdims=True)
-                x = np.hstack([x, np.zeros((len(x), 1))])
-                a, b = _projections(x.shape[1] - 1, tables, hashes)
-                for t in range(tables):
-                    p = x @ a[t] + b[t] * w
-                    cells = [probes(q, w, sigma, mass) for q in p]
-                    who = part.take(pa.array(np.repeat(at, [len(c) for c in cells])))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([t] * who.num_rows, pa.int32()),
-                         pa.array(_bucket(np.concatenate(cells), x.shape[1])), *who.columns],
-                        names=["t", "bucket", "vid", "vec"])
-
     id_type = rows.schema["id"].dataType.simpleString()
     shape = f"t int, bucket bigint, vid {id_type}, vec array<double>"
-    have = written(reps.mapInArrow(index, shape), "index")
-    want = written(queries.mapInArrow(visit, shape), "probes")
-    key = ["t", "bucket"]
-    sizes = have.groupBy(*key).agg(F.ceil(F.count("*") / block).cast("int").alias("nc")) \
-        .join(want.groupBy(*key).agg(F.ceil(F.count("*") / block).cast("int").alias("nq")), key)
 
-    def dealt(df: DataFrame, own: str, other: str, mine: str, theirs: str) -> DataFrame:
-        """Rows in their own block, once for each block of the other side."""
-        return df.join(sizes, key).withColumn(mine, F.pmod(F.xxhash64("vid", F.lit(1)), F.col(own)).cast("int")) \
-            .withColumn(theirs, F.explode(F.sequence(F.lit(0), F.col(other) - 1))) \
-            .select(*key, "ci", "qi", "vid", "vec")
+    def index(levels: list[int]) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in slices(batches):
+                for at, x in _matrix(part.column(1)):
+                    x = x / top
+                    x = np.hstack([x, np.sqrt(np.maximum(0, 1 - (x * x).sum(axis=1)))[:, None]])
+                    a, b = _projections(x.shape[1] - 1, tables, hashes)
+                    who = part.take(pa.array(at))
+                    for t, level in itertools.product(range(tables), levels):
+                        cells = np.floor(x @ a[t] / (width * sigma * 2 ** level) + b[t]).astype(np.int64)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([level * tables + t] * len(at), pa.int32()),
+                             pa.array(_bucket(cells, x.shape[1])), *who.columns], names=["t", "bucket", "vid", "vec"])
+
+        return written(reps.mapInArrow(run, shape), "index")
+
+    def visit(asking: DataFrame) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in slices(batches):
+                level = part.column(2).to_numpy()
+                for at, x in _matrix(part.column(1)):
+                    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+                    x = np.hstack([x, np.zeros((len(x), 1))])
+                    a, b = _projections(x.shape[1] - 1, tables, hashes)
+                    own = sigma * 2.0 ** level[at]
+                    for t in range(tables):
+                        p = x @ a[t] + b[t] * (width * own)[:, None]
+                        cells = [probes(q, width * o, o, mass) for q, o in zip(p, own, strict=True)]
+                        rep = np.repeat(at, [len(c) for c in cells])
+                        who = part.take(pa.array(rep))
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(level[rep] * tables + t, pa.int32()),
+                             pa.array(_bucket(np.concatenate(cells), x.shape[1])), who.column(0), who.column(1)],
+                            names=["t", "bucket", "vid", "vec"])
+
+        return written(asking.select("vid", "vec", "level").mapInArrow(run, shape), "probes")
+
+    parts = max(SPREAD, -(-n // block))
+
+    def every(df: DataFrame, part: Column) -> DataFrame:
+        """Rows in one part of all vectors of their length."""
+        return df.select(F.lit(-1).alias("t"), F.xxhash64(F.size("vec"), part).alias("bucket"), "vid", "vec")
 
+    key = ["t", "bucket"]
     group = [*key, "ci", "qi"]
 
     def best(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
@@ -220,12 +233,53 @@ def search(vectors: DataFrame, k: int, id_col: str = "vec_id", vec_col: str = "e
                     cols["score"].append(exact[i][order])
         return pd.DataFrame({n: np.concatenate(v) if v else np.empty(0) for n, v in cols.items()})
 
-    scored = dealt(want, "nq", "nc", "qi", "ci").groupBy(*group).cogroup(
-        dealt(have, "nc", "nq", "ci", "qi").groupBy(*group)).applyInPandas(
-            best, f"qvid {id_type}, vid {id_type}, score double")
     per_query = Window.partitionBy("qvid").orderBy(F.desc("score"), "vid")
-    near = scored.groupBy("qvid", "vid").agg(F.max("score").alias("score")) \
-        .withColumn("nth", F.row_number().over(per_query)).filter(F.col("nth") <= k + 1).drop("nth")
+
+    def merged(scored: DataFrame) -> DataFrame:
+        return scored.groupBy("qvid", "vid").agg(F.max("score").alias("score")) \
+            .withColumn("nth", F.row_number().over(per_query)).filter(F.col("nth") <= k + 1).drop("nth")
+
+    def compared(want: DataFrame, have: DataFrame) -> DataFrame:
+        """The best of all pairs that share a bucket."""
+        sizes = have.groupBy(*key).agg(F.ceil(F.count("*") / block).cast("int").alias("nc")) \
+            .join(want.groupBy(*key).agg(F.ceil(F.count("*") / block).cast("int").alias("nq")), key)
+
+        def dealt(df: DataFrame, own: str, other: str, mine: str, theirs: str) -> DataFrame:
+            """Rows in their own block, once for each block of the other side."""
+            return df.join(sizes, key).withColumn(mine, F.pmod(F.xxhash64("vid", F.lit(1)), F.col(own)).cast("int")) \
+                .withColumn(theirs, F.explode(F.sequence(F.lit(0), F.col(other) - 1))) \
+                .select(*key, "ci", "qi", "vid", "vec")
+
+        return dealt(want, "nq", "nc", "qi", "ci").groupBy(*group).cogroup(
+            dealt(have, "nc", "nq", "ci", "qi").groupBy(*group)).applyInPandas(
+                best, f"qvid {id_type}, vid {id_type}, score double")
+
+    near = written(merged(compared(visit(queries.withColumn("level", F.lit(0))), index([0]))), "near")
+    # the score at which k + 1 members (one may be the query) are found; NULL if they are fewer
+    upto = per_query.rowsBetween(Window.unboundedPreceding, 0)
+    found = near.join(members.groupBy("vid").agg(F.count("*").alias("m")), "vid") \
+        .withColumn("m", F.sum("m").over(upto)).groupBy(F.col("qvid").alias("vid")) \
+        .agg(F.count("*").alias("n_found"), F.max(F.when(F.col("m") > k, F.col("score"))).alias("last"))
+    alike = reps.groupBy(F.size("vec").alias("dim")).agg(F.count("*").alias("n_all"))
+    away = F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * F.col("last") / (norm * top)))
+    level = F.ceil(F.log2(away / sigma)).cast("int")
+    redo = written(
+        queries.withColumn("dim", F.size("vec")).join(alike, "dim").join(found, "vid", "left")
+        .filter(F.when(F.col("last").isNull(), F.coalesce("n_found", F.lit(0)) < F.col("n_all"))
+                .otherwise(away > sigma * (1 + 1e-9)))
+        .select("vid", "vec", F.when(sigma * F.pow(F.lit(2.0), level) <= SELECTIVE, level).otherwise(-1).alias("level")),
+        "again")
+    levels = sorted(r[0] for r in redo.select("level").distinct().collect())
+    again = [near]
+    if levels and levels[-1] >= 0:
+        again.append(compared(visit(redo.filter(F.col("level") >= 0)), index([v for v in levels if v >= 0])))
+    if levels and levels[0] < 0:
+        all_parts = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+        again.append(compared(
+            every(redo.filter(F.col("level") < 0).withColumn("part", all_parts), F.col("part")),
+            every(reps, F.pmod(F.xxhash64("vid", F.lit(2)), F.lit(parts)).cast("int"))))
+    if levels:
+        near = merged(functools.reduce(DataFrame.unionByName, again))
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), id_col)
     return asked.select("query_id", F.col("vid").alias("qvid")).join(near, "qvid") \
         .join(members.select("vid", F.col("id").alias(id_col)), "vid").filter(F.col(id_col) != F.col("query_id")) \

@@ -256,6 +256,34 @@ def test_neighbours_recall_and_ties(spark):
     assert ann.search(few.limit(0), 3).count() == 0
 
 
+def _recall(spark, x, k):
+    """Share of the true k nearest that ``ann.search`` finds, and the least number of rows of a query."""
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    got = ann.search(rows, k).toPandas().groupby("query_id")["vec_id"].agg(set).to_dict()
+    hits = []
+    for q in range(0, len(x), 20):
+        s = x @ x[q]
+        s[q] = -np.inf
+        hits.append(len(got.get(q, set()) & set(np.argsort(-s, kind="stable")[:k].tolist())))
+    return sum(hits) / (k * len(hits)), min(len(got.get(q, ())) for q in range(0, len(x), 20))
+
+
+def test_neighbours_of_uneven_density_and_norm(spark):
+    rng = np.random.default_rng(5)
+
+    def unit(n):
+        v = rng.standard_normal((n, 64))
+        return v / np.linalg.norm(v, axis=1, keepdims=True)
+    tight = np.repeat(unit(30), 40, axis=0) + 0.01 * rng.standard_normal((1200, 64)) / 8
+    tight = np.vstack([tight, unit(800)])[rng.permutation(2000)]       # 60 % in groups of 40 jittered copies
+    recall, least = _recall(spark, tight / np.linalg.norm(tight, axis=1, keepdims=True), 20)
+    assert recall >= 0.95 and least == 20
+    long = unit(1000)
+    long[7] *= 50
+    recall, least = _recall(spark, long, 20)
+    assert recall >= 0.95 and least == 20
+
+
 def test_pipeline_stages(spark, docs, empty):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "near_dedup", "decontamination", "personal_data",
                                                       "source_mixing"]
