@@ -220,17 +220,21 @@ def search(vectors: DataFrame, k: int, id_col: str = "vec_id", vec_col: str = "e
         cols = {"qvid": [], "vid": [], "score": []}
         if len(q) and len(c):
             cv, ids = np.stack(c["vec"].to_numpy()), c["vid"].to_numpy()
+            longest = np.linalg.norm(cv, axis=1).max()
             for lo in range(0, len(q), 256):
                 qv = np.stack(q["vec"].iloc[lo:lo + 256].to_numpy())
                 s = qv @ cv.T
-                m = min(k + 9, s.shape[1])                       # one more for the query itself, the rest for rounding
-                near = np.argpartition(-s, m - 1, axis=1)[:, :m]
-                exact = (cv[near] * qv[:, None, :]).sum(axis=2)
+                m = min(k + 1, s.shape[1])                       # one more for the query itself
+                # all that rounding could put among the first m, every tie included
+                slack = 4 * cv.shape[1] * np.finfo(float).eps * np.linalg.norm(qv, axis=1) * longest
+                cut = np.partition(s, s.shape[1] - m, axis=1)[:, s.shape[1] - m] - slack
                 for i, qid in enumerate(q["vid"].iloc[lo:lo + 256]):
-                    order = np.lexsort((ids[near[i]], -exact[i]))[:k + 1]
+                    near = np.flatnonzero(s[i] >= cut[i])
+                    exact = (cv[near] * qv[i]).sum(axis=1)
+                    order = np.lexsort((ids[near], -exact))[:k + 1]
                     cols["qvid"].append(np.full(len(order), qid))
-                    cols["vid"].append(ids[near[i]][order])
-                    cols["score"].append(exact[i][order])
+                    cols["vid"].append(ids[near][order])
+                    cols["score"].append(exact[order])
         return pd.DataFrame({n: np.concatenate(v) if v else np.empty(0) for n, v in cols.items()})
 
     per_query = Window.partitionBy("qvid").orderBy(F.desc("score"), "vid")

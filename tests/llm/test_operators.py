@@ -284,6 +284,18 @@ def test_neighbours_of_uneven_density_and_norm(spark):
     assert recall >= 0.95 and least == 20
 
 
+def test_neighbours_of_tied_vectors(spark):
+    n, k = 3000, 20                                          # sign vectors in wide cells: dozens tie at the 20th place
+    bits = np.random.default_rng(6).permutation(4096)[:n]
+    x = np.where(bits[:, None] >> np.arange(12) & 1, 1.0, -1.0)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    got = ann.search(rows, k, width=50.0, mass=1.0).toPandas().sort_values("rank").groupby("query_id")["vec_id"].agg(list).to_dict()
+    for q in range(0, n, 20):
+        s = x @ x[q]
+        s[q] = -np.inf
+        assert got[q] == np.lexsort((np.arange(n), -s))[:k].tolist()
+
+
 def test_pipeline_stages(spark, docs, empty):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "near_dedup", "decontamination", "personal_data",
                                                       "source_mixing"]
