@@ -210,6 +210,17 @@ def test_personal_data_matches_plain_patterns(spark, docs, empty):
     assert pii.train(empty) is None and pii.scan(empty, None).count() == 0
 
 
+def test_personal_data_of_a_rare_kind(spark):
+    texts = [f"order 555-{i:04d}-{i % 7}{i % 9}x shipped, ref {1000000 + i}" for i in range(3000)]
+    for i in range(0, 3000, 100):                            # 1 document in 100 holds an email
+        texts[i] = f"please write to user{i}@site{i % 13}.example.com for help"
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    model = pii.train(docs, sample_docs=300)
+    assert np.isfinite(model[1][4])
+    kinds = {k for k, _, _ in pii.find_spans("please write to user77(at)site3.example.com for help", model)}
+    assert kinds == {4}
+
+
 def test_long_runs_stay_linear():
     for t in ("a" * 200_000, "1" * 200_000, "a@" * 50_000, "+1 " * 50_000):
         pii.find_spans(t, None)
