@@ -22,9 +22,13 @@ per letter scaled by ``sharpness`` so that long texts do not saturate at once).
 shorter than the best language does, by more than ``slack_bits``: text of no
 learned language.
 
-Bounds: training takes about ``sample_bytes`` of text per language (rows by a
-hash of id and text, never by position); the number of languages is that of the
-labels, at most ``max_langs`` (an error beyond, nothing is dropped silently).
+Bounds: training takes about ``sample_bytes`` of text per language, in pieces of
+``PIECE_CHARS`` characters (by a hash of id, text and piece number). A long text
+counts for at most ``ROW_BYTES`` of its language's bytes, or for more where that
+would leave the sample short. A language whose pieces were all passed over gives
+its piece of the smallest hash that holds a letter, so every label on a text with
+a letter is learned; the number of languages is at most ``max_langs`` (an error
+beyond, nothing is dropped silently).
 Everything else covers every row.
 
 Defined cases: NULL text or text without a letter gives ``und``, score 0; ties
@@ -51,6 +55,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 UNDETERMINED = "und"
 SAMPLE_BYTES = 2_000_000
+PIECE_CHARS = 4096
+ROW_BYTES = 65_536
 MIN_CONTEXT = 8
 MAX_LANGS = 200
 SHARPNESS = 16.0
@@ -208,21 +214,60 @@ def _trees(held: dict) -> Trees | None:
     return held["trees"]
 
 
+def row_cap(groups: list[tuple[int, int]], sample_bytes: int) -> float:
+    """The most bytes one row counts for, of (rows, bytes) of texts of like size: the cap that still fills the sample."""
+    left, rows = float(sample_bytes), sum(n for n, _ in groups)
+    for n, size in sorted(groups, key=lambda g: g[1] / g[0]):
+        if size / n * rows >= left:
+            return max(float(ROW_BYTES), left / rows)
+        left, rows = left - size, rows - n
+    return float("inf")
+
+
 def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id",
           sample_bytes: int = SAMPLE_BYTES, max_langs: int = MAX_LANGS) -> tuple:
     """The packed gram counts per language, from about ``sample_bytes`` of text of each."""
     known = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    sizes = known.groupBy(lang_col).agg(F.sum(F.octet_length(text_col)).alias("n")).limit(max_langs + 1).collect()
-    if len(sizes) > max_langs:
+    size = F.octet_length(text_col)
+    # at most 32 sizes of text a language
+    sizes = known.groupBy(lang_col, F.length(F.bin(size)).alias("scale")).agg(
+        F.count("*"), F.sum(size), F.max(has_letter(F.col(text_col)))).limit(32 * max_langs + 1).collect()
+    groups: dict[str, list[tuple[int, int]]] = {}
+    for lang, _, n, total, _ in sizes:
+        groups.setdefault(lang, []).append((n, total))
+    if len(groups) > max_langs:
         raise ValueError(f"more than {max_langs} languages; raise max_langs")
-    share = {r[0]: min(1.0, sample_bytes / max(1, r[1])) for r in sizes}
-    if not share:
+    if not groups:
         return ()
-    part = F.create_map(*[F.lit(x) for kv in share.items() for x in kv])[F.col(lang_col)]
-    pick = common.hash_fraction(F.struct(F.col(id_col), F.col(text_col)), 11) < part
-    sample = known.filter(pick & has_letter(F.col(text_col))) \
-        .select(F.col(lang_col).alias("lang"), folded(F.col(text_col)).alias("text"))
-    counts = count_grams(sample, "lang", "text")
+    cap = {lang: min(row_cap(g, sample_bytes), float(1 << 40)) for lang, g in groups.items()}
+    share = {lang: min(1.0, sample_bytes / max(1.0, sum(n * min(total / n, cap[lang]) for n, total in g)))
+             for lang, g in groups.items()}
+
+    def of_lang(values: dict[str, float]) -> Column:
+        return F.create_map(*[F.lit(x) for kv in values.items() for x in kv])[F.col(lang_col)]
+
+    part = of_lang(share) * F.least(F.lit(1.0), of_lang(cap) / F.greatest(F.lit(1), size))
+    last = F.floor((F.greatest(F.lit(1), F.char_length(text_col)) - 1) / PIECE_CHARS).cast("int")
+    rows = known.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("whole"), part.alias("part"),
+                        F.xxhash64(F.struct(id_col, text_col), F.lit(11)).alias("h"), last.alias("last"))
+
+    def pieces(df: DataFrame, numbers: Column) -> DataFrame:
+        return df.withColumn("i", F.explode(numbers)).select("lang", "h", "i", F.substring(
+            "whole", F.col("i") * PIECE_CHARS + 1, F.lit(PIECE_CHARS)).alias("text")).filter(has_letter(F.col("text")))
+
+    numbers = F.sequence(F.lit(0), F.col("last"))
+    taken = F.filter(numbers, lambda i: common.hash_fraction(F.struct(F.col("h"), i)) < F.col("part"))
+    counts = count_grams(pieces(rows, taken).select("lang", folded(F.col("text")).alias("text")), "lang", "text")
+    model = _packed(counts)
+    missing = {r[0] for r in sizes if r[4]} - {r[0] for r in model}
+    if missing:
+        left = rows.filter(F.col("lang").isin(*missing))
+        one = pieces(left, numbers).groupBy("lang").agg(F.min_by("text", F.struct(F.xxhash64("h", "i"), "text")).alias("text"))
+        model += _packed(count_grams(one.select("lang", folded(F.col("text")).alias("text")), "lang", "text"))
+    return tuple(sorted(model))
+
+
+def _packed(counts: DataFrame) -> list[tuple[str, bytes, bytes]]:
     packed = (counts.groupBy("lang").agg(F.collect_list(F.struct("gram", "n")).alias("g"))
               .select("lang", F.col("g.gram").alias("gram"), F.col("g.n").alias("n")).toPandas())
     rows = []
@@ -230,7 +275,7 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id_co
         gram, n = np.asarray(gram, np.int64), np.asarray(n, np.int64)
         order = np.argsort(gram)
         rows.append((lang, gram[order].tobytes(), n[order].tobytes()))
-    return tuple(sorted(rows))
+    return rows
 
 
 def predict(docs: DataFrame, model: tuple, id_col: str = "doc_id", text_col: str = "text",

@@ -151,6 +151,22 @@ def test_language_held_out_accuracy(spark, docs, empty):
     assert langid.train(empty) == ()
 
 
+def test_long_texts_of_a_language_are_learned(spark):
+    rows = [(i, lang, " ".join(f"{w}{j % 89} {w}" for j in range(20_000)))
+            for lang, w in (("aa", "lorem"), ("bb", "ipsum")) for i in range(3)]
+    rows += [(10 + i, "cc", f"dolor{i} amet " * 20) for i in range(100)] + [(200, "cc", "sit " * 100_000)]
+    rows += [(300, "dd", "1" * 200_000 + " consectetur"), (301, "ee", "123")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, lang string, text string")
+    for size in (10, 1_000, 40_000):                         # far less than one text
+        assert [m[0] for m in langid.train(docs, sample_bytes=size)] == ["aa", "bb", "cc", "dd"]
+    model = {m[0]: np.frombuffer(m[2], np.int64).sum() for m in langid.train(docs, sample_bytes=40_000)}
+    assert 20_000 < model["aa"] < 80_000
+    cc = {lang: dict(zip(np.frombuffer(g, np.int64).tolist(), np.frombuffer(n, np.int64).tolist(), strict=True))
+          for lang, g, n in langid.train(docs, sample_bytes=90_000)}["cc"]
+    assert cc[int.from_bytes(b"dolo", "big")] > 1200         # of 2,000 in the small texts; one in five by bytes
+    assert langid.row_cap([(100, 500_000), (1, 50_000_000)], 2_000_000) == 1_500_000
+
+
 def test_code_lengths_are_those_of_a_plain_reader():
     texts = {"a": b"   abab abba abab", "b": b"   bbbb aaaa"}
     grams = {}
