@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, langid, mixing, pii, quality, secret_scan, simhash, substring, warc
+from . import ann, decontam, langid, mixing, packing, pii, quality, secret_scan, simhash, spelling, substring, warc
 from .common import table
 
 # Production parameters of the mixing query and of the pipeline's last stage.
@@ -102,6 +102,15 @@ def op10_neighbours(spark: SparkSession, base: str) -> DataFrame:
     return ann.search(table(spark, base, "embeddings"), NEIGHBOURS)
 
 
+def op12_spelling(spark: SparkSession, base: str) -> DataFrame:
+    return spelling.variants(table(spark, base, "documents"))
+
+
+def op13_packing(spark: SparkSession, base: str) -> DataFrame:
+    import public_tokenizers
+    return packing.pack(table(spark, base, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def pipeline(spark: SparkSession, base: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, base)
@@ -111,7 +120,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets, "op2_decontamination": op2_decontamination, "op3_simhash": op3_simhash,
     "op4_substrings": op4_substrings, "op5_mixing": op5_mixing, "op6_language": op6_language,
     "op7_personal_data": op7_personal_data, "op8_archives": op8_archives, "op9_quality": op9_quality,
-    "op10_neighbours": op10_neighbours, "pipeline": pipeline,
+    "op10_neighbours": op10_neighbours, "op12_spelling": op12_spelling, "op13_packing": op13_packing,
+    "pipeline": pipeline,
 }
 
 _ASSIGN = ("([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|"
