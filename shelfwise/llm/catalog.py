@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, langid, mixing, packing, pii, quality, secret_scan, simhash, spelling, substring, warc
+from . import ann, decontam, langid, mixing, packing, pii, quality, secret_scan, simhash, spelling, substring
+from . import trie, warc
 from .common import table
 
 # Production parameters of the mixing query and of the pipeline's last stage.
@@ -102,6 +103,13 @@ def op10_neighbours(spark: SparkSession, base: str) -> DataFrame:
     return ann.search(table(spark, base, "embeddings"), NEIGHBOURS)
 
 
+def op11_prefix_trie(spark: SparkSession, base: str) -> DataFrame:
+    nodes, ends = trie.prefix_trie(table(spark, base, "conversations"))
+    return nodes.join(trie.ends_digest(ends), ["depth", "p1", "p2"], "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", F.col("saved").alias("saved_tokens"),
+        F.coalesce("ends_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("ends_sha256"))
+
+
 def op12_spelling(spark: SparkSession, base: str) -> DataFrame:
     return spelling.variants(table(spark, base, "documents"))
 
@@ -120,8 +128,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets, "op2_decontamination": op2_decontamination, "op3_simhash": op3_simhash,
     "op4_substrings": op4_substrings, "op5_mixing": op5_mixing, "op6_language": op6_language,
     "op7_personal_data": op7_personal_data, "op8_archives": op8_archives, "op9_quality": op9_quality,
-    "op10_neighbours": op10_neighbours, "op12_spelling": op12_spelling, "op13_packing": op13_packing,
-    "pipeline": pipeline,
+    "op10_neighbours": op10_neighbours, "op11_prefix_trie": op11_prefix_trie, "op12_spelling": op12_spelling,
+    "op13_packing": op13_packing, "pipeline": pipeline,
 }
 
 _ASSIGN = ("([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|"
