@@ -1,4 +1,4 @@
-"""HTML helpers: class-token patterns for flat markup, a card collector for nested markup.
+"""HTML helpers: class-token patterns for flat markup, an element table for nested markup.
 
 Two forms of the same selection ("elements of tag T whose class attribute holds
 token K, in document order"):
@@ -7,15 +7,18 @@ token K, in document order"):
   evaluated JVM-side. Agree with the parser on flat markup (the element holds
   text only); not read: class names written with character references, named
   entities beyond the basic ones, text of ``template`` as hidden.
-* ``CardCollector``: a ``html.parser`` handler used per page inside
-  ``mapInPandas`` (see ``operators.extract.parse_cards``). Exact for nested
-  markup: class matching is by token, fields are the first matching descendant
-  in document order, text is the decoded text of the subtree.
+* ``ElementTable``: a ``html.parser`` handler used per page inside
+  ``mapInPandas`` (see ``operators.extract.parse_cards`` and ``locate``). Exact for
+  nested markup: class matching is by token, fields are the first matching
+  descendant in document order, text is the decoded text of the subtree, elements
+  are also found by their path.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections.abc import Iterator
 from html.parser import HTMLParser
 
 from pyspark.sql import Column
@@ -120,61 +123,69 @@ def attr_value(html: ColumnOrName, tag: str, attr: str) -> Column:
     return F.when(visible(html).rlike(p), decode_basic(value))
 
 
-class CardCollector(HTMLParser):
-    """Collects ``card`` elements of one page and, per card, the first text of each field.
+class ElementTable(HTMLParser):
+    """One page as a table of its elements, in document order.
 
-    ``card`` and each field are ``(tag, class_token)``; a token of ``None``
-    matches every element of the tag. Matching cards may nest;
-    every match is a card (document order of the opening tags). End tags close
-    the innermost open element of that name, as the tree builders of common
-    parsers do; void elements are never opened.
+    Every element is an interval of the one text buffer and of the table itself:
+    ``begin[i]:end[i]`` is its text, ``i + 1:last[i]`` its descendants. End tags
+    close the innermost open element of that name, as the tree builders of common
+    parsers do; void elements hold nothing; what is still open ends with the page.
+    Reading a page takes time in proportion to its length, however deep it nests.
     """
 
-    def __init__(self, card: tuple[str, str | None], fields: dict[str, tuple[str, str | None]],
-                 card_text: bool = True):
+    def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.card = card
-        self.fields = fields
-        self.card_text = card_text
-        self.cards: list[dict] = []
-        # open elements: (tag, card index it opened, list of (card idx, field) it opened)
-        self._stack: list[tuple[str, int | None, list[tuple[int, str]]]] = []
-        self._open_tags: dict[str, int] = {}            # open elements per tag name
-        self._open_cards: list[int] = []                # card indexes whose element is open
-        self._open_fields: list[tuple[int, str]] = []
+        self.tag: list[str] = []
+        self.classes: list[str] = []                    # the class attribute as written
+        self.parent: list[int] = []                     # -1 at the top
+        self.depth: list[int] = []
+        self.nth: list[int] = []                        # among its siblings of the same tag, from 1
+        self.nth_any: list[int] = []                    # among all its siblings
+        self.begin: list[int] = []
+        self.end: list[int] = []
+        self.last: list[int] = []
+        self.by_id: dict[str, int] = {}                 # the first element of an id
+        self._pieces: list[str] = []
+        self._size = 0
         self._hidden = 0
-        self._wanted = {card[0]} | {t for t, _ in fields.values()}
+        self._open: list[int] = []
+        self._open_tags: dict[str, int] = {}            # open elements per tag name
+        self._siblings: dict[tuple[int, str | None], int] = {}
+        self.feed(html)
+        self.close()
+        for i in self._open:
+            self._shut(i)
+        self.text = "".join(self._pieces)
 
-    @staticmethod
-    def _classes(attrs) -> set[str]:
-        for k, v in attrs:
-            if k == "class" and v:
-                return set(v.split())
-        return set()
+    def _shut(self, i: int) -> None:
+        self.end[i], self.last[i] = self._size, len(self.tag)
+
+    def _count(self, parent: int, tag: str | None) -> int:
+        n = self._siblings.get((parent, tag), 0) + 1
+        self._siblings[parent, tag] = n
+        return n
 
     def handle_starttag(self, tag, attrs):
-        if tag in VOID_TAGS:
-            return
-        opened_card = None
-        opened_fields: list[tuple[int, str]] = []
-        if tag in self._wanted:
-            classes = self._classes(attrs)
-            for ci in self._open_cards:
-                rec = self.cards[ci]
-                for name, (ftag, ftoken) in self.fields.items():
-                    if name not in rec["_seen"] and tag == ftag and (ftoken is None or ftoken in classes):
-                        rec["_seen"].add(name)
-                        rec[name] = []
-                        opened_fields.append((ci, name))
-            if tag == self.card[0] and (self.card[1] is None or self.card[1] in classes):
-                opened_card = len(self.cards)
-                self.cards.append({"_text": [], "_seen": set()})
-                self._open_cards.append(opened_card)
-            self._open_fields.extend(opened_fields)
-        if tag in HIDDEN_TEXT_TAGS:
-            self._hidden += 1
-        self._stack.append((tag, opened_card, opened_fields))
-        self._open_tags[tag] = self._open_tags.get(tag, 0) + 1
+        i, parent = len(self.tag), self._open[-1] if self._open else -1
+        first: dict[str, str] = {}
+        for k, v in attrs:
+            if k in ("class", "id") and k not in first:
+                first[k] = v or ""
+        self.tag.append(tag)
+        self.classes.append(first.get("class", ""))
+        self.parent.append(parent)
+        self.depth.append(self.depth[parent] + 1 if parent >= 0 else 0)
+        self.nth.append(self._count(parent, tag))
+        self.nth_any.append(self._count(parent, None))
+        self.begin.append(self._size)
+        self.end.append(self._size)
+        self.last.append(i + 1)
+        if "id" in first:
+            self.by_id.setdefault(first["id"], i)
+        if tag not in VOID_TAGS:
+            self._open.append(i)
+            self._open_tags[tag] = self._open_tags.get(tag, 0) + 1
+            self._hidden += tag in HIDDEN_TEXT_TAGS
 
     def handle_startendtag(self, tag, attrs):
         # <div class="x"/>: an element with no content
@@ -185,48 +196,105 @@ class CardCollector(HTMLParser):
     def handle_endtag(self, tag):
         if not self._open_tags.get(tag):
             return
-        while self._stack:
-            t, card_idx, fields = self._stack.pop()
-            self._open_tags[t] -= 1
-            if card_idx is not None:
-                self._open_cards.remove(card_idx)
-            for f in fields:
-                self._open_fields.remove(f)
-            if t in HIDDEN_TEXT_TAGS:
-                self._hidden -= 1
-            if t == tag:
-                break
+        while True:
+            i = self._open.pop()
+            self._shut(i)
+            self._open_tags[self.tag[i]] -= 1
+            self._hidden -= self.tag[i] in HIDDEN_TEXT_TAGS
+            if self.tag[i] == tag:
+                return
 
     def handle_data(self, data):
-        if self._hidden:
-            return
-        if self.card_text:
-            for ci in self._open_cards:
-                self.cards[ci]["_text"].append(data)
-        for ci, name in self._open_fields:
-            self.cards[ci][name].append(data)
+        if not self._hidden:
+            self._pieces.append(data)
+            self._size += len(data)
 
     def unknown_decl(self, data):
         # <![CDATA[...]]> sections are text of the enclosing element
         if data.startswith("CDATA["):
             self.handle_data(data[len("CDATA["):])
 
-    def rows(self) -> list[dict]:
-        out = []
-        for rec in self.cards:
-            row = {"card_text": "".join(rec["_text"])} if self.card_text else {}
-            for name in self.fields:
-                row[name] = "".join(rec[name]) if name in rec else None
-            out.append(row)
-        return out
-
-
-def collect_cards(html: str | None, card: tuple[str, str | None],
-                  fields: dict[str, tuple[str, str | None]], card_text: bool = True) -> list[dict]:
-    """Cards of one page as dicts (``card_text``, if wanted, plus one key per field)."""
+    def text_of(self, i: int | None) -> str | None:
+        return None if i is None else self.text[self.begin[i]:self.end[i]]
+
+    def select(self, tag: str | None, token: str | None) -> list[int]:
+        """Elements of a tag (any, if None) whose class attribute holds a token (any, if None)."""
+        return [i for i, (t, c) in enumerate(zip(self.tag, self.classes, strict=True))
+                if (tag is None or t == tag) and (token is None or token in c and token in c.split())]
+
+    def by_path(self, path: Path, section: int | None = None) -> dict[int, int]:
+        """First element at a path, per position: of the step ``[$pos]``, or 0 for a path without it."""
+        anchor, steps = path
+        root = -1 if anchor is None else self.by_id.get(anchor)
+        found: dict[int, int] = {}
+        if root is None:
+            return found
+        for i, tag in enumerate(self.tag):
+            if steps[-1][0] not in (tag, "*") or self.depth[i] < len(steps) - 1:
+                continue
+            at, pos = i, 0
+            for want, n in reversed(steps):
+                if at < 0 or want not in (self.tag[at], "*"):
+                    break
+                nth = self.nth_any[at] if want == "*" else self.nth[at]
+                if n == POS:
+                    pos = nth
+                elif n is not None and nth != (section if n == SECTION else n):
+                    break
+                at = self.parent[at]
+            else:
+                if at == root:
+                    found.setdefault(pos, i)
+        return found
+
+
+# A path: the id its first step hangs from (None: the top of the page) and its steps, (tag, number or None).
+Path = tuple[str | None, list[tuple[str, int | str | None]]]
+POS, SECTION = "$pos", "$section"
+
+
+def element_path(text: str) -> Path:
+    """``#page/div/div[6]/section/div[$section]/div[2]/div[$pos]/span/a`` as steps.
+
+    A step is a tag (``*``: any) with the number among its siblings of that tag; without a
+    number every such child is followed. ``$pos`` takes every number and reports it,
+    ``$section`` is the page's layout number.
+    """
+    steps = text.strip().split("/")
+    anchor = steps.pop(0)
+    if anchor and not anchor.startswith("#") or not steps:
+        raise ValueError(f"a path begins with #id/ or /: {text!r}")
+    out: list[tuple[str, int | str | None]] = []
+    for s in steps:
+        m = re.fullmatch(r"([a-zA-Z][\w-]*|\*)(?:\[([1-9][0-9]*|\$pos|\$section)\])?", s)
+        if not m:
+            raise ValueError(f"no step of a path: {s!r} in {text!r}")
+        out.append((m[1].lower(), int(m[2]) if m[2] and m[2].isdigit() else m[2]))
+    if sum(n == POS for _, n in out) > 1:
+        raise ValueError(f"more than one {POS} in {text!r}")
+    return anchor[1:] if anchor else None, out
+
+
+def card_rows(html: str | None, card: tuple[str | None, str | None],
+              fields: dict[str, tuple[str | None, str | None]], card_text: bool = True) -> Iterator[dict]:
+    """Cards of one page, one at a time: ``card_text`` (if wanted) and the text of the first descendant per field.
+
+    ``card`` and each field are ``(tag, class token)``, None for any. Matching cards may
+    nest; every match is a card (document order of the opening tags).
+    """
     if html is None:
-        return []
-    p = CardCollector(card, fields, card_text)
-    p.feed(html)
-    p.close()
-    return p.rows()
+        return
+    table = ElementTable(html)
+    found = {name: table.select(*sel) for name, sel in fields.items()}
+    for i in table.select(*card):
+        row = {"card_text": table.text_of(i)} if card_text else {}
+        for name, at in found.items():
+            k = bisect_right(at, i)
+            row[name] = table.text_of(at[k]) if k < len(at) and at[k] < table.last[i] else None
+        yield row
+
+
+def collect_cards(html: str | None, card: tuple[str | None, str | None],
+                  fields: dict[str, tuple[str | None, str | None]], card_text: bool = True) -> list[dict]:
+    """Cards of one page as dicts (``card_text``, if wanted, plus one key per field)."""
+    return list(card_rows(html, card, fields, card_text))

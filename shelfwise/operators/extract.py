@@ -26,8 +26,9 @@ ColumnOrName = Column | str
 # Fixed value: the element (of any tag) whose presence shifts the page layout by one section.
 BANNER = (None, "important-banner")
 
-# Cards after which a task hands on what it has parsed (at the end of a page).
+# Rows, and characters in them, after which a task hands on what it has parsed.
 PIECE_ROWS = 4096
+PIECE_CHARS = 1 << 24
 
 
 def _col(c: ColumnOrName) -> Column:
@@ -64,12 +65,28 @@ def class_cards(pages: DataFrame, tag: str | None, token: str, html: str = "html
     return out.withColumn("card_text", H.decode_basic("card_text")) if decode else out
 
 
-def parse_cards(pages: DataFrame, card: tuple[str, str | None],
-                fields: dict[str, tuple[str, str | None]] | None = None, html: str = "html",
+def _in_pieces(rows: Iterator[tuple], names: list[str]) -> Iterator[pd.DataFrame]:
+    """Rows as frames of at most ``PIECE_ROWS`` rows and about ``PIECE_CHARS`` characters, also within a page."""
+    def frame(held: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(dict(zip(names, map(list, zip(*held, strict=True)), strict=True)))
+
+    held, chars = [], 0
+    for row in rows:
+        held.append(row)
+        chars += sum(len(v) for v in row if isinstance(v, str))
+        if len(held) >= PIECE_ROWS or chars >= PIECE_CHARS:
+            yield frame(held)
+            held, chars = [], 0
+    if held:
+        yield frame(held)
+
+
+def parse_cards(pages: DataFrame, card: tuple[str | None, str | None],
+                fields: dict[str, tuple[str | None, str | None]] | None = None, html: str = "html",
                 keep: Iterable[str] = ("page_id",), card_text: bool = True) -> DataFrame:
     """Cards of nested markup with a real parser (``mapInPandas``, one page at a time).
 
-    ``card`` and fields are ``(tag, class token)``; a token of ``None`` selects
+    ``card`` and fields are ``(tag, class token)``; None as tag selects by class alone, as token
     by tag alone. Output: ``keep`` columns, ``pos_in_pg`` (BIGINT, 1-based), ``card_text``
     (with ``card_text=False`` it is never put together) and one STRING column per
     field (NULL when the card has no such descendant). Put native filters on ``pages`` before calling: Catalyst does
@@ -78,8 +95,8 @@ def parse_cards(pages: DataFrame, card: tuple[str, str | None],
     JVM-side filter before any Python runs.
     """
     keep = list(keep)
-    card = (card[0].lower(), card[1])
-    fields = {n: (tag.lower(), token) for n, (tag, token) in (fields or {}).items()}
+    card = (card[0] and card[0].lower(), card[1])
+    fields = {n: (tag and tag.lower(), token) for n, (tag, token) in (fields or {}).items()}
     texts = [*(["card_text"] if card_text else []), *fields]
     in_schema = pages.select(*keep).schema
     out_schema = T.StructType(
@@ -87,31 +104,76 @@ def parse_cards(pages: DataFrame, card: tuple[str, str | None],
         + [T.StructField("pos_in_pg", T.LongType(), False)]
         + [T.StructField(n, T.StringType()) for n in texts])
 
+    def rows(pdf: pd.DataFrame) -> Iterator[tuple]:
+        kept = list(zip(*(pdf[k].tolist() for k in keep), strict=True)) if keep else [()] * len(pdf)
+        for own, page_html in zip(kept, pdf["page_html"].tolist(), strict=True):
+            for pos, c in enumerate(H.card_rows(page_html, card, fields, card_text), 1):
+                yield *own, pos, *(c[n] for n in texts)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = {n: [] for n in out_schema.names}
-            kept = {k: pdf[k].tolist() for k in keep}
-            for r, page_html in enumerate(pdf["page_html"].tolist()):
-                cards = H.collect_cards(page_html, card, fields, card_text)
-                for k in keep:
-                    out[k] += [kept[k][r]] * len(cards)
-                out["pos_in_pg"] += range(1, len(cards) + 1)
-                for n in texts:
-                    out[n] += [c[n] for c in cards]
-                if len(out["pos_in_pg"]) >= PIECE_ROWS:
-                    yield pd.DataFrame(out)
-                    out = {n: [] for n in out_schema.names}
-            if out["pos_in_pg"]:
-                yield pd.DataFrame(out)
+            yield from _in_pieces(rows(pdf), out_schema.names)
 
     # never drops a page the parser would match: tags in any case; a class may be written with character references
     if card[1] is not None:
         maybe = F.col(html).contains(F.lit(card[1])) | F.col(html).contains(F.lit("&"))
-    else:
+    elif card[0] is not None:
         maybe = F.lower(html).contains(F.lit("<" + card[0]))
+    else:
+        maybe = F.col(html).isNotNull()
     return pages.filter(maybe).select(*keep, F.col(html).alias("page_html")).mapInPandas(run, out_schema)
 
 
+def locate(pages: DataFrame, fields: dict[str, str | list[str]], section: Column | None = None, html: str = "html",
+           keep: Iterable[str] = ("page_id",)) -> DataFrame:
+    """Texts of elements found by their place in the page (X8, X9, X10 together).
+
+    ``fields`` maps a column to a path or to several, of which the first that hits gives the
+    text (see ``functions.html.element_path``; ``$section`` is the page's ``section``, the layout number
+    by default). Paths with ``$pos`` give one row per page and position that any field hits:
+    ``keep``, ``pos_in_pg``, the fields, NULL where none of a field's paths hits at that position. Without ``$pos``
+    a page is one row, also when nothing hits. Narrow: no shuffle.
+    """
+    keep = list(keep)
+    paths = {n: [H.element_path(p) for p in ([v] if isinstance(v, str) else v)] for n, v in fields.items()}
+    by_pos = {any(n == H.POS for _, n in steps) for of in paths.values() for _, steps in of}
+    if len(by_pos) != 1:
+        raise ValueError(f"all paths or none must have {H.POS}")
+    by_pos = by_pos.pop()
+    out_schema = T.StructType(
+        list(pages.select(*keep).schema.fields)
+        + ([T.StructField("pos_in_pg", T.LongType(), False)] if by_pos else [])
+        + [T.StructField(n, T.StringType()) for n in paths])
+
+    def texts(page_html: str | None, layout: int) -> Iterator[tuple]:
+        if page_html is None:
+            yield from () if by_pos else [(None,) * len(paths)]
+            return
+        table = H.ElementTable(page_html)
+        found = []
+        for of in paths.values():
+            hit: dict[int, int] = {}
+            for path in of:
+                hit = table.by_path(path, layout) | hit          # an earlier path wins
+            found.append(hit)
+        for pos in sorted(set().union(*found)) if by_pos else [0]:
+            yield *([pos] if by_pos else []), *(table.text_of(hit.get(pos)) for hit in found)
+
+    def rows(pdf: pd.DataFrame) -> Iterator[tuple]:
+        kept = list(zip(*(pdf[k].tolist() for k in keep), strict=True)) if keep else [()] * len(pdf)
+        for own, page_html, layout in zip(kept, pdf["page_html"].tolist(), pdf["page_section"].tolist(), strict=True):
+            for found in texts(page_html, layout):
+                yield *own, *found
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield from _in_pieces(rows(pdf), out_schema.names)
+
+    number = layout_section(html) if section is None else section
+    return pages.select(*keep, F.col(html).alias("page_html"), number.cast("int").alias("page_section")) \
+        .mapInPandas(run, out_schema)
+
+
 def card_count(cards_array: ColumnOrName) -> Column:
     """Number of cards in a page's card array, BIGINT."""
     return F.size(_col(cards_array)).cast("bigint")

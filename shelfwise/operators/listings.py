@@ -41,6 +41,11 @@ def stride_chunks(df: DataFrame, ord_col: str, n: int) -> DataFrame:
     return df.withColumn("chunk", F.pmod(o, F.lit(n)).cast("int")).withColumn("pos_in_chunk", pos.cast("bigint"))
 
 
+def spread(df: DataFrame, ord_col: str, n: int) -> DataFrame:
+    """``stride_chunks``, each chunk dealt to the partition of its number (``n`` partitions)."""
+    return stride_chunks(df, ord_col, n).repartitionById(n, "chunk")
+
+
 def pick(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Column pick and order."""
     return df.select(*cols)

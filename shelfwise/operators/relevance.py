@@ -74,23 +74,40 @@ def portfolio_filter(rows: DataFrame, brands: Sequence[str], sku: str = "sku") -
     return rows.filter(portfolio_flag(sku, brands) == 1)
 
 
+def _grams(text: ColumnOrName, q: int) -> Column:
+    """The pieces of ``q`` characters of a text, in one pass over it."""
+    return F.regexp_extract_all(_col(text), F.lit(f"(?s)(?=(.{{{q}}}))"), F.lit(1))
+
+
+def _wanted(rows: DataFrame, sku: str, index: DataFrame, q: int) -> DataFrame:
+    """(__k, __gram, ..): pieces of the texts that the index (column __gram) holds; no others leave their task.
+
+    Only lengths that the index has are cut at all; its lengths are a scalar subquery.
+    """
+    lengths = index.select(F.collect_set(F.length("__gram"))).scalar()
+    none = F.array().cast("array<string>")
+    pieces = F.concat(*[F.when(F.array_contains(lengths, F.lit(n)), _grams(sku, n)).otherwise(none)
+                        for n in range(1, q + 1)])
+    return rows.select(F.xxhash64(sku).alias("__k"), F.explode(pieces).alias("__gram")).join(index, "__gram")
+
+
 def portfolio_semi_join(rows: DataFrame, brands: Sequence[str] | DataFrame, sku: str = "sku",
-                        brand: str = "brand") -> DataFrame:
+                        brand: str = "brand", q: int = 4) -> DataFrame:
     """Rows whose sku contains at least one brand (EXISTS), each row once; empty and NULL brands are ignored.
 
-    One plan for any brand count: the distinct skus propose their pieces of the
-    shortest brand's length, equi-joined with the brands' first pieces; the pairs
-    found are verified with ``contains``. Pieces carry a hash of their sku, not
-    its text (the verification also settles equal hashes).
+    One plan for any brand count. A brand of ``q`` characters or more is indexed by the
+    rarest of its pieces of ``q`` in the skus (one that no sku holds: it matches nothing);
+    a shorter one is its own piece. The skus propose only indexed pieces, told by a
+    hash of the sku; the semi join on that hash verifies with ``contains``.
     """
     b = brands_frame(rows.sparkSession, brands, brand).select(F.col(brand).alias("__b")) \
         .filter(F.length("__b") >= 1).distinct()
-    size = b.select(F.min(F.length("__b"))).scalar()
-    skus = rows.select(F.col(sku).alias("__sku")).distinct().withColumn("__k", F.xxhash64("__sku"))
-    pieces = skus.withColumn("__n", size).filter(F.length("__sku") >= F.col("__n")) \
-        .withColumn("__at", F.explode(F.sequence(F.lit(1), F.length("__sku") - F.col("__n") + 1))) \
-        .select("__k", F.substring(F.col("__sku"), F.col("__at"), F.col("__n")).alias("__piece")).distinct()
-    pairs = pieces.join(b.withColumn("__piece", F.substring(F.col("__b"), F.lit(1), size)), "__piece") \
-        .select("__k", "__b").distinct()
-    matched = skus.join(pairs, "__k").filter(F.contains("__sku", F.col("__b"))).select("__sku").distinct()
-    return rows.join(matched, rows[sku] == matched["__sku"], "left_semi")
+    long = b.filter(F.length("__b") >= q).select("__b", F.explode(_grams("__b", q)).alias("__gram")).distinct()
+    held = _wanted(rows, sku, long.select("__gram").distinct(), q).groupBy("__gram").agg(F.count("*").alias("__n"))
+    rarest = long.join(held, "__gram").groupBy("__b") \
+        .agg(F.min(F.struct("__n", "__gram")).alias("__r"), F.count("*").alias("__held")) \
+        .join(long.groupBy("__b").agg(F.count("*").alias("__held")), ["__b", "__held"]) \
+        .select(F.col("__r.__gram").alias("__gram"), "__b")
+    index = b.filter(F.length("__b") < q).select(F.col("__b").alias("__gram"), "__b").unionByName(rarest)
+    pairs = _wanted(rows, sku, index, q).select("__k", "__b").distinct()
+    return rows.join(pairs, (F.xxhash64(rows[sku]) == pairs["__k"]) & F.contains(rows[sku], pairs["__b"]), "left_semi")

@@ -12,6 +12,8 @@ so a brand holding a third of the rows costs no more than any other.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +38,7 @@ DISPLAY_HEADINGS = {
 }
 
 
-def listing_facts(listings: DataFrame) -> DataFrame:
+def listing_facts(listings: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Narrow projection used by all counts: presence and length flags instead of text.
 
     Report times stay as they are: every report truncates to whole seconds
@@ -44,12 +46,12 @@ def listing_facts(listings: DataFrame) -> DataFrame:
     which costs per group instead of per row.
     """
     return listings.select(
-        "brand", F.col("sku").isNotNull().alias("sku_present"), F.col("stock").cast("bigint").alias("stock"),
+        *keep, "brand", F.col("sku").isNotNull().alias("sku_present"), F.col("stock").cast("bigint").alias("stock"),
         F.length("description").cast("bigint").alias("desc_len"), "report_time")
 
 
-def _facts(df: DataFrame) -> DataFrame:
-    return df if "sku_present" in df.columns else listing_facts(df)
+def _facts(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return df if "sku_present" in df.columns else listing_facts(df, keep)
 
 
 def _count_sku(cond: Column | None = None) -> Column:
@@ -57,10 +59,13 @@ def _count_sku(cond: Column | None = None) -> Column:
     return F.count(F.when(c, F.lit(1)))
 
 
-def brand_rollup(listings: DataFrame) -> DataFrame:
-    """One row per brand (NULL brand included) with every mergeable measure of the summary."""
-    f = _facts(listings)
-    return f.groupBy("brand").agg(
+def brand_rollup(listings: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One row per brand (NULL brand included) with every mergeable measure of the summary.
+
+    ``by``: further keys, a run's day say; ``merge_rollups`` puts such rows together again.
+    """
+    f = _facts(listings, by)
+    return f.groupBy(*by, "brand").agg(
         _count_sku().alias("skus"),
         _count_sku(F.col("stock") == 0).alias("skus_out_of_stock"),
         _count_sku(F.col("stock").isNull()).alias("skus_failed_stock"),
@@ -69,6 +74,29 @@ def brand_rollup(listings: DataFrame) -> DataFrame:
         TF.to_seconds_ntz(F.max("report_time")).alias("last_time"))
 
 
+def merge_rollups(rollups: DataFrame) -> DataFrame:
+    """Rows of ``brand_rollup`` of any number of runs as one row per brand: counts add, times widen."""
+    return rollups.groupBy("brand").agg(
+        *[F.sum(c).alias(c) for c in ("skus", "skus_out_of_stock", "skus_failed_stock", "skus_not_described")],
+        F.min("first_time").alias("first_time"), F.max("last_time").alias("last_time"))
+
+
+def brand_bitmaps(listings: DataFrame, brands: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Which brands of the list (brand, ord) have a row, as bitmaps of their numbers: (by, bucket, bits).
+
+    A bucket covers a fixed range of numbers, so a state row is of bounded size for any list.
+    """
+    n = F.col("ord").cast("bigint") + 1                   # Spark's bitmaps count from 1
+    return listings.select(*by, "brand").join(brands.select("brand", "ord"), "brand") \
+        .groupBy(*by, F.bitmap_bucket_number(n).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(n)).alias("bits"))
+
+
+def brands_in(bitmaps: DataFrame) -> DataFrame:
+    """Number of different brands in the bitmaps of any number of runs."""
+    return bitmaps.groupBy("bucket").agg(F.bitmap_or_agg("bits").alias("bits")) \
+        .agg(F.coalesce(F.sum(F.bitmap_count("bits")), F.lit(0)).alias("brands_seen"))
+
+
 def _brand_count(n_brands: int | DataFrame) -> Column:
     if isinstance(n_brands, DataFrame):
         return n_brands.select(F.count(F.lit(1))).scalar()
@@ -91,8 +119,12 @@ def run_summary(listings: DataFrame, n_brands: int | DataFrame,
     brand rows. The slowest brand is a ``min_by`` inside that same aggregate,
     so there is no second scan and no join.
     """
-    per_brand = brand_rollup(listings).withColumn(
-        "span_s", TF.span_seconds("first_time", "last_time"))
+    return summary_of(brand_rollup(listings), n_brands, platform)
+
+
+def summary_of(per_brand: DataFrame, n_brands: int | DataFrame, platform: str = DEFAULT_PLATFORM) -> DataFrame:
+    """The run report of one rollup row per brand."""
+    per_brand = per_brand.withColumn("span_s", TF.span_seconds("first_time", "last_time"))
     rank = F.struct(F.col("span_s").isNull(), -F.coalesce(TF.span_rank_key("span_s"), F.lit(0)),
                     F.col("brand").isNull(), F.coalesce(F.col("brand"), F.lit("")))
     g = per_brand.agg(

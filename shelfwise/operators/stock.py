@@ -31,21 +31,24 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.text import units
+from ..functions.text import first_token, units
 
 # Consecutive step numbers per bucket: bounds the rows of one (key, bucket) group.
 BUCKET_STEPS = 1 << 16
 # Bucket summaries merged per level, and levels before the final per-key merge.
 MERGE_FANIN = 1 << 10
 MERGE_LEVELS = 1
+# Step types of so small a range that a key has at most 2 ** 16 buckets.
+SMALL_STEPS = (T.IntegerType, T.ShortType, T.ByteType)
 
 
 def observation_flags(obs: DataFrame, keys: Sequence[str], step: str = "step",
                       bag_text: str = "bag_text", limit: str = "limit_marker",
                       counter: str = "counter_present", failed: str = "failed",
-                      time_col: str | None = None) -> DataFrame:
-    """Per observation: parsed units and the stop / failure flags.
+                      time_col: str | None = None, keep_text: bool = False) -> DataFrame:
+    """Per observation: parsed units (``keep_text``: also their text) and the stop / failure flags.
 
     ``parsed`` is its own projection so the regex runs once per row (the
     optimizer does not inline a non-cheap expression used twice).
@@ -54,10 +57,11 @@ def observation_flags(obs: DataFrame, keys: Sequence[str], step: str = "step",
                    F.coalesce(F.col(limit), F.lit(False)).alias("lim"),
                    F.coalesce(F.col(counter), F.lit(False)).alias("ctr"),
                    F.coalesce(F.col(failed), F.lit(False)).alias("fail"),
-                   *([F.col(time_col).alias("seen_at")] if time_col else []))
+                   *([F.col(time_col).alias("seen_at")] if time_col else []),
+                   *([first_token(bag_text).alias("tok")] if keep_text else []))
     stop = (F.col("parsed").isNotNull() & F.col("lim")) | ~F.col("ctr")
     return p.select(*keys, "step", "parsed", stop.alias("is_stop"), "fail",
-                    *(["seen_at"] if time_col else []))
+                    *(["seen_at"] if time_col else []), *(["tok"] if keep_text else []))
 
 
 def bucket_summaries(flags: DataFrame, keys: Sequence[str], bucket_steps: int = BUCKET_STEPS) -> DataFrame:
@@ -75,6 +79,9 @@ def bucket_summaries(flags: DataFrame, keys: Sequence[str], bucket_steps: int =
         at = F.struct("step", "seen_at")
         extra = [F.min(F.when(F.col("is_stop"), at)).alias("stop_at"), F.min(F.when(F.col("fail"), at)).alias("fail_at"),
                  F.max(F.when(F.col("seen_at").isNotNull(), at)).alias("end_at")]
+    if "tok" in flags.columns:
+        extra += [F.max_by(F.when(upto, F.col("tok")), F.when(upto, F.col("step"))).alias("upto_tok"),
+                  F.max_by(F.when(parsed, F.col("tok")), F.when(parsed, F.col("step"))).alias("last_tok")]
     return b.groupBy(*keys, "seg").agg(
         *extra,
         F.min(F.when(F.col("is_stop"), F.col("step"))).alias("first_stop"),
@@ -101,6 +108,9 @@ def merge_segments(segs: DataFrame, group: Sequence[str]) -> DataFrame:
     cand_val = F.when(in_stop_seg, F.col("upto_val")).when(before_stop, F.col("last_val"))
     extra = [F.min("stop_at").alias("stop_at"), F.min("fail_at").alias("fail_at"),
              F.max("end_at").alias("end_at")] if "end_at" in segs.columns else []
+    if "upto_tok" in segs.columns:
+        tok = F.when(in_stop_seg, F.col("upto_tok")).when(before_stop, F.col("last_tok"))
+        extra += [F.max_by(tok, cand_step).alias("upto_tok"), F.max_by("last_tok", "last_step").alias("last_tok")]
     return segs.groupBy(*group).agg(
         *extra,
         F.min("first_stop").alias("first_stop"),
@@ -119,26 +129,33 @@ def stock_from_summary(summary: DataFrame, keys: Sequence[str], out: str = "stoc
     # the reading ends at the failure or the stop, else with the last observation
     ended = F.when(failed_before_stop, F.col("fail_at.seen_at")).when(s.isNotNull(), F.col("stop_at.seen_at")) \
         .otherwise(F.col("end_at.seen_at")) if "end_at" in summary.columns else None
-    return summary.select(*keys, stock.cast("bigint").alias(out), *([ended.alias("seen_at")] if ended is not None else []))
+    text = [F.when(~failed_before_stop, F.coalesce("upto_tok", F.lit("0"))).alias(f"{out}_text")] \
+        if "upto_tok" in summary.columns else []
+    return summary.select(*keys, stock.cast("bigint").alias(out), *([ended.alias("seen_at")] if ended is not None else []),
+                          *text)
 
 
 def fold_stock(obs: DataFrame, keys: Sequence[str] = ("page_id", "pos_in_pg"), step: str = "step",
                bag_text: str = "bag_text", limit: str = "limit_marker",
                counter: str = "counter_present", failed: str = "failed",
-               out: str = "stock", bucket_steps: int = BUCKET_STEPS, merge_levels: int = MERGE_LEVELS,
-               merge_fanin: int = MERGE_FANIN, time_col: str | None = None) -> DataFrame:
+               out: str = "stock", bucket_steps: int = BUCKET_STEPS, merge_levels: int | None = None,
+               merge_fanin: int = MERGE_FANIN, time_col: str | None = None, keep_text: bool = False) -> DataFrame:
     """One row per key: ``keys`` + ``out`` (BIGINT, NULL when collection failed).
 
     With ``time_col`` also ``seen_at``: the time at which the reading ended, that is of
     the first stop or of a failure before it (NULL when that step has no time), else of
-    the last observation with a time; merged in the same aggregates.
+    the last observation with a time; merged in the same aggregates. With ``keep_text``
+    also ``<out>_text``: the first token of the text that gave the stock, as written (``0`` if none did).
     Buckets of ``bucket_steps`` steps are merged ``merge_fanin`` at a time for
     ``merge_levels`` levels, then once per key: the last merge holds at most
     (step range of a key) / (bucket_steps * merge_fanin ** merge_levels)
-    summaries of one key.
+    summaries of one key. By default steps of a type of four bytes or less, whose range is
+    itself bounded, need no level before the last merge (one exchange less).
     """
     keys = list(keys)
-    flags = observation_flags(obs, keys, step, bag_text, limit, counter, failed, time_col)
+    if merge_levels is None:
+        merge_levels = 0 if isinstance(obs.schema[step].dataType, SMALL_STEPS) else MERGE_LEVELS
+    flags = observation_flags(obs, keys, step, bag_text, limit, counter, failed, time_col, keep_text)
     segs = bucket_summaries(flags, keys, bucket_steps)
     for _ in range(merge_levels):
         segs = merge_segments(segs.withColumn("seg", F.expr(f"seg div {int(merge_fanin)}")), keys + ["seg"])

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from ..functions import html as H
 from ..functions import text as TX
 from ..functions import timefmt as TF
-from ..operators import extract, listings, relevance, reports, stock
+from ..functions import sql as sql_functions
+from ..operators import asof, extract, listings, position, relevance, reports, stock, tables
 from ..sources import history
 from ..sources.landed import brand_urls
 from ..sources.tables import read_table
@@ -33,6 +34,7 @@ HISTORY_CUTOFF = "2024-01-15 00:00:00"
 STRIDE = 3
 N_BRANDS = 30
 NTH = 3
+RANGE_DAYS = ("2024-01-01", "2024-01-02")
 
 def _lv(spark, base):
     return V.listing_view(spark, base)
@@ -338,7 +340,74 @@ def q_catalogue_rows(spark, base):
     return catalogue.catalogue_rows(pages, V.page_observations(spark, base), CATALOGUE_PORTFOLIO)
 
 
+def q_card_shapes_any_tag(spark, base):
+    return extract.parse_cards(V.shaped_pages(spark, base), extract.BANNER, {"inner": (None, None)})
+
+
+def q_description_by_path(spark, base):
+    found = extract.locate(V.path_pages(spark, base), {"sku": V.PATH_NAME, "description": V.PATH_DESCRIPTION})
+    return found.withColumn("description", extract.with_default("description", V.FAILED_MARKER))
+
+
+def q_portfolio_of_parts(spark, base):
+    brands = _part(spark, base).select(F.expr("substr(p_name, 2, 2 + p_size % 3)").alias("brand"))
+    return relevance.portfolio_semi_join(V.nav_cards(spark, base).drop("href"), brands, sku="card_text")
+
+
+def q_global_position(spark, base):
+    cards = V.nav_cards(spark, base).select(F.pmod("page_id", F.lit(STRIDE)).alias("chunk"), "page_id", "pos_in_pg", "card_text")
+    return position.numbered(cards, ["chunk", "page_id", "pos_in_pg"])
+
+
+def q_capture_time_asof(spark, base):
+    landed = F.expr("timestamp_ntz'2024-01-02 00:00:00' + make_dt_interval(0, 0, cast(page_id * 37 % 40000 as int))")
+    pages = _pages(spark, base).select("page_id", F.pmod("page_id", F.lit(64)).alias("user_id"), landed.alias("landed_at"))
+    visits = _events(spark, base).select("user_id", "event_id", F.col("ts").cast("timestamp_ntz").alias("visited_at"))
+    return asof.asof_join(pages, visits, ["user_id"], "landed_at", "visited_at", ["visited_at", "event_id"])
+
+
+def q_range_summary(spark, base):
+    facts = V.listing_facts_view(spark, base).withColumn("report_date", F.to_date("report_time"))
+    state = reports.brand_rollup(facts, ["report_date"])
+    days = state.filter(F.col("report_date").between(*[F.lit(d).cast("date") for d in RANGE_DAYS]))
+    return reports.summary_of(reports.merge_rollups(days), N_BRANDS)
+
+
+def q_brands_seen_bitmap(spark, base):
+    facts = V.listing_facts_view(spark, base).withColumn("report_date", F.to_date("report_time"))
+    brands = position.numbered(facts.select("brand").filter(F.col("brand").isNotNull()).distinct(), ["brand"], "ord")
+    state = reports.brand_bitmaps(facts, brands, ["report_date"])
+    return reports.brands_in(state.filter(F.col("report_date").between(*[F.lit(d).cast("date") for d in RANGE_DAYS])))
+
+
+def q_cards_table_function(spark, base):
+    tables.register(spark)
+    return spark.sql("select * from page_cards(TABLE(select page_id, html from {pages}), 'li', 'link_text=a')",
+                     pages=_pages(spark, base))
+
+
+def q_price_parse_sql(spark, base):
+    sql_functions.register(spark)
+    return spark.sql("""select l_orderkey, l_linenumber, price_text, money(price_text) as price,
+                               money(discounted_price_text) as price_if_discounted from {t}""", t=V.price_texts(spark, base))
+
+
+def q_spread_chunks(spark, base):
+    dealt = listings.spread(_part(spark, base).select("p_partkey"), "p_partkey", STRIDE)
+    return dealt.groupBy("chunk", F.spark_partition_id().alias("partition")).agg(F.count("*").alias("rows"))
+
+
 QUERIES: dict[str, Query] = {
+    "capture_time_asof": q_capture_time_asof,
+    "range_summary": q_range_summary,
+    "brands_seen_bitmap": q_brands_seen_bitmap,
+    "cards_table_function": q_cards_table_function,
+    "price_parse_sql": q_price_parse_sql,
+    "spread_chunks": q_spread_chunks,
+    "card_shapes_any_tag": q_card_shapes_any_tag,
+    "description_by_path": q_description_by_path,
+    "portfolio_of_parts": q_portfolio_of_parts,
+    "global_position": q_global_position,
     "layout_shapes": q_layout_shapes,
     "banner_shapes": q_banner_shapes,
     "heading_shapes": q_heading_shapes,
@@ -748,6 +817,41 @@ select page_id, cast(generate_subscripts(a, 1) as bigint) as pos_in_pg, unnest(a
 from (select page_id, list_concat(case page_id % 6 when 3 then ['quoted'] when 4 then ['bare'] else [] end,
                                   regexp_extract_all(html, '<div class="ad">([^<]*)</div>', 1)) as a from pages)
 where len(a) > 0"""
+ORACLE_SQL["card_shapes_any_tag"] = """
+select page_id, cast(1 as bigint) as pos_in_pg, case page_id % 6 when 0 then 'Sale & more' else 'Now' end as card_text,
+       cast(null as varchar) as inner
+from pages where page_id % 6 in (0, 4)"""
+ORACLE_SQL["description_by_path"] = f"""
+select page_id, pos_in_pg, t as sku, case when (page_id + pos_in_pg) % 3 = 2 then 'ERROR' else 'On ' || t end as description
+from (select page_id, cast(generate_subscripts(t, 1) as bigint) as pos_in_pg, translate(unnest(t), '&', '+') as t
+      from (select page_id, regexp_extract_all(html, {_NAV}, 2) as t from pages))"""
+ORACLE_SQL["portfolio_of_parts"] = f"""
+with b as (select distinct substr(p_name, 2, 2 + p_size % 3) as brand from part)
+select page_id, pos_in_pg, card_text
+from (select page_id, cast(generate_subscripts(t, 1) as bigint) as pos_in_pg, unnest(t) as card_text
+      from (select page_id, regexp_extract_all(html, {_NAV}, 2) as t from pages)) c
+where exists (select 1 from b where contains(c.card_text, b.brand))"""
+ORACLE_SQL["global_position"] = f"""
+select page_id % 3 as chunk, page_id, pos_in_pg, card_text,
+       row_number() over (order by page_id % 3, page_id, pos_in_pg) as position
+from (select page_id, cast(generate_subscripts(t, 1) as bigint) as pos_in_pg, unnest(t) as card_text
+      from (select page_id, regexp_extract_all(html, {_NAV}, 2) as t from pages))"""
+ORACLE_SQL["capture_time_asof"] = """
+select p.page_id, p.user_id, p.landed_at, e.ts as visited_at, e.event_id
+from (select page_id, page_id % 64 as user_id,
+             timestamp '2024-01-02 00:00:00' + to_minutes(page_id * 37 % 40000) as landed_at from pages) p
+asof left join events e on p.user_id = e.user_id and e.ts <= p.landed_at"""
+ORACLE_SQL["range_summary"] = ORACLE_SQL["run_summary"].replace(_LV, _LV.replace("with lv as", "with lv0 as") + f"""
+, lv as (select * from lv0 where cast(report_time as date) between date '{RANGE_DAYS[0]}' and date '{RANGE_DAYS[1]}')
+""")
+ORACLE_SQL["brands_seen_bitmap"] = _LV + f"""
+select cast(count(distinct brand) as bigint) as brands_seen from lv
+where cast(report_time as date) between date '{RANGE_DAYS[0]}' and date '{RANGE_DAYS[1]}'"""
+ORACLE_SQL["cards_table_function"] = ORACLE_SQL["cards_by_tag"]
+ORACLE_SQL["price_parse_sql"] = ORACLE_SQL["price_parse"]
+ORACLE_SQL["spread_chunks"] = """
+select cast(p_partkey % 3 as integer) as chunk, cast(p_partkey % 3 as integer) as partition, count(*) as rows
+from part group by 1, 2"""
 ORACLE_SQL["card_shapes_regex"] = ORACLE_SQL["card_shapes"]
 ORACLE_SQL["run_summary_sql"] = ORACLE_SQL["run_summary"]
 ORACLE_SQL["summary_headings"] = """

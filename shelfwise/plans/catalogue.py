@@ -7,14 +7,14 @@ case-sensitive) are dropped before stock is joined. The row label is
 ``None``), the page location is copied to every row, the report time is the
 page capture time as sheet text. Rows without a stock reading are dropped.
 New rows go in front of the history (text, by position); the history table
-itself is only ever appended to.
+itself is a table of runs: a rerun replaces its own rows only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import html as HT
@@ -39,9 +39,9 @@ def catalogue_rows(pages: DataFrame, observations: DataFrame, portfolio: Sequenc
                                 keep=("page_id", "location", "captured_at"), card_text=False)
     cards = cards.withColumn("quantity", TX.strip_spaces("quantity"))
     cards = relevance.portfolio_filter(cards, portfolio)
-    stocks = stock.fold_stock(observations, ("page_id", "pos_in_pg"))
+    stocks = stock.fold_stock(observations, ("page_id", "pos_in_pg"), keep_text=True)
     rows = cards.join(stocks, ["page_id", "pos_in_pg"], "inner").filter(F.col("stock").isNotNull())
-    return rows.select(TX.row_label("sku", "quantity").alias("sku"), F.col("stock").cast("string").alias("stock"),
+    return rows.select(TX.row_label("sku", "quantity").alias("sku"), F.col("stock_text").alias("stock"),
                        TX.one_line("location").alias("location"),
                        TF.format_time("captured_at", TF.SHEET_TIME).alias("report_time"),
                        F.to_date("captured_at").alias("report_date"))
@@ -52,5 +52,18 @@ def with_history(new_rows: DataFrame, history_text: DataFrame) -> DataFrame:
     return H.union_with_history(new_rows.select(*H.HISTORY_COLUMNS), history_text.select(*H.HISTORY_COLUMNS))
 
 
-def append_catalogue(new_rows: DataFrame, history_path: str) -> None:
-    H.append_history(new_rows, history_path)
+def append_catalogue(new_rows: DataFrame, history_path: str, run: str | None = None) -> None:
+    """Append a run's rows; a named ``run`` written again replaces its own rows."""
+    H.append_history(new_rows, history_path, run=run)
+
+
+def catalogue_run(spark: SparkSession, pages: DataFrame, observations: DataFrame, portfolio: Sequence[str],
+                  out_dir: str, run: str) -> DataFrame:
+    """One catalogue run: its rows into the history, the sheet written from the whole history.
+
+    Returns the sheet (text, newest rows first). Running it again under the same name gives the same state.
+    """
+    folder = out_dir.rstrip("/")
+    append_catalogue(catalogue_rows(pages, observations, portfolio), f"{folder}/history", run)
+    H.write_sheet(H.read_history(spark, f"{folder}/history"), f"{folder}/sheet")
+    return H.read_sheet(spark, f"{folder}/sheet")

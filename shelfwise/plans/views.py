@@ -165,6 +165,37 @@ def shaped_pages(spark: SparkSession, base: str) -> DataFrame:
     return read_table(spark, base, "pages").select("page_id", F.concat(shape, "html").alias("html"))
 
 
+# Paths to the name and the description of a card of ``path_pages``; the description has two places.
+PATH_NAME = "#page/div[$section]/div[2]/div[$pos]/div/div[1]"
+PATH_DESCRIPTION = ["#page/div[$section]/div[2]/div[$pos]/div/div[2]/span/a",
+                    "#page/div[$section]/div[2]/div[$pos]/div/div[3]/span/a"]
+
+
+def path_pages(spark: SparkSession, base: str) -> DataFrame:
+    """page_id, html: pages whose cards are found by place only.
+
+    The list of cards is the page's second section, the third where a banner puts a strip in front.
+    A card's description (the link text, marked up) is in its second part, in the third
+    behind a badge, or missing, by page and position.
+    """
+    def one(text: Column, i: Column) -> Column:
+        name = F.translate(text, "&", "+")
+        link = F.concat(F.lit("<div><p>x</p><span><a href='#'>On <b>"), name, F.lit("</b><br></a></span></div>"))
+        kind = F.pmod(F.col("page_id") + i + 1, F.lit(3))
+        rest = F.when(kind == 0, link).when(kind == 1, F.concat(F.lit("<div>new</div>"), link)) \
+            .otherwise("<p><span><a>no</a></span></p>")
+        return F.concat(F.lit("<div><div><div>"), name, F.lit("</div>"), rest, F.lit("</div></div>"))
+
+    banner = F.pmod("page_id", F.lit(len(PAGE_SHAPES))).isin(
+        [i for i, s in enumerate(PAGE_SHAPES) if "important-banner" in s and not s.startswith(("<!--", "<script", "<DIV"))])
+    shape = F.element_at(F.array(*[F.lit(s) for s in PAGE_SHAPES]),
+                         (F.pmod("page_id", F.lit(len(PAGE_SHAPES))) + 1).cast("int"))
+    return read_table(spark, base, "pages").select("page_id", F.concat(
+        shape, F.lit("<div id='page'><div>menu</div>"), F.when(banner, "<div>strip</div>").otherwise(""),
+        F.lit("<section><div>no</div></section><div><div>filter</div><div>"),
+        F.array_join(F.transform(nav_links_array(), one), ""), F.lit("</div></div></div>")).alias("html"))
+
+
 def _div(token: str, *content: Column) -> Column:
     return F.concat(F.lit(f'<div class="{token}">'), *content, F.lit("</div>"))
 

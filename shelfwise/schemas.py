@@ -33,6 +33,9 @@ LISTINGS = _s(("sku", S, True), ("brand", S, True), ("quantity", S, True), ("pri
 
 HISTORY_TEXT = _s(("sku", S, True), ("stock", S, True), ("location", S, True), ("report_time", S, True))
 
+BRAND_ROLLUP = _s(("brand", S, True), ("skus", L, True), ("skus_out_of_stock", L, True), ("skus_failed_stock", L, True),
+                  ("skus_not_described", L, True), ("first_time", TS, True), ("last_time", TS, True))
+
 RUN_SUMMARY = _s(("platform", S, False), ("skus", L, True), ("skus_out_of_stock", L, True),
                  ("skus_failed_stock", L, True), ("brands_failed_stock", L, True),
                  ("skus_not_described", L, True), ("stocking_start_time", TS, True),

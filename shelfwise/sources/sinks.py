@@ -1,6 +1,6 @@
 """Writers: dated CSV export of a day's listings, and the listings table itself.
 
-The Parquet listings table (partitioned by ``report_date``) is the primary
+The Parquet listings table (a table of runs, one a day) is the primary
 sink: it keeps NULL apart from ``''`` and lets later reads prune by day. The
 CSV export is the hand-over file, written with the quoting of common
 spreadsheet tools: a quote inside text is doubled, empty text and NULL are
@@ -18,6 +18,9 @@ from pyspark.sql import types as T
 
 from ..functions import timefmt as TF
 from ..schemas import LISTINGS
+from . import runs
+
+DAY = "report_date"
 
 # CSV options of the export.
 CSV_OPTIONS = {
@@ -59,19 +62,19 @@ def read_csv_text(spark, path: str, columns: list[str]) -> DataFrame:
 
 
 def write_listings(listings: DataFrame, path: str, day: dt.date | str) -> None:
-    """Write a run's rows as the partition of the run's ``day``, whatever their report times.
+    """Write a run's rows as the run day's, whatever their report times.
 
-    Exactly that partition is replaced, also by an empty run; all rows of the run
-    are in it and other days are untouched.
+    A rerun replaces exactly that day, also when it is empty; all rows of the run
+    are in it and other days are untouched. Until the new rows are whole, and if
+    writing them fails, the day's old rows stand (``sources.runs``).
     """
-    listings.drop("report_date").write.mode("overwrite").parquet(f"{path.rstrip('/')}/report_date={day}")
+    runs.write_run(listings.drop(DAY), path, str(day), key=DAY)
 
 
 def read_listings(spark, path: str, day: dt.date | str | None = None) -> DataFrame:
-    """The listings table, pruned to one day when given (partition pruning).
+    """The listings table, or one day of it (only that day's files are listed and read).
 
     Read with the declared schema, so a table written from an empty run reads
     as empty instead of failing schema inference.
     """
-    df = spark.read.schema(LISTINGS).parquet(path)
-    return df if day is None else df.filter(F.col("report_date") == F.lit(str(day)).cast("date"))
+    return runs.read_runs(spark, path, LISTINGS, None if day is None else [str(day)], key=DAY)

@@ -134,3 +134,90 @@ def test_parser_keeps_cdata_text_and_skips_comments():
     from shelfwise.functions.html import collect_cards
     got = collect_cards('<div class="a"><![CDATA[zz]]>y<!-- no --><script>s</script></div>', ("div", "a"), {})
     assert got == [{"card_text": "zzy"}]
+
+
+def test_unclosed_elements_take_linear_time():
+    import time
+    for markup, want in (("<li>x<a>y", 64_000_000), ("<li>x", 0)):
+        begin, n, chars = time.process_time(), 0, 0
+        for r in H.card_rows(markup * 8000, ("li", None), {"a": ("a", None)}, card_text=False):
+            n, chars = n + 1, chars + len(r["a"] or "")
+        assert (n, chars) == (8000, want) and time.process_time() - begin < 2
+
+
+def test_select_by_class_alone_and_void_elements(spark):
+    html = '<p class="c">a<img class="c d" id=i>b</p><SPAN class=c>x</SPAN><i class="cc">n</i><br class="c"/>t'
+    assert H.collect_cards(html, (None, "c"), {"d": (None, "d")}) == [
+        {"card_text": "ab", "d": ""}, {"card_text": "", "d": None}, {"card_text": "x", "d": None}, {"card_text": "", "d": None}]
+    pages = spark.createDataFrame([(1, html), (2, None), (3, "<p>none</p>")], "page_id bigint, html string")
+    assert extract.parse_cards(pages, (None, "c")).count() == 4
+    assert extract.parse_cards(pages, (None, None)).count() == 6
+
+
+def test_element_table_equals_a_plain_tree():
+    """Cards, fields and paths on random nested markup, against a tree walked node by node."""
+    import random
+    rnd = random.Random(12)
+
+    def grow(depth):
+        kids = [grow(depth + 1) if rnd.random() < .7 else rnd.choice(["t", "u v", ""]) for _ in range(rnd.randint(0, 4))] \
+            if depth < 5 else ["leaf"]
+        return (rnd.choice("aabbc"), rnd.choice(["", "k", "k m", "km"]), kids)
+
+    def write(n):
+        return n if isinstance(n, str) else f'<{n[0]} class="{n[1]}">' + "".join(map(write, n[2])) + f"</{n[0]}>"
+
+    def text(n):
+        return n if isinstance(n, str) else "".join(map(text, n[2]))
+
+    def below(n):
+        for k in n[2]:
+            if not isinstance(k, str):
+                yield k
+                yield from below(k)
+
+    def at(n, steps, pos=0):
+        if not steps:
+            yield pos, n
+            return
+        (tag, want), rest = steps[0], steps[1:]
+        same = [k for k in n[2] if not isinstance(k, str) and tag in (k[0], "*")]
+        for i, k in enumerate(same, 1):
+            if want in (None, i, H.POS):
+                yield from at(k, rest, i if want == H.POS else pos)
+
+    for _ in range(200):
+        top = ("div", "", [grow(0) for _ in range(3)])
+        html = '<div id="page">' + "".join(map(write, top[2])) + "</div>"
+        for card, field in ((("a", "k"), ("b", None)), ((None, "m"), (None, "k"))):
+            def hit(n, sel):
+                return sel[0] in (None, n[0]) and (sel[1] is None or sel[1] in n[1].split())
+            want = [{"card_text": text(n), "f": next((text(k) for k in below(n) if hit(k, field)), None)}
+                    for n in below(top) if hit(n, card)]
+            assert H.collect_cards(html, card, {"f": field}) == want
+        for path in ("#page/a/b[$pos]/a", "#page/*[2]/a[1]", "#page/a[$pos]", "#page/*[$pos]/b", "#page/c/c/c"):
+            first = {}
+            for pos, n in at(top, H.element_path(path)[1]):
+                first.setdefault(pos, text(n))
+            table = H.ElementTable(html)
+            assert {p: table.text_of(i) for p, i in table.by_path(H.element_path(path)).items()} == first
+
+
+def test_locate_by_path(spark):
+    import pytest
+    page = '<div id=page><div>m</div>{}<div><div><p>x</p><p>y</p><i>z</i></div><div><p>w</p><b>v</b></div></div></div>'
+    banner = "<div class='important-banner'>b</div>"
+    pages = spark.createDataFrame([(1, page.format("")), (2, page.format(banner)), (3, None), (4, "<p>other</p>")],
+                                  "page_id bigint, html string")
+    field = {"t": ["#page/div[$section]/div[$pos]/i", "#page/div[$section]/div[$pos]/b"], "p": "#page/div[$section]/div[$pos]/p[2]"}
+    rows = [(1, 1, "z", "y"), (1, 2, "v", None), (2, 1, "z", "y"), (2, 2, "v", None)]
+    assert sorted(map(tuple, extract.locate(pages, field).collect())) == rows
+    fixed = extract.locate(pages, field, section=F.lit(2))             # the other layout only
+    assert sorted(map(tuple, fixed.collect())) == rows[:2]
+    whole = extract.locate(pages, {"m": "#page/div[1]", "o": "/p"})
+    assert sorted(map(tuple, whole.collect())) == [(1, "m", None), (2, "m", None), (3, None, None), (4, None, "other")]
+    for bad in ("page/div", "#page", "#page/div[0]", "#page/div[$pos]/p[$pos]", "#page//div"):
+        with pytest.raises(ValueError):
+            H.element_path(bad)
+    with pytest.raises(ValueError):
+        extract.locate(pages, {"a": "#page/div[$pos]", "b": "#page/div"})

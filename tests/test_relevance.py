@@ -65,3 +65,21 @@ def test_quote_and_wildcards_in_brand_are_text(spark):
                                "i int, sku string")
     got = sorted((r.i, r.brand) for r in R.brand_prefix_join(df, ["O'Neil", "100%"]).collect())
     assert got == [(1, "O'Neil"), (3, "100%")]
+
+
+def test_semi_join_of_many_brands_equals_contains(spark):
+    rnd = random.Random(31)
+    skus = ["".join(rnd.choice("abcdé 𝟘\n") for _ in range(rnd.randint(0, 30))) for _ in range(400)] + [None, "", "abcdabcd"] * 3
+    brands = ["".join(rnd.choice("abcdé 𝟘\n") for _ in range(rnd.randint(1, 7))) for _ in range(60)] + [None, "", "𝟘𝟘", "zz", "z"]
+    df = spark.createDataFrame([(i, s, "x") for i, s in enumerate(skus)], "i int, sku string, brand string")
+    for subset in (brands, [b for b in brands if b and len(b) > 4], ["é"], [None, ""]):
+        want = [i for i, s in enumerate(skus) if s is not None and any(b in s for b in subset if b)]
+        listed = spark.createDataFrame([(b,) for b in subset], "brand string")
+        for q in (2, 4):
+            assert sorted(r.i for r in R.portfolio_semi_join(df, listed, q=q).collect()) == want
+
+
+def test_semi_join_moves_no_texts(spark):
+    df = spark.range(1000).selectExpr("id", "concat('name ', id) as sku")
+    plan = R.portfolio_semi_join(df, ["name 7", "9", "x"])._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
