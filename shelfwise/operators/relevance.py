@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
 
+# Brands of a list (the driver's own) up to which their pieces are broadcast.
+MOST_LISTED = 10_000
+
 
 def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -79,16 +82,10 @@ def _grams(text: ColumnOrName, q: int) -> Column:
     return F.regexp_extract_all(_col(text), F.lit(f"(?s)(?=(.{{{q}}}))"), F.lit(1))
 
 
-def _wanted(rows: DataFrame, sku: str, index: DataFrame, q: int) -> DataFrame:
-    """(__k, __gram, ..): pieces of the texts that the index (column __gram) holds; no others leave their task.
-
-    Only lengths that the index has are cut at all; its lengths are a scalar subquery.
-    """
-    lengths = index.select(F.collect_set(F.length("__gram"))).scalar()
-    none = F.array().cast("array<string>")
-    pieces = F.concat(*[F.when(F.array_contains(lengths, F.lit(n)), _grams(sku, n)).otherwise(none)
-                        for n in range(1, q + 1)])
-    return rows.select(F.xxhash64(sku).alias("__k"), F.explode(pieces).alias("__gram")).join(index, "__gram")
+def _wanted(rows: DataFrame, sku: str, index: DataFrame, pieces: Column) -> DataFrame:
+    """(__k, ..): pieces of the texts that the index (column __gram, their hash) holds; no others leave their task."""
+    cut = rows.select(F.xxhash64(sku).alias("__k"), F.explode(pieces).alias("__piece"))
+    return cut.select("__k", F.xxhash64("__piece").alias("__gram")).join(index, "__gram")
 
 
 def portfolio_semi_join(rows: DataFrame, brands: Sequence[str] | DataFrame, sku: str = "sku",
@@ -98,16 +95,27 @@ def portfolio_semi_join(rows: DataFrame, brands: Sequence[str] | DataFrame, sku:
     One plan for any brand count. A brand of ``q`` characters or more is indexed by the
     rarest of its pieces of ``q`` in the skus (one that no sku holds: it matches nothing);
     a shorter one is its own piece. The skus propose only indexed pieces, told by a
-    hash of the sku; the semi join on that hash verifies with ``contains``.
+    hash of the sku; the semi join on that hash verifies with ``contains``, which
+    also settles equal hashes.
     """
     b = brands_frame(rows.sparkSession, brands, brand).select(F.col(brand).alias("__b")) \
         .filter(F.length("__b") >= 1).distinct()
-    long = b.filter(F.length("__b") >= q).select("__b", F.explode(_grams("__b", q)).alias("__gram")).distinct()
-    held = _wanted(rows, sku, long.select("__gram").distinct(), q).groupBy("__gram").agg(F.count("*").alias("__n"))
-    rarest = long.join(held, "__gram").groupBy("__b") \
-        .agg(F.min(F.struct("__n", "__gram")).alias("__r"), F.count("*").alias("__held")) \
-        .join(long.groupBy("__b").agg(F.count("*").alias("__held")), ["__b", "__held"]) \
-        .select(F.col("__r.__gram").alias("__gram"), "__b")
-    index = b.filter(F.length("__b") < q).select(F.col("__b").alias("__gram"), "__b").unionByName(rarest)
-    pairs = _wanted(rows, sku, index, q).select("__k", "__b").distinct()
+
+    def small(df: DataFrame) -> DataFrame:
+        # what comes of a list is bounded by the list; of a table, the planner knows or finds out
+        return F.broadcast(df) if not isinstance(brands, DataFrame) and len(brands) <= MOST_LISTED else df
+
+    long = b.filter(F.length("__b") >= q).select("__b", F.explode(F.array_distinct(_grams("__b", q))).alias("__piece")) \
+        .select("__b", F.xxhash64("__piece").alias("__gram"))
+    held = _wanted(rows, sku, small(long.select("__gram").distinct()), _grams(sku, q)).groupBy("__gram").agg(F.count("*").alias("__n"))
+    rarest = long.join(held, "__gram", "left").groupBy("__b") \
+        .agg(F.min(F.struct(F.coalesce("__n", F.lit(0)).alias("__n"), "__gram")).alias("__r")) \
+        .filter(F.col("__r.__n") > 0).select(F.col("__r.__gram").alias("__gram"), "__b")
+    index = b.filter(F.length("__b") < q).select(F.xxhash64("__b").alias("__gram"), "__b").unionByName(rarest)
+    # only lengths that some brand asks for are cut out of the texts; they are a scalar subquery on the brands
+    lengths = b.select(F.collect_set(F.least(F.length("__b"), F.lit(q)))).scalar()
+    none = F.array().cast("array<string>")
+    pieces = F.concat(*[F.when(F.array_contains(lengths, F.lit(n)), F.array_distinct(_grams(sku, n)) if n < q else _grams(sku, n))
+                        .otherwise(none) for n in range(1, q + 1)])
+    pairs = _wanted(rows, sku, small(index), pieces).select("__k", "__b").distinct()
     return rows.join(pairs, (F.xxhash64(rows[sku]) == pairs["__k"]) & F.contains(rows[sku], pairs["__b"]), "left_semi")
