@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 from pyspark.sql import Column
@@ -81,28 +81,44 @@ def _character(ref: Column) -> Column:
         .otherwise("\ufffd")
 
 
-def decode_basic(c: ColumnOrName) -> Column:
-    """Numeric references and the basic entities decoded."""
-    c = _col(c)
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _decoded(c: Column) -> Column:
     refs = F.regexp_extract_all(c, F.lit(NUMERIC_REFERENCE), F.lit(0))
-    decoded = F.array_join(F.transform(F.split(c, NUMERIC_REFERENCE, -1), lambda piece, i: F.concat(
+    pieces = F.array_join(F.transform(F.split(c, NUMERIC_REFERENCE, -1), lambda piece, i: F.concat(
         piece, F.when(i < F.size(refs), _character(F.get(refs, i))).otherwise(""))), "")
-    out = F.when(F.contains(c, F.lit("&#")), decoded).otherwise(c)
+    out = F.when(F.contains(c, F.lit("&#")), pieces).otherwise(c)
     for ent, ch in BASIC_ENTITIES:
         out = F.replace(out, F.lit(ent), F.lit(ch))
     return out
 
 
+def decode_basic(c: ColumnOrName) -> Column:
+    """Numeric references and the basic entities decoded."""
+    return _let(_col(c), lambda t: F.when(F.contains(t, F.lit("&")), _decoded(t)).otherwise(t))
+
+
 def has_class(html: ColumnOrName, tag: str | None, token: str) -> Column:
     return visible(html).rlike(class_pattern(tag, token))
 
 
+def _first_match(html: ColumnOrName, opening: str, then: Callable[[Column], Column]) -> Column:
+    """``then`` of the first opening tag and the text behind it, found in one pass over the page; NULL without one."""
+    return _let(F.regexp_extract(visible(html), opening + r"[^<]*", 0), lambda m: F.when(m != "", then(m)))
+
+
 def first_text(html: ColumnOrName, tag: str | None, token: str, decode: bool = True) -> Column:
     """Text of the first ``tag.token`` element (flat markup; any tag, if None); NULL when there is none."""
     p = class_pattern(tag, token)
-    txt = F.regexp_extract(visible(html), p + r"([^<]*)", 1)
-    txt = decode_basic(txt) if decode else txt
-    return F.when(has_class(html, tag, token), txt)
+
+    def text(m: Column) -> Column:
+        t = F.regexp_extract(m, p + r"([^<]*)", 1)
+        return decode_basic(t) if decode else t
+
+    return _first_match(html, p, text)
 
 
 def all_texts(html: ColumnOrName, tag: str | None, token: str) -> Column:
@@ -112,15 +128,15 @@ def all_texts(html: ColumnOrName, tag: str | None, token: str) -> Column:
 
 def tag_text(html: ColumnOrName, tag: str) -> Column:
     """Text of the first ``<tag>`` element (flat), NULL when absent."""
-    p = rf"<(?i:{re.escape(tag)})(?=[\s/>]){REST_OF_TAG}([^<]*)"
-    return F.when(visible(html).rlike(p), decode_basic(F.regexp_extract(visible(html), p, 1)))
+    p = rf"<(?i:{re.escape(tag)})(?=[\s/>]){REST_OF_TAG}"
+    return _first_match(html, p, lambda m: decode_basic(F.regexp_extract(m, p + r"([^<]*)", 1)))
 
 
 def attr_value(html: ColumnOrName, tag: str, attr: str) -> Column:
     """Value of ``attr`` on the first ``<tag>`` that has it, quoted either way or bare; NULL when absent."""
-    p = _upto_attr(tag, attr) + r"(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
-    value = F.concat(*[F.regexp_extract(visible(html), p, g) for g in (1, 2, 3)])
-    return F.when(visible(html).rlike(p), decode_basic(value))
+    written = F.regexp_extract(visible(html), _upto_attr(tag, attr) + r"(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", 1)
+    return _let(written, lambda w: F.when(w != "", decode_basic(
+        F.when(w.startswith('"') | w.startswith("'"), F.substring(w, F.lit(2), F.length(w) - 2)).otherwise(w))))
 
 
 class ElementTable(HTMLParser):

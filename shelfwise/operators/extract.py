@@ -7,6 +7,7 @@ rows inside the task that scanned it. Position in page comes from
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
@@ -17,9 +18,10 @@ from pyspark.sql import types as T
 
 from ..functions import html as H
 
-# The page parser runs inside Python tasks: ship its module by value with the
-# task, so executors need not have this package installed.
+# The page parser runs inside Python tasks: ship its module (and this one) by value
+# with the task, so executors need not have this package installed.
 cloudpickle.register_pickle_by_value(H)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ColumnOrName = Column | str
 

@@ -356,7 +356,9 @@ def q_portfolio_of_parts(spark, base):
 
 def q_global_position(spark, base):
     cards = V.nav_cards(spark, base).select(F.pmod("page_id", F.lit(STRIDE)).alias("chunk"), "page_id", "pos_in_pg", "card_text")
-    return position.numbered(cards, ["chunk", "page_id", "pos_in_pg"])
+    # only the keys are sorted and written; the text meets its number afterwards
+    placed = position.numbered(cards.drop("card_text"), ["chunk", "page_id", "pos_in_pg"])
+    return cards.join(placed.drop("chunk"), ["page_id", "pos_in_pg"]).select("chunk", "page_id", "pos_in_pg", "card_text", "position")
 
 
 def q_capture_time_asof(spark, base):
