@@ -7,15 +7,18 @@ indicator is scaled by its log-count ratio between the classes; on the scaled,
 length-normalised vectors a linear hinge-loss model is fitted by dual coordinate
 descent. Scores are calibrated by a logistic fit on rows the model has not seen.
 
-The fit uses a sample of about ``sample_rows`` labelled rows (by hash of the
-id): ids and labels of the sample are broadcast (bounded by the parameter), so
-texts do not move; the features of the sample meet in one task. Scoring covers
-every row and is map-only.
+The fit uses a sample of about ``sample_rows`` labelled texts: labelled ids are
+sampled by hash, then, where ids repeat, their different texts, again by hash.
+Ids, labels and text hashes of the sample are broadcast (bounded by the
+parameter), so texts do not move; the features of the sample meet in one task.
+Every fourth sampled row is held for the calibration: neither the ratios nor the
+fit see it. Scoring covers every row and is map-only.
 
 Defined cases: NULL or empty text has no feature and scores by the intercept;
 NULL labels are not learned; without labelled rows every score is 0.5, with one
-class it is that class's share; repeated rows score alike; rows that repeat an
-id in the labels are learned with each label; other columns are not read.
+class it is that class's share; repeated rows score alike and are learned once; ids
+that repeat in the labels are learned with each label, ids that repeat with other
+texts with each text; other columns are not read.
 """
 
 from __future__ import annotations
@@ -75,6 +78,14 @@ def _scratch() -> np.ndarray:
     return np.zeros(1 << BITS, dtype=bool)
 
 
+def _log_count_ratio(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+    """Per feature, the log of its share of class 1's indicators over its share of class 0's (one added to each)."""
+    counts = np.ones((2, 1 << BITS))
+    for r, v in zip(rows, y, strict=True):
+        counts[int(v > 0)][r] += 1
+    return np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
+
+
 def _dual_descent(rows: list[np.ndarray], scale: np.ndarray, y: np.ndarray, epochs: int, cost: float) -> np.ndarray:
     """Weights (last: intercept) of the L1-loss linear SVM on unit-length scaled rows."""
     w = np.zeros(len(scale) + 1)
@@ -114,18 +125,15 @@ def _logistic(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def _fit(sample: pd.DataFrame) -> dict:
-    sample = sample.sort_values(["id", "label"], kind="stable")
+    sample = sample.sort_values(["id", "h", "label"], kind="stable")
     y = np.where(sample["label"].to_numpy() > 0, 1.0, -1.0)
     rows = [np.asarray(r, dtype=np.int64) for r in sample["x"]]
     share = float((y > 0).mean())
     held = np.arange(len(y)) % 4 == 0
     if len(set(y[~held])) < 2 or len(set(y[held])) < 2:
         return {"scale": None, "share": share}
-    counts = np.ones((2, 1 << BITS))
-    for r, v in zip(rows, y, strict=True):
-        counts[int(v > 0)][r] += 1
-    ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
     train = np.flatnonzero(~held)
+    ratio = _log_count_ratio([rows[i] for i in train], y[train])
     w = _dual_descent([rows[i] for i in train], ratio, y[train], EPOCHS, COST)
     model = {"scale": ratio.astype(np.float32), "w": (ratio * w[:-1]).astype(np.float32), "bias": float(w[-1])}
     margin = np.array([_margin(rows[i], model) for i in np.flatnonzero(held)])
@@ -142,21 +150,25 @@ def _margin(x: np.ndarray, model: dict) -> float:
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id",
           text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> dict:
-    """The model, from about ``sample_rows`` labelled rows."""
+    """The model, from about ``sample_rows`` labelled texts."""
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()) \
         .select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     total = known.count()
     share = min(1.0, sample_rows / max(1, total))
     picked = known.filter(common.hash_fraction(F.col("id"), 5) < share).distinct()
-    # bounded by sample_rows: ids and labels only
-    d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("__text")).join(F.broadcast(picked), "id")
+    # an id may repeat with any number of texts: sampled again by text; the broadcasts are bounded by sample_rows
+    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("__text"))
+    several = common.written(texts.select("id", "h").join(F.broadcast(picked), "id").distinct(), "labelled")
+    share = min(1.0, sample_rows / max(1, several.count()))
+    chosen = several.filter(common.hash_fraction(F.struct("id", "h"), 6) < share)
+    d = texts.join(F.broadcast(chosen), ["id", "h"]).select("id", "h", "label", "__text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = _scratch()
         for part in slices(batches):
-            x = [features(t, seen) for t in utf8(part.column(1))]
-            yield pa.RecordBatch.from_arrays([pa.array(part.column(0).to_pylist(), pa.int64()), part.column(2),
-                                              pa.array(x, pa.list_(pa.int32()))], names=["id", "label", "x"])
+            x = [features(t, seen) for t in utf8(part.column(3))]
+            yield pa.RecordBatch.from_arrays([pa.array(part.column(0).to_pylist(), pa.int64()), part.column(1), part.column(2),
+                                              pa.array(x, pa.list_(pa.int32()))], names=["id", "h", "label", "x"])
 
     def fit(sample: pd.DataFrame) -> pd.DataFrame:
         m = _fit(sample)
@@ -164,7 +176,8 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
         return pd.DataFrame({"scale": [blob(m["scale"])], "w": [blob(m.get("w"))], "bias": [m.get("bias")],
                              "a": [m.get("a")], "b": [m.get("b")], "share": [m["share"]]})
 
-    fitted = d.mapInArrow(run, "id bigint, label int, x array<int>").groupBy(F.lit(1).alias("one")) \
+    rows = d.mapInArrow(run, "id bigint, h bigint, label int, x array<int>").dropDuplicates(["id", "h", "label"])
+    fitted = rows.groupBy(F.lit(1).alias("one")) \
         .applyInPandas(fit, "scale binary, w binary, bias double, a double, b double, share double").collect()
     if not fitted:
         return {"scale": None, "share": 0.5}
