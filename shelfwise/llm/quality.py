@@ -108,20 +108,32 @@ def _dual_descent(rows: list[np.ndarray], scale: np.ndarray, y: np.ndarray, epoc
 
 
 def _logistic(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and intercept of the calibration, by Newton steps on smoothed targets."""
+    """Slope and intercept of the calibration, by Newton steps on smoothed targets.
+
+    A step is halved until the loss falls, so that separable rows end at the finite best.
+    """
     pos, neg = (y > 0).sum(), (y <= 0).sum()
     t = np.where(y > 0, (pos + 1) / (pos + 2), 1 / (neg + 2))
-    a, b = 1.0, float(np.log((pos + 1) / (neg + 1)))
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a * margin + b, -30, 30)))
-        g = np.array([((p - t) * margin).sum() + 1e-3 * a, (p - t).sum()])
-        s = p * (1 - p) + 1e-9
-        h = np.array([[(s * margin ** 2).sum() + 1e-3, (s * margin).sum()], [(s * margin).sum(), s.sum() + 1e-9]])
+    x = np.stack((margin, np.ones(len(margin))), axis=1)
+    ridge = np.array([1e-3, 0.0])
+
+    def loss(v: np.ndarray) -> float:
+        z = x @ v
+        return float((np.logaddexp(0, z) - t * z).sum() + (ridge * v * v).sum() / 2)
+
+    v = np.array([0.0, np.log((pos + 1) / (neg + 1))])
+    now = loss(v)
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ v, -500, 500)))
+        g = x.T @ (p - t) + ridge * v
+        h = (x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge + 1e-9)
         step = np.linalg.solve(h, g)
-        a, b = a - step[0], b - step[1]
-        if np.abs(step).max() < 1e-9:
+        while (new := loss(v - step)) > now and np.abs(step).max() > 1e-9:
+            step = step / 2
+        if now - new < 1e-9:
             break
-    return float(a), float(b)
+        v, now = v - step, new
+    return float(v[0]), float(v[1])
 
 
 def _fit(sample: pd.DataFrame) -> dict:

@@ -60,3 +60,16 @@ def test_rows_held_for_the_calibration_are_not_learned(monkeypatch):
     x = [np.array([i % 7, 10 + i % 2]) for i in range(40)]
     quality._fit(pd.DataFrame({"id": range(40), "h": 0, "label": [i % 2 for i in range(20)] + [1 - i % 2 for i in range(20)], "x": x}))
     assert used == [30]
+
+
+def test_calibration_of_separable_rows_is_finite():
+    for margin, y in ((np.r_[np.full(50, -1.2), np.full(52, 1.1)], np.r_[-np.ones(50), np.ones(52)]),
+                      (np.r_[np.full(3, -9.0), np.full(900, 8.0)], np.r_[-np.ones(3), np.ones(900)]),
+                      (np.random.default_rng(1).normal(size=400), np.where(np.random.default_rng(2).random(400) < .3, 1.0, -1.0))):
+        a, b = quality._logistic(margin, y)
+        p = 1 / (1 + np.exp(-(a * margin + b)))
+        t = np.where(y > 0, ((y > 0).sum() + 1) / ((y > 0).sum() + 2), 1 / ((y <= 0).sum() + 2))
+        best = min(((np.logaddexp(0, u * margin + v) - t * (u * margin + v)).sum() + u * u / 2e3)
+                   for u in np.linspace(-8, 8, 161) for v in np.linspace(-8, 8, 161))
+        assert abs(a) < 50 and abs(b) < 50
+        assert -(t * np.log(p) + (1 - t) * np.log(1 - p)).sum() + a * a / 2e3 <= best + 1e-6
