@@ -210,3 +210,66 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
        CASE WHEN low IS NULL OR page_id = low THEN NULL ELSE low END AS refers_to
 FROM b""",
 }
+
+# CRC-32 in SQL: the table of the 256 byte values from the polynomial, then one step a byte.
+_CRC_TABLE = """crc AS (SELECT list(v ORDER BY b) AS tab FROM (
+  SELECT b, list_reduce(list_prepend(b, range(8)), lambda x, k: xor(x >> 1, 3988292384 * (x & 1))) AS v
+  FROM (SELECT unnest(range(256)) AS b)))"""
+
+
+def _crc(text: str) -> str:
+    """CRC-32 of the UTF-8 of ``text``, of characters below U+0100, with ``tab`` at hand."""
+    byte = (f"flatten(list_transform(range(1, length({text}) + 1), lambda i: CASE WHEN unicode(substr({text}, i, 1)) < 128 "
+            f"THEN [unicode(substr({text}, i, 1))::BIGINT] "
+            f"ELSE [(192 + unicode(substr({text}, i, 1)) // 64)::BIGINT, (128 + unicode(substr({text}, i, 1)) % 64)::BIGINT] END))")
+    return f"xor(list_reduce(list_prepend(4294967295, {byte}), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+ORACLE_SQL["op11_prefix_trie"] = rf"""
+WITH {_CRC_TABLE},
+o AS (SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+      FROM conversations WHERE conv_id IS NOT NULL),
+n AS (SELECT c, n, {_crc('c::VARCHAR')} % 4 AS h FROM (SELECT c, count(*) AS n FROM o GROUP BY c), crc),
+t AS (SELECT n.c, a.i AS d, a.r, a.x FROM n JOIN o a ON a.c = n.c - n.c % 20 WHERE a.i <= n.h
+      UNION ALL
+      SELECT o.c, o.i - n.h + least(n.h, coalesce(a.n, 0)), o.r, o.x
+      FROM o JOIN n USING (c) LEFT JOIN n a ON a.c = n.c - n.c % 20 WHERE o.i > n.h),
+l AS (SELECT n.c, coalesce(list(md5(length(r) || ':' || r || x) ORDER BY d) FILTER (d IS NOT NULL), []) AS l,
+             coalesce(list(len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) ORDER BY d) FILTER (d IS NOT NULL), []) AS w
+      FROM n LEFT JOIN t USING (c) GROUP BY n.c),
+p AS (SELECT c, d, len(l) AS total, md5(d || array_to_string(l[1:d], '')) AS k,
+             CASE WHEN d > 0 THEN md5((d - 1) || array_to_string(l[1:d - 1], '')) END AS pk, CASE WHEN d > 0 THEN w[d] ELSE 0 END AS w
+      FROM (SELECT *, unnest(range(0, len(l) + 1)) AS d FROM l)),
+node AS (SELECT k, any_value(d) AS depth, any_value(pk) AS pk, min(c) AS conv_id, count(*) AS n_convs, any_value(w) AS w,
+                string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (total = d) AS ends FROM p GROUP BY k),
+kids AS (SELECT pk AS k, count(*) AS kids FROM node WHERE pk IS NOT NULL GROUP BY pk),
+below AS (SELECT a.k, count(*) FILTER (kids.kids IS NULL) AS n_leaves, sum((n_convs - 1) * w) AS saved
+          FROM (SELECT DISTINCT a.k, b.k AS bk FROM p a JOIN p b ON a.c = b.c AND a.d <= b.d) a
+          JOIN node ON node.k = a.bk LEFT JOIN kids ON kids.k = a.bk GROUP BY a.k)
+SELECT node.conv_id, depth::BIGINT AS depth, up.conv_id AS parent_conv_id, node.n_convs, coalesce(kids, 0) AS n_children, n_leaves,
+       saved::BIGINT AS saved_tokens, sha256(coalesce(node.ends, '')) AS ends_sha256
+FROM node LEFT JOIN (SELECT k, conv_id FROM node) up ON up.k = node.pk LEFT JOIN kids ON kids.k = node.k JOIN below ON below.k = node.k"""
+
+ORACLE_SQL["op12_spelling"] = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+r AS (SELECT doc_id, run, count(*) AS n
+      FROM (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]{{7,}}')),
+                                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents)
+      GROUP BY doc_id, run),
+h AS (SELECT *, {_crc("(coalesce(doc_id::VARCHAR, '') || ':' || run)")} AS h FROM r, crc),
+v AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END
+             AS word, n FROM h),
+w AS (SELECT word, sum(n)::BIGINT AS n FROM v WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+d AS (SELECT word, n, i, substr(word, 1, (i - 1)::INT) || substr(word, (i + 1)::INT) AS rest
+      FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+e AS (SELECT DISTINCT a.word, b.word AS near, b.n AS near_n FROM d a JOIN d b USING (i, rest) WHERE a.word <> b.word
+      UNION SELECT d.word, w.word, w.n FROM d JOIN w ON w.word = d.rest
+      UNION SELECT w.word, d.word, d.n FROM d JOIN w ON w.word = d.rest),
+f AS (SELECT w.word, w.n, count(near) AS n_near, max(near_n) AS best_n, arg_min(near, row(-near_n, near)) AS best
+      FROM w LEFT JOIN e USING (word) GROUP BY w.word, w.n),
+g AS (SELECT word, n, n_near, CASE WHEN best_n >= 10 * n THEN best END AS form, CASE WHEN best_n >= 10 * n THEN best_n END AS form_n FROM f),
+up AS (SELECT word, form AS at FROM g WHERE form IS NOT NULL
+       UNION ALL SELECT up.word, g.form FROM up JOIN g ON g.word = up.at WHERE g.form IS NOT NULL),
+top AS (SELECT up.word, up.at AS root FROM up JOIN g ON g.word = up.at WHERE g.form IS NULL)
+SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n FROM g LEFT JOIN top USING (word)"""

@@ -35,7 +35,7 @@ def empty(spark):
 
 def duck(sql):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "conversations"):
         con.execute(f"create view {t} as select * from '{BASE}/{t}.parquet'")
     return con.execute(sql).df()
 
