@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise.llm import decontam, langid, mixing, pii, quality, simhash
 from shelfwise.llm.catalog import MIX_MAX_EPOCHS
@@ -42,7 +43,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(d.select("__key", "text"), id_col="__key", shingle_words=simhash.SHINGLE_WORDS,
                                     radius=simhash.RADIUS)
     first = found.filter(F.col("__key") == F.col("component_id")).select("__key").distinct()
-    return d.join(first, "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)
+    # rows equal in id and text are one document; of their other columns those of the smallest hash stay
+    rank = F.xxhash64(*[f.name for f in docs.schema.fields if not isinstance(f.dataType, T.MapType)])
+    return d.join(first, "__key", "left_semi").groupBy("__key") \
+        .agg(F.min_by(F.struct(*docs.columns), rank).alias("__row")).select("__row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
