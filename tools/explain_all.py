@@ -24,6 +24,9 @@ LISTING = ("Listing view: documents, labels and events joined on the document id
            "shuffled once by doc_id and both joins share that partitioning (the planner broadcasts "
            "the small sides of the test tables after its size check). ")
 ROW_LEVEL = "Row-level: scan, project, no exchange; the work grows linearly with the table and splits with it."
+CONTAINS = ("Two passes over the names, in their scan tasks: the first counts the brands' pieces of four characters, the second "
+            "proposes (hash of name, brand) for each brand's rarest piece; lengths are a scalar subquery on the brands. The semi join "
+            "verifies with contains. A list's pieces are broadcast (bounded by the list); names are shuffled at most once, by hash.")
 NOTES = {
     "run_summary": LISTING + "Narrow form: text presence and length are computed in the documents scan "
                    "task, so no text crosses a shuffle. Partial aggregate per brand, one row per brand and "
@@ -50,9 +53,18 @@ NOTES = {
     "brand_prefix_join": "Candidate prefixes of the brand lengths (scalar subqueries) equi-joined to the "
                          "lower-cased brands: a hash join (broadcast when the brand table is small, sort-merge "
                          "otherwise; AQE splits a hot brand), never a nested loop.",
-    "portfolio_semi_join": "Brand list counted first; up to 256 brands a broadcast nested-loop semi join "
-                           "(no shuffle of the rows), beyond that an equi semi join on the substrings of the "
-                           "distinct skus.",
+    "portfolio_semi_join": CONTAINS,
+    "portfolio_of_parts": CONTAINS + " Here the brands are a table, so the planner chooses the joins by its size.",
+    "card_shapes_any_tag": "Parser in mapInPandas, selected by class alone. No exchange.",
+    "description_by_path": "Element paths in mapInPandas, one page at a time, the layout number computed in the JVM. No exchange.",
+    "cards_table_function": "The parser as a table function called from SQL, on the scan's own partitions. No exchange.",
+    "price_parse_sql": "SQL functions, inlined: the plan of price_parse, without Python.",
+    "global_position": "The keys were sorted by range partitions and written (not shown: that job runs when the query is built); one "
+                       "offset per partition is broadcast, and the texts meet their number by an equi-join.",
+    "capture_time_asof": "One shuffle of both sides on (key, time bucket) for the window; bucket summaries, far fewer, carry the rest.",
+    "range_summary": LISTING + "Partial aggregates per day and brand are the state a run stores; the range merges them per brand, then once.",
+    "brands_seen_bitmap": LISTING + "Bitmaps per day and bucket by partial aggregate, then a bitwise or.",
+    "spread_chunks": "One shuffle straight to the partition of the chunk's number.",
     "cards_by_class": "Parser in mapInPandas, one page at a time, Arrow batches capped in bytes; pages without "
                       "the class token are filtered out JVM-side first. No exchange.",
     "cards_by_tag": "Parser in mapInPandas (cards and fields selected by tag), one page at a time; pages "
