@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -98,8 +99,11 @@ def portfolio_semi_join(rows: DataFrame, brands: Sequence[str] | DataFrame, sku:
     hash of the sku; the semi join on that hash verifies with ``contains``, which
     also settles equal hashes.
     """
-    b = brands_frame(rows.sparkSession, brands, brand).select(F.col(brand).alias("__b")) \
-        .filter(F.length("__b") >= 1).distinct()
+    if isinstance(brands, DataFrame):
+        b = brands_frame(rows.sparkSession, brands, brand).select(F.col(brand).alias("__b")) \
+            .filter(F.length("__b") >= 1).distinct()
+    else:                                       # a local relation: no job, and a size the planner knows
+        b = rows.sparkSession.createDataFrame(pa.table({"__b": pa.array(dict.fromkeys(x for x in brands if x), pa.string())}))
 
     def small(df: DataFrame) -> DataFrame:
         # what comes of a list is bounded by the list; of a table, the planner knows or finds out
@@ -108,7 +112,7 @@ def portfolio_semi_join(rows: DataFrame, brands: Sequence[str] | DataFrame, sku:
     long = b.filter(F.length("__b") >= q).select("__b", F.explode(F.array_distinct(_grams("__b", q))).alias("__piece")) \
         .select("__b", F.xxhash64("__piece").alias("__gram"))
     held = _wanted(rows, sku, small(long.select("__gram").distinct()), _grams(sku, q)).groupBy("__gram").agg(F.count("*").alias("__n"))
-    rarest = long.join(held, "__gram", "left").groupBy("__b") \
+    rarest = long.join(small(held), "__gram", "left").groupBy("__b") \
         .agg(F.min(F.struct(F.coalesce("__n", F.lit(0)).alias("__n"), "__gram")).alias("__r")) \
         .filter(F.col("__r.__n") > 0).select(F.col("__r.__gram").alias("__gram"), "__b")
     index = b.filter(F.length("__b") < q).select(F.xxhash64("__b").alias("__gram"), "__b").unionByName(rarest)
