@@ -8,23 +8,24 @@ lengths) and context features (kind words before it, neighbouring characters);
 boosted trees score it, and proposals at or above a calibrated threshold that
 overlap no better span are added as ``email_like`` and ``number_like``.
 
-Training: for each kind, its proposals in a sample (by hash) of about ``sample_docs``
-of the documents that hold one, so that a rare kind is sampled as well as a common
-one; of each kind at most ``4 * sample_docs`` different feature rows, by hash, each
-weighted by the number of proposals it stands for. A
-proposal that a strict pattern confirms is a positive, any other a negative;
-features that restate a strict rule (checksum, leading plus) are left out, so
-the trees learn what personal data looks like around them. The threshold of a
-kind is the smallest score whose precision on documents held out of the fit (a
-quarter by hash, one at least of each kind), with every score above it, reaches
-``precision``, however few they are; if none does, the kind adds nothing.
+Training: every proposal of every document, as feature rows with the number of
+proposals each stands for. A proposal that a strict pattern confirms is a positive,
+any other a negative; features that restate a strict rule (checksum, leading plus)
+are left out, so the trees learn what personal data looks like around them. Trees
+split at up to 25 quantiles of a feature, so rows go by their places between those
+and a level of a tree is one sum per (node, feature, place) over the distinct rows,
+in whole numbers, so that no order of tasks changes it. The threshold of a kind is
+the smallest log-odds whose precision on documents held out of the fit (a quarter by
+hash, one at least of each kind), with all above it, reaches ``precision``, however
+few they are; if none does, the kind adds nothing. A caller may ask for fewer
+documents (``sample_docs`` of each kind, by hash); the queries take all.
 
 All matching is linear in the text's length (the email and ip patterns are
 anchored so that long runs are not retried at each character).
 
 Defined cases: NULL text is empty (no span); repeated rows get equal spans;
 overlapping base spans of different kinds are all kept; an empty table or a
-sample without positives adds no spans; other columns are not read. Redaction
+table without positives adds no spans; other columns are not read. Redaction
 replaces the union of overlapping spans once, by the first kind's tag.
 """
 
@@ -33,12 +34,13 @@ from __future__ import annotations
 import functools
 import re
 import sys
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -53,9 +55,9 @@ KINDS = ("email", "ip", "card", "phone", "email_like", "number_like")
 BASE_KINDS = KINDS[:4]
 CONTEXT_WORDS = (("mail", "contact", "write"), ("phone", "call", "tel", "mobile"), ("card", "visa", "account", "pay"),
                  ("ip", "address", "host", "server"), ("ssn", "passport", "id ", "number"))
-SAMPLE_DOCS = 20_000
 PRECISION = 0.98
-HELD = 0.25                # share of the sampled documents that the fit does not see
+HELD = 0.25                # share of the documents that the fit does not see
+BINS = 26                  # places between at most 25 quantiles
 CONTEXT = 32
 
 _AT = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -135,126 +137,214 @@ def features(text: str, kind: int, start: int, stop: int) -> list[float]:
 
 
 class Trees:
-    """Gradient-boosted regression trees for the logistic loss (numpy, a few thousand rows)."""
+    """Gradient-boosted regression trees for the logistic loss, grown level by level from sums over the rows.
+
+    A tree maps node numbers (root 1, children 2n and 2n + 1) to (value,) or (value, feature, cut): left is
+    at most the cut. While it is fitted, rows are places between quantiles and a cut is a place.
+    """
 
     def __init__(self, rounds: int = 30, depth: int = 3, rate: float = 0.3, least: int = 10):
         self.rounds, self.depth, self.rate, self.least = rounds, depth, rate, least
         self.prior, self.trees = 0.0, []
 
-    def fit(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> Trees:
-        p = min(max(float(np.average(y, weights=weight)), 1e-6), 1 - 1e-6)
+    def fit(self, positives: int, total: int, sums: Callable[[Trees, dict, list[int]], np.ndarray]) -> Trees:
+        """``sums(trees so far, growing tree, nodes)``: gradient, hessian and weight by [node, feature, place]."""
+        p = min(max(positives / total, 1e-6), 1 - 1e-6)
         self.prior = float(np.log(p / (1 - p)))
-        f = np.full(len(y), self.prior)
-        cuts = [self._quantiles(c, weight) for c in x.T]
         for _ in range(self.rounds):
-            prob = 1 / (1 + np.exp(-f))
-            tree: dict[int, tuple] = {}
-            self._grow(tree, 1, x, weight * (y - prob), weight * prob * (1 - prob), weight, np.arange(len(y)), cuts)
+            tree, nodes = {}, [1]
+            while nodes:
+                found = sums(self, tree, nodes)
+                nodes = [child for node, s in zip(nodes, found, strict=True) for child in self._split(tree, node, s)]
             self.trees.append(tree)
-            f += self.rate * self._one(tree, x)
         return self
 
+    def _split(self, tree: dict, node: int, sums: np.ndarray) -> list[int]:
+        """Sets the node's split and its children's values; the children that may split again."""
+        gs, hs, ws = sums[0].sum(axis=0)
+        tree.setdefault(node, (float(gs / (hs + 1.0)),))
+        if ws < 2 * self.least:
+            return []
+        gl, hl, nl = np.moveaxis(np.cumsum(sums, axis=1)[:, :-1], 2, 0)
+        gain = gl ** 2 / (hl + 1) + (gs - gl) ** 2 / (hs - hl + 1) - gs ** 2 / (hs + 1)
+        gain[(nl < self.least) | (ws - nl < self.least)] = 0
+        j, k = np.unravel_index(gain.argmax(), gain.shape)
+        if gain[j, k] <= 1e-6:
+            return []
+        tree[node] = (*tree[node], int(j), int(k))
+        tree[2 * node] = (float(gl[j, k] / (hl[j, k] + 1.0)),)
+        tree[2 * node + 1] = (float((gs - gl[j, k]) / (hs - hl[j, k] + 1.0)),)
+        return [n for n in (2 * node, 2 * node + 1) if n < 1 << self.depth]
+
+    def at_values(self, cuts: list[np.ndarray]) -> Trees:
+        """The fitted trees with the quantiles' values as cuts; places past a feature's last quantile hold nothing."""
+        out = Trees(self.rounds, self.depth, self.rate, self.least)
+        out.prior = self.prior
+        out.trees = [{n: (t[0], t[1], float(cuts[t[1]][t[2]])) if len(t) > 1 else t for n, t in tree.items()}
+                     for tree in self.trees]
+        return out
+
     @staticmethod
-    def _quantiles(values: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    def quantiles(values: np.ndarray, weight: np.ndarray) -> np.ndarray:
         order = np.argsort(values, kind="stable")
         share = np.cumsum(weight[order]) / weight.sum()
         return np.unique(values[order][np.searchsorted(share, np.linspace(0.02, 0.98, 25))])
 
-    def _grow(self, tree: dict, node: int, x, g, h, weight, rows, cuts) -> None:
-        gs, hs, ws = g[rows].sum(), h[rows].sum(), weight[rows].sum()
-        tree[node] = (gs / (hs + 1.0),)
-        if node >= 1 << self.depth or ws < 2 * self.least:
-            return
-        best = (1e-6, None, None)
-        for j, edges in enumerate(cuts):
-            at = np.searchsorted(edges, x[rows, j], "left")
-            gl = np.cumsum(np.bincount(at, g[rows], len(edges) + 1))[:-1]
-            hl = np.cumsum(np.bincount(at, h[rows], len(edges) + 1))[:-1]
-            nl = np.cumsum(np.bincount(at, weight[rows], len(edges) + 1))[:-1]
-            gain = gl ** 2 / (hl + 1) + (gs - gl) ** 2 / (hs - hl + 1) - gs ** 2 / (hs + 1)
-            gain[(nl < self.least) | (ws - nl < self.least)] = 0
-            if len(gain) and gain.max() > best[0]:
-                best = (gain.max(), j, edges[gain.argmax()])
-        if best[1] is not None:
-            left = x[rows, best[1]] <= best[2]
-            tree[node] = (*tree[node], best[1], best[2])
-            self._grow(tree, 2 * node, x, g, h, weight, rows[left], cuts)
-            self._grow(tree, 2 * node + 1, x, g, h, weight, rows[~left], cuts)
-
     @staticmethod
-    def _one(tree: dict, x: np.ndarray) -> np.ndarray:
-        out, todo = np.empty(len(x)), [(1, np.arange(len(x)))]
-        while todo:
-            node, rows = todo.pop()
-            if len(tree[node]) == 1:
-                out[rows] = tree[node][0]
-            else:
-                left = x[rows, tree[node][1]] <= tree[node][2]
-                todo += [(2 * node, rows[left]), (2 * node + 1, rows[~left])]
-        return out
+    def place(tree: dict, x: np.ndarray) -> np.ndarray:
+        """The node of each row, as far as the tree is grown."""
+        node = np.ones(len(x), np.int64)
+        for n in sorted(tree):
+            if len(tree[n]) > 1:
+                at = np.flatnonzero(node == n)
+                node[at] = 2 * n + (x[at, tree[n][1]] > tree[n][2])
+        return node
 
     def score(self, x: np.ndarray) -> np.ndarray:
+        """Log-odds, added up in a fixed order: equal rows score equal to the last bit."""
         f = np.full(len(x), self.prior)
         for tree in self.trees:
-            f += self.rate * self._one(tree, x)
-        return 1 / (1 + np.exp(-f))
+            value = np.zeros(1 << (self.depth + 1))
+            value[list(tree)] = [t[0] for t in tree.values()]
+            f += self.rate * value[self.place(tree, x)]
+        return f
 
 
 def _confirmed(span: tuple[int, int, int], base: list[tuple[int, int, int]]) -> bool:
     return any(a < span[2] and span[1] < b for _, a, b in base)
 
 
-def train(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", sample_docs: int = SAMPLE_DOCS,
-          precision: float = PRECISION) -> tuple[Trees, dict[int, float]] | None:
-    """The trees and the threshold of each added kind; None when the sample has no positive or no negative."""
-    texts = docs.filter(F.col(text_col).isNotNull())
-    at, apart = (common.hash_fraction(F.struct(id_col, text_col), seed) for seed in (7, 8))
-    holds = {kind: F.regexp_like(text_col, F.lit(p)) for kind, p in _HOLDS.items()}
-    of = texts.agg(*[F.count(F.when(h, 1)).alias(f"n{kind}") for kind, h in holds.items()],
-                   *[F.min(F.when(h, F.struct(at, apart))).alias(f"first{kind}") for kind, h in holds.items()]).first()
-    share = {kind: sample_docs / of[f"n{kind}"] for kind in holds if of[f"n{kind}"]}
-    if not share:
-        return None
-    # the document sampled first of a kind is held out whatever its own number says
-    first = {kind: of[f"first{kind}"][0] for kind in share}
-    n_features = len(features("", 4, 0, 0))
-
+def _feature_rows(texts: DataFrame, text_col: str, at: Column, apart: Column, share: dict[int, float],
+                  below: dict[int, float]) -> DataFrame:
+    """(kind, x, y, held, n, apart): the different feature rows of the proposals, written. A document is held out
+    for a kind when its number is under the kind's ``below``; ``apart`` is the smallest such number of a row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            x, y, held = [], [], []
+            n, low = Counter(), {}
             for text, own, other in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                base = base_spans(text)
-                for span in proposals(text):
-                    if own < share.get(span[0], 0):
-                        x.append(features(text, *span))
-                        y.append(_confirmed(span, base))
-                        held.append(other < HELD or own <= first[span[0]])
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.bool_()), pa.array(held, pa.bool_())],
-                                             names=["x", "y", "held"])
-
-    pick = functools.reduce(lambda a, b: a | b, [(at < n) & holds[kind] for kind, n in share.items()])
-    rows = texts.filter(pick).select(text_col, at.alias("at"), apart.alias("apart")) \
-        .mapInArrow(run, "x array<double>, y boolean, held boolean").groupBy("x", "y", "held").count() \
-        .withColumn("nth", F.row_number().over(Window.partitionBy(F.col("x")[0]).orderBy(F.xxhash64("x", "y", "held"), "x", "y"))) \
-        .filter(F.col("nth") <= 4 * sample_docs).drop("nth").toPandas()
-    if rows.empty:
-        return None
-    rows = rows.loc[rows[["x", "y", "held"]].map(lambda v: tuple(v) if np.ndim(v) else bool(v)).apply(tuple, axis=1).sort_values().index]
-    x = np.stack(rows["x"].to_numpy()).reshape(-1, n_features)        # a fixed order, whatever the tasks' order was
-    y, held, weight = rows["y"].to_numpy(dtype=float), rows["held"].to_numpy(dtype=bool), rows["count"].to_numpy(dtype=float)
-    if len(set(y[~held])) < 2:
+                spans = [p for p in proposals(text) if own < share[p[0]]]
+                base = base_spans(text) if spans else []
+                for span in spans:
+                    key = (span[0], tuple(features(text, *span)), _confirmed(span, base), other < below[span[0]])
+                    n[key] += 1
+                    low[key] = min(other, low.get(key, 1.0))
+            kind, x, y, held = zip(*n, strict=True) if n else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(kind, pa.int32()), pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.bool_()),
+                 pa.array(held, pa.bool_()), pa.array(list(n.values()), pa.int64()), pa.array([low[k] for k in n], pa.float64())],
+                names=["kind", "x", "y", "held", "n", "apart"])
+
+    return common.written(
+        texts.select(text_col, at.alias("at"), apart.alias("apart"))
+        .mapInArrow(run, "kind int, x array<double>, y boolean, held boolean, n bigint, apart double")
+        .groupBy("kind", "x", "y", "held").agg(F.sum("n").alias("n"), F.min("apart").alias("apart")), "pii-rows")
+
+
+def _placed(rows: DataFrame, cuts: list[np.ndarray]) -> DataFrame:
+    """(kind, places BINARY, y, held, n): the rows that differ in their places between the cuts, written."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            x = np.array(part.column(1).to_pylist()).reshape(-1, len(cuts))
+            at = np.stack([np.searchsorted(c, x[:, j], "left") for j, c in enumerate(cuts)], axis=1).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([r.tobytes() for r in at], pa.binary()),
+                                              *part.columns[2:]], names=["kind", "places", "y", "held", "n"])
+
+    return common.written(
+        rows.select("kind", "x", "y", "held", "n")
+        .mapInArrow(run, "kind int, places binary, y boolean, held boolean, n bigint")
+        .groupBy("kind", "places", "y", "held").agg(F.sum("n").alias("n")), "pii-places")
+
+
+def _places(column: pa.Array, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, width)
+
+
+def _sums(rows: DataFrame, width: int, total: int) -> Callable[[Trees, dict, list[int]], np.ndarray]:
+    """The sums that a level of a tree needs: added up in the tasks, then by cell."""
+    scale = float(1 << (52 - total.bit_length()))       # sums of whole numbers below 2 ** 53 are exact in any order
+
+    def sums(trees: Trees, tree: dict, nodes: list[int]) -> np.ndarray:
+        size = width * BINS
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found, number = np.zeros((3, len(nodes) * size)), np.full(1 << (trees.depth + 1), -1)
+            number[nodes] = range(len(nodes))
+            for part in batches:
+                x, y, n = _places(part.column(0), width), *(c.to_numpy(zero_copy_only=False) for c in part.columns[1:])
+                node = number[trees.place(tree, x)]
+                x, y, n, node = (c[node >= 0] for c in (x, y, n, node))
+                prob = 1 / (1 + np.exp(-trees.score(x)))
+                cell = (node[:, None] * size + np.arange(width) * BINS + x).ravel()
+                for out, v in zip(found, (np.rint((y - prob) * n * scale), np.rint(prob * (1 - prob) * n * scale), n), strict=True):
+                    out += np.bincount(cell, np.repeat(v, width), len(out))
+            cell = np.flatnonzero(found.any(axis=0))
+            yield pa.RecordBatch.from_arrays([pa.array(cell), *(pa.array(f[cell].astype(np.int64)) for f in found)],
+                                             names=["cell", "g", "h", "w"])
+
+        # a few thousand cells a level; few reducers, as each level is a job of its own
+        cells = rows.mapInArrow(run, "cell bigint, g bigint, h bigint, w bigint").repartition(4, "cell").groupBy("cell") \
+            .agg(*[F.sum(c) for c in "ghw"]).collect()
+        out = np.zeros((len(nodes) * size, 3))
+        for cell, *ghw in cells:
+            out[cell] = ghw
+        return out.reshape(len(nodes), width, BINS, 3) / (scale, scale, 1)
+
+    return sums
+
+
+def _limits(rows: DataFrame, trees: Trees, width: int, precision: float) -> dict[int, float]:
+    """Each kind's smallest log-odds at which held-out rows keep the precision: sums by ranges of log-odds, then inside."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(trees.score(_places(part.column(3), width)))],
+                                             names=["kind", "n", "good", "odds"])
+
+    scored = rows.select("kind", "n", F.when(F.col("y"), F.col("n")).otherwise(0).alias("good"), "places") \
+        .mapInArrow(run, "kind int, n bigint, good bigint, odds double").groupBy("kind", "odds") \
+        .agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
+    ranges = common.written(scored.repartitionByRange("kind", F.desc("odds")).withColumn("range", F.spark_partition_id()),
+                            "pii-odds")
+    # the ranges of a kind run down its log-odds; a row for each range
+    per = ranges.groupBy("kind", "range").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
+    above = Window.partitionBy("kind").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select("kind", "range", *[F.coalesce(F.sum(c).over(above), F.lit(0)).alias(f"{c}_above") for c in ("n", "good")])
+    inside = Window.partitionBy("kind", "range").orderBy(F.desc("odds"))
+    found = ranges.join(per, ["kind", "range"]).withColumns(
+        {c: F.sum(c).over(inside) + F.col(f"{c}_above") for c in ("n", "good")}) \
+        .filter(F.col("good") >= precision * F.col("n")).groupBy("kind").agg(F.min("odds")).collect()
+    return {4: np.inf, 5: np.inf} | {kind: odds for kind, odds in found}
+
+
+def train(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", sample_docs: int | None = None,
+          precision: float = PRECISION) -> tuple[Trees, dict[int, float]] | None:
+    """The trees and the threshold of each added kind; None when the fit has no positive or no negative.
+    ``sample_docs``: about so many documents that hold a proposal of a kind, instead of all."""
+    texts = docs.filter(F.col(text_col).isNotNull())
+    at, apart = (common.hash_fraction(F.struct(id_col, text_col), seed) for seed in (7, 8))
+    share = dict.fromkeys(_HOLDS, 1.0)
+    if sample_docs is not None:
+        holds = {kind: F.regexp_like(text_col, F.lit(p)) for kind, p in _HOLDS.items()}
+        of = texts.agg(*[F.count(F.when(h, 1)).alias(f"n{kind}") for kind, h in holds.items()]).first()
+        share = {kind: sample_docs / max(1, of[f"n{kind}"]) for kind in holds}
+        texts = texts.filter(functools.reduce(lambda a, b: a | b, [(at < n) & holds[kind] for kind, n in share.items()]))
+    below = dict.fromkeys(_HOLDS, HELD)
+    rows = _feature_rows(texts, text_col, at, apart, share, below)
+    # a kind that no document was held out for (it has very few) holds out the one of the smallest number
+    bare = [r for r in rows.groupBy("kind").agg(F.max("held").alias("held"), F.min("apart").alias("low")).collect() if not r.held]
+    if bare:
+        below |= {r.kind: float(np.nextafter(r.low, 1)) for r in bare}
+        rows = _feature_rows(texts, text_col, at, apart, share, below)
+    fit = rows.filter(~F.col("held"))
+    n = {r.y: r.n for r in fit.groupBy("y").agg(F.sum("n").alias("n")).collect()}
+    if len(n) < 2:
         return None
-    trees = Trees().fit(x[~held], y[~held], weight[~held])
-    score, limits = trees.score(x), {}
-    for kind in (4, 5):
-        own = np.flatnonzero(held & (x[:, 0] == kind))
-        own = own[np.argsort(-score[own], kind="stable")]
-        s, w = score[own], weight[own]
-        ok = np.cumsum(w * y[own]) >= precision * np.cumsum(w)
-        last = np.concatenate((s[1:] != s[:-1], [True])) if len(s) else ok       # a cut never splits equal scores
-        at_cut = np.flatnonzero(ok & last)
-        limits[kind] = float(s[at_cut[-1]]) if len(at_cut) else np.inf
-    return trees, limits
+    # different values of a feature: lengths and counts, of which a table of N characters has at most about sqrt(2 N)
+    values = fit.select("n", F.posexplode("x")).groupBy("pos", "col").agg(F.sum("n").alias("n")).toPandas()
+    cuts = [Trees.quantiles(v["col"].to_numpy(), v["n"].to_numpy(dtype=float)) for _, v in values.groupby("pos")]
+    placed = _placed(rows, cuts)
+    total = sum(n.values())
+    trees = Trees().fit(n[True], total, _sums(placed.filter(~F.col("held")).select("places", "y", "n"), len(cuts), total))
+    return trees.at_values(cuts), _limits(placed.filter("held"), trees, len(cuts), precision)
 
 
 def find_spans(text: str, model: tuple[Trees, dict[int, float]] | None) -> list[tuple[int, int, int]]:
