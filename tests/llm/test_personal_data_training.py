@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from shelfwise.llm import common, pii
 
 PLAIN = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -96,6 +97,17 @@ def test_trees_equal_a_plain_fit(spark):
     assert np.allclose(trees.score(x), plain_scores(x, y, held == 0), atol=1e-6)
 
 
+def test_pipeline_stage_learns_from_every_document(spark, many, proposed, monkeypatch):
+    seen, fit = [], pii.Trees.fit
+
+    def spy(self, *args):
+        seen.append(fit(self, *args).prior)
+        return self
+    monkeypatch.setattr(pii.Trees, "fit", spy)
+    out = corpus_pipeline.personal_data(spark, many, "")
+    assert np.allclose(seen, [prior(proposed)], rtol=0, atol=1e-12) and out.columns == many.columns
+
+
 def test_a_kind_of_one_document_is_held_out(spark):
     docs = spark.createDataFrame([(i, f"call +1 555 {i:07d} or 020 {i:07d}") for i in range(400)] + [(1000, "me@a.example.com")],
                                  "doc_id bigint, text string")
