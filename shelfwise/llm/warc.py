@@ -1,9 +1,9 @@
 """Legacy archive converter: ARC archives to WARC archives.
 
-``write_arc`` lands pages as ARC archives (version 1 or 2 header lines, gzip, a
-file of bounded rows per task); ``read_arc`` parses them back: the version block
-at the head of the file names the fields of every record's header line, whose
-declared length frames the payload. ``convert`` synthesises the WARC side of
+``write_arc`` lands pages as ARC archives (version 1 or 2 header lines, gzip)
+in the tasks that read them, with no shuffle; ``read_arc`` parses them back: the
+version block at the head of the file names the fields of every record's header
+line, whose declared length frames the payload. ``convert`` synthesises the WARC side of
 each record: identifier (a name-based UUID of address, date and digest),
 timestamp, type and SHA-1 payload digest; of the records with equal payloads of
 at least ``min_bytes``, the one with the smallest page id is the response and
@@ -16,8 +16,9 @@ Archive lines are framed by lengths only, so payloads may hold anything. A page
 id travels as the fragment of its address (``#page-id=7``); white space and
 control characters in addresses are percent-encoded.
 
-Memory: an archive file is read whole, so files hold about ``FILE_BYTES`` of
-payload (more only when a single page is larger).
+Memory: an archive file is read whole. A task that writes ARC files goes on to a
+further file after ``FILE_BYTES`` of records (more only when a single one is
+larger); a WARC file holds what a task of the join before it holds.
 
 Defined cases: NULL or empty html is a payload of 0 bytes (taking part in
 revisits when ``min_bytes`` is 0); NULL url is ``about:blank``; rows that share
@@ -37,11 +38,11 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
-from .common import shared_path, slices
+from .common import shared_path, slices, utf8
 
 cloudpickle.register_pickle_by_value(common)
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -84,34 +85,35 @@ def _arc_record(version: int, address: str, date: str, payload: bytes) -> bytes:
     return line.encode() + payload
 
 
-def _spread(df: DataFrame, size_col: str) -> DataFrame:
-    """Rows dealt to tasks of about FILE_BYTES each (one aggregate sizes it; no key, no skew)."""
-    total = df.agg(F.sum(size_col)).first()[0] or 0
-    return df.repartition(max(1, -(-int(total) // FILE_BYTES)))
-
-
-def _write_members(df: DataFrame, path: str, end: str) -> None:
-    """Archive members as they are, each followed by ``end``; one gzip file per task."""
-    df.write.option("lineSep", end).option("compression", "gzip").text(path)
+def _members(df: DataFrame, end: str) -> DataFrameWriter:
+    """A writer of archive members as they are, each followed by ``end``, to gzip files."""
+    return df.write.option("lineSep", end).option("compression", "gzip")
 
 
 def write_arc(pages: DataFrame, path: str, version: int = 1, date: str = "20240101000000",
               id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
     """The pages as ARC archives under ``path``."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        begun = False
+    def files(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
+        held, size = [], 0
         for part in slices(batches, 64):
-            members = [] if begun else [_arc_head(version, date)]
-            begun = True
-            for page, url, html in zip(part.column(0).to_pylist(), part.column(1).to_pylist(),
-                                       part.column(2).cast(pa.binary()).to_pylist(), strict=True):
-                members.append(_arc_record(version, _address(url, page), date, html or b""))
-            yield pa.RecordBatch.from_arrays([pa.array(members, pa.binary()).cast(pa.string(), safe=False)],
-                                             names=["value"])
+            for page, url, html in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), utf8(part.column(2)), strict=True):
+                record = _arc_record(version, _address(url, page), date, html)
+                if held and size + len(record) > FILE_BYTES:
+                    yield held
+                    held, size = [], 0
+                held.append(record)
+                size += len(record)
+        if held:
+            yield held
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in files(batches):
+            whole = b"\n".join([_arc_head(version, date), *held])
+            yield pa.RecordBatch.from_arrays([pa.array([whole], pa.binary()).cast(pa.string(), safe=False)], names=["value"])
 
-    rows = pages.select(F.col(id_col).cast("bigint"), F.col(url_col).cast("string"), F.col(html_col).cast("string")) \
-        .withColumn("__size", F.coalesce(F.octet_length(html_col), F.lit(0)))
-    _write_members(_spread(rows, "__size").drop("__size").mapInArrow(run, "value string"), path, "\n")
+    rows = pages.select(F.col(id_col).cast("bigint"), F.col(url_col).cast("string"), F.col(html_col).cast("string"))
+    # a row is a whole archive
+    _members(rows.mapInArrow(run, "value string"), "\n").option("maxRecordsPerFile", 1).text(path)
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
@@ -214,7 +216,7 @@ def _warc_record(address: str, date: str, payload: bytes | None, size: int, dige
 
 def write_warc(records: DataFrame, path: str) -> None:
     """WARC members as gzip archives under ``path``."""
-    _write_members(records.select("value"), path, "\r\n\r\n")
+    _members(records.select("value"), "\r\n\r\n").text(path)
 
 
 def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
