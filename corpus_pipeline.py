@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.llm import decontam, langid, mixing, pii, quality, simhash
+from shelfwise.llm import decontam, langid, mixing, pii, simhash
 from shelfwise.llm.catalog import MIX_MAX_EPOCHS
 from shelfwise.llm.common import table, written
 
@@ -28,8 +28,9 @@ ORACLE_SQL = None
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language; NULL and letterless texts go. No label at all keeps every text with a letter."""
-    model = langid.train(docs.filter(quality.crc_fold(F.col("doc_id"), 4) != 2))
+    """Documents in a language that some label names, learned from every labelled document; NULL and letterless texts go.
+    No label at all keeps every text with a letter."""
+    model = langid.train(docs)
     if not model:
         return docs.filter(langid.has_letter(F.col("text")))
     rows = docs.select(F.struct("*").alias("__row"), "text")

@@ -1,7 +1,7 @@
 """Language identification by prediction by partial matching (PPM).
 
 Per language a variable-order byte context tree (orders 0 to 3) is counted over
-a bounded sample of labelled texts and then frozen. A text's score under a
+every labelled text and then frozen. A text's score under a
 language is its exact code length: each byte costs the code length of its
 longest known context; a byte unseen there pays that context's escape and
 falls back one order, down to a uniform order -1. Escape probabilities are
@@ -9,9 +9,9 @@ those of method C: with ``n`` occurrences of ``d`` different bytes in a context,
 a byte seen ``c`` times has c / (n + d), the escape d / (n + d).
 
 Frozen statistics make the code length of a (context, byte) pair a constant, so
-the trees are laid out as dense tables (all order-2 contexts, plus the order-3
-contexts seen at least ``min_context`` times) and a text is scored by gathers
-and sums in numpy, any length in bounded chunks.
+the trees are laid out as tables (all order-2 contexts dense, and for the order-3
+contexts seen at least ``min_context`` times the bytes seen there) and a text is
+scored by gathers and sums in numpy, any length in bounded chunks.
 
 Texts are read as lower-cased letters, every run of other characters being one
 space; thus digits, marks and layout say nothing about the language.
@@ -22,14 +22,17 @@ per letter scaled by ``sharpness`` so that long texts do not saturate at once).
 shorter than the best language does, by more than ``slack_bits``: text of no
 learned language.
 
-Bounds: training takes about ``sample_bytes`` of text per language, in pieces of
-``PIECE_CHARS`` characters (by a hash of id, text and piece number). A long text
-counts for at most ``ROW_BYTES`` of its language's bytes, or for more where that
-would leave the sample short. A language whose pieces were all passed over gives
-its piece of the smallest hash that holds a letter, so every label on a text with
-a letter is learned; the number of languages is at most ``max_langs`` (an error
-beyond, nothing is dropped silently).
-Everything else covers every row.
+Training counts every byte of every labelled text with a letter, in the tasks; the
+driver and the workers hold the different 4-byte grams of each language (16 bytes
+each), whose number grows with the vocabulary and not with the rows. The number of
+languages is at most ``max_langs`` (an error beyond, nothing is dropped silently).
+
+A caller may ask for a sample (``sample_bytes``; the queries take all): about so
+much text per language, in pieces of ``PIECE_CHARS`` characters (by a hash of id,
+text and piece number). A long text then counts for at most ``ROW_BYTES`` of its
+language's bytes, or for more where that would leave the sample short. A language
+whose pieces were all passed over gives its piece of the smallest hash that holds a
+letter, so every label on a text with a letter is learned.
 
 Defined cases: NULL text or text without a letter gives ``und``, score 0; ties
 go to the alphabetically first language; no labelled text at all gives ``und``
@@ -54,7 +57,6 @@ cloudpickle.register_pickle_by_value(common)
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 UNDETERMINED = "und"
-SAMPLE_BYTES = 2_000_000
 PIECE_CHARS = 4096
 ROW_BYTES = 65_536
 MIN_CONTEXT = 8
@@ -74,34 +76,40 @@ def has_letter(c: Column) -> Column:
     return F.coalesce(F.regexp_like(c, F.lit(r"\p{L}")), F.lit(False))
 
 
-def _grams(data: np.ndarray, symbol: np.ndarray, width: int, order: int) -> np.ndarray:
-    """(context, byte) numbers of every position, for one order; ``data`` starts with ``order`` spaces."""
-    n = len(data) - order
-    g = np.zeros(n, dtype=np.int64)
-    for k in range(order + 1):
-        g = g * width + symbol[data[k:k + n]]
-    return g
-
-
 def count_grams(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
-    """(lang, gram BIGINT, n BIGINT): 4-byte grams, the bytes of context then byte."""
+    """(lang, gram BIGINT, n BIGINT): 4-byte grams, the three bytes before (spaces before a text) and each byte."""
+    def counted(by: dict[str, list[bytes]]) -> Iterator[pa.RecordBatch]:
+        for lang, parts in by.items():
+            data = np.frombuffer(b"".join(parts), dtype=np.uint8).astype(np.uint32)
+            g = data[:-3] << 24 | data[1:-2] << 16 | data[2:-1] << 8 | data[3:]
+            # positions whose last byte is context of the next part are no byte of a text
+            own = np.ones(len(g), dtype=bool)
+            starts = np.cumsum([len(p) for p in parts])[:-1]
+            for k in (1, 2, 3):
+                own[starts - k] = False
+            g, n = np.unique(g[own], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang), len(g)), pa.array(g.astype(np.int64)), pa.array(n)],
+                                             names=["lang", "gram", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by, size = {}, 0
         for part in slices(batches):
-            by: dict[str, list[bytes]] = {}
             for lang, text in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist(), strict=True):
-                by.setdefault(lang, []).append(text)
-            for lang, texts in by.items():
-                data = np.frombuffer(b"   " + b"   ".join(texts), dtype=np.uint8)
-                g, n = np.unique(_grams(data, np.arange(256), 256, 3), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(g)), pa.array(g), pa.array(n)],
-                                                 names=["lang", "gram", "n"])
+                padded = b"   " + text
+                for lo in range(0, len(text), MAX_PIECE):
+                    by.setdefault(lang, []).append(padded[lo:lo + MAX_PIECE + 3])
+                    size += len(by[lang][-1])
+                    if size >= MAX_PIECE:
+                        yield from counted(by)
+                        by, size = {}, 0
+        yield from counted(by)
 
     grams = docs.select(lang_col, text_col).mapInArrow(run, "lang string, gram bigint, n bigint")
     return grams.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 class Trees:
-    """The frozen context trees of all languages as dense tables of code lengths (bits)."""
+    """The frozen context trees of all languages as tables of code lengths (bits)."""
 
     def __init__(self, langs: list[str], grams: dict[str, tuple[np.ndarray, np.ndarray]], min_context: int):
         self.langs = langs
@@ -127,7 +135,18 @@ class Trees:
         kept = np.flatnonzero(ctx_n >= min_context)
         self.context = np.full(w ** 3, -1, dtype=np.int32)
         self.context[kept] = np.arange(len(kept))
-        self.order3 = np.empty((n_l, len(kept) * w), dtype=np.float32)
+        # the bytes that some language has after a common context, by context, then byte; rank: place there, from 1
+        cells = {}
+        for lang, (s, n) in counts.items():
+            at = self.context[(s[0] * w + s[1]) * w + s[2]].astype(np.int64)
+            cells[lang] = (at * w + s[3])[at >= 0], n[at >= 0]
+        pairs = np.unique(np.concatenate([c for c, _ in cells.values()]))
+        row = pairs // w
+        self.first = np.searchsorted(pairs, np.arange(len(kept)) * w)
+        self.rank = np.zeros(len(kept) * w, dtype=np.uint8)
+        self.rank[pairs] = np.arange(len(pairs)) - self.first[row] + 1
+        self.order3 = np.empty((n_l, len(pairs)), dtype=np.float32)
+        self.escape = np.empty((n_l, len(kept)), dtype=np.float32)
         uniform = np.full(w, np.log2(256.0))
         self.order0 = self._code(total[None, :], uniform[None, :])[0].astype(np.float32)
         for i, lang in enumerate(langs):
@@ -139,10 +158,14 @@ class Trees:
             c2 = np.bincount((s[1] * w + s[2]) * w + s[3], n, w ** 3).reshape(w * w, w)
             b2 = self._code(c2, np.tile(b1, (w, 1)))
             self.order2[i] = b2.reshape(-1)
-            in_kept = self.context[(s[0] * w + s[1]) * w + s[2]]
-            ok = in_kept >= 0
-            c3 = np.bincount(in_kept[ok].astype(np.int64) * w + s[3][ok], n[ok], len(kept) * w).reshape(len(kept), w)
-            self.order3[i] = self._code(c3, b2[kept % (w * w)]).reshape(-1)
+            cell, n = cells[lang]
+            c3 = np.bincount(np.searchsorted(pairs, cell), n, len(pairs))
+            seen3, kinds3 = np.bincount(row, c3, len(kept)), np.bincount(row, c3 > 0, len(kept))
+            with np.errstate(divide="ignore", invalid="ignore"):
+                whole = np.log2(seen3 + kinds3)
+                escape = np.where(seen3 > 0, whole - np.log2(kinds3), 0)
+                self.order3[i] = np.where(c3 > 0, whole[row] - np.log2(c3), escape[row] + b2[kept[row] % (w * w), pairs % w])
+            self.escape[i] = escape
 
     @staticmethod
     def _code(counts: np.ndarray, below: np.ndarray) -> np.ndarray:
@@ -170,7 +193,9 @@ class Trees:
             g2 = (sym[1:n + 1] * w + sym[2:n + 2]) * w + sym[3:]
             ctx = self.context[(sym[:n] * w + sym[1:n + 1]) * w + sym[2:n + 2]]
             deep = np.flatnonzero(ctx >= 0)
-            at3 = ctx[deep].astype(np.int64) * w + sym[3:][deep]
+            rank = self.rank[ctx[deep].astype(np.int64) * w + sym[3:][deep]]
+            met, unmet = deep[rank > 0], deep[rank == 0]
+            at3 = self.first[ctx[met]] + rank[rank > 0] - 1
             # positions that begin in the padding of the next text are not code of any text
             valid = np.ones(n, dtype=bool)
             for k in (1, 2, 3):
@@ -179,7 +204,8 @@ class Trees:
             owner = [i for i, _ in group]
             for j in range(len(self.langs)):
                 bits = self.order2[j][g2]
-                bits[deep] = self.order3[j][at3]
+                bits[met] = self.order3[j][at3]
+                bits[unmet] += self.escape[j][ctx[unmet]]
                 bits[~valid] = 0
                 np.add.at(out[:, j], owner, np.add.reduceat(bits, np.minimum(starts, n - 1), dtype=np.float64)
                           * (starts < n))
@@ -225,9 +251,19 @@ def row_cap(groups: list[tuple[int, int]], sample_bytes: int) -> float:
 
 
 def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id",
-          sample_bytes: int = SAMPLE_BYTES, max_langs: int = MAX_LANGS) -> tuple:
-    """The packed gram counts per language, from about ``sample_bytes`` of text of each."""
+          sample_bytes: int | None = None, max_langs: int = MAX_LANGS) -> tuple:
+    """The packed gram counts per language, from every text; ``sample_bytes``: from about so much text of each, instead."""
     known = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    if sample_bytes is not None:
+        return _train_sampled(known, lang_col, text_col, id_col, sample_bytes, max_langs)
+    texts = known.filter(has_letter(F.col(text_col))).select(F.col(lang_col).alias("lang"), folded(F.col(text_col)).alias("text"))
+    counts = common.written(count_grams(texts, "lang", "text"), "lang-grams")
+    if counts.select("lang").distinct().limit(max_langs + 1).count() > max_langs:
+        raise ValueError(f"more than {max_langs} languages; raise max_langs")
+    return tuple(sorted(_packed(counts)))
+
+
+def _train_sampled(known: DataFrame, lang_col: str, text_col: str, id_col: str, sample_bytes: int, max_langs: int) -> tuple:
     size = F.octet_length(text_col)
     # at most 32 sizes of text a language
     sizes = known.groupBy(lang_col, F.length(F.bin(size)).alias("scale")).agg(
@@ -268,11 +304,20 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id_co
 
 
 def _packed(counts: DataFrame) -> list[tuple[str, bytes, bytes]]:
-    packed = (counts.groupBy("lang").agg(F.collect_list(F.struct("gram", "n")).alias("g"))
-              .select("lang", F.col("g.gram").alias("gram"), F.col("g.n").alias("n")).toPandas())
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            langs, gram, n = np.array(part.column(0).to_pylist(), dtype=object), part.column(1).to_numpy(), part.column(2).to_numpy()
+            names = sorted(set(langs))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.string()), *(pa.array([v[langs == lang].tobytes() for lang in names], pa.binary())
+                                                 for v in (gram, n))], names=["lang", "gram", "n"])
+
+    found: dict[str, list[tuple[bytes, bytes]]] = {}
+    for lang, gram, n in counts.select("lang", "gram", "n").mapInArrow(run, "lang string, gram binary, n binary").collect():
+        found.setdefault(lang, []).append((gram, n))
     rows = []
-    for lang, gram, n in zip(packed["lang"], packed["gram"], packed["n"], strict=True):
-        gram, n = np.asarray(gram, np.int64), np.asarray(n, np.int64)
+    for lang, parts in found.items():
+        gram, n = (np.frombuffer(b"".join(p), np.int64) for p in zip(*parts, strict=True))
         order = np.argsort(gram)
         rows.append((lang, gram[order].tobytes(), n[order].tobytes()))
     return rows
@@ -282,7 +327,7 @@ def predict(docs: DataFrame, model: tuple, id_col: str = "doc_id", text_col: str
             keep: list[str] | None = None, min_context: int = MIN_CONTEXT) -> DataFrame:
     """``keep`` columns with ``lang_pred``, ``score``, ``known`` and ``bits`` (code length) for every row."""
     keep = [id_col] if keep is None else keep
-    # bounded by the training sample
+    # the different grams of the languages
     shared = docs.sparkSession.sparkContext.broadcast({"model": model, "min_context": min_context, "trees": None})
     scored = docs.select(*keep, F.when(has_letter(F.col(text_col)), folded(F.col(text_col))).alias("__folded"))
     names = ["lang_pred", "score", "known", "bits"]
