@@ -7,7 +7,9 @@ line, whose declared length frames the payload. ``convert`` synthesises the WARC
 each record: identifier (a name-based UUID of address, date and digest),
 timestamp, type and SHA-1 payload digest; of the records with equal payloads of
 at least ``min_bytes``, the one with the smallest page id is the response and
-the others revisit it. ``write_warc`` and ``read_warc`` write and parse the WARC
+the others revisit it. Which ones do is found from the digests alone; the payloads
+then go from ARC to WARC in one task, and at most the zipped archives meet their
+lists of revisits in a shuffle. ``write_warc`` and ``read_warc`` write and parse the WARC
 files. Spark's own text writer and binary reader move the bytes, so any store
 Spark can reach will do, and a lost executor's files are written again by the
 task's rerun.
@@ -18,7 +20,7 @@ control characters in addresses are percent-encoded.
 
 Memory: an archive file is read whole. A task that writes ARC files goes on to a
 further file after ``FILE_BYTES`` of records (more only when a single one is
-larger); a WARC file holds what a task of the join before it holds.
+larger); a WARC file holds the records of the ARC files that its task reads.
 
 Defined cases: NULL or empty html is a payload of 0 bytes (taking part in
 revisits when ``min_bytes`` is 0); NULL url is ``about:blank``; rows that share
@@ -117,7 +119,7 @@ def write_arc(pages: DataFrame, path: str, version: int = 1, date: str = "202401
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path", "content")
 
 
 def _unzipped(content: bytes) -> bytes:
@@ -159,50 +161,58 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(d), pa.array(p, pa.binary())],
                                                  names=["address", "date", "payload"])
 
-    return _files(spark, path).mapInArrow(run, "address string, date string, payload binary")
+    return _files(spark, path).select("content").mapInArrow(run, "address string, date string, payload binary")
 
 
 def _record_id(address: str, date: str, digest: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, ' '.join((address, date, digest)))}>"
 
 
-def _digests(arc: DataFrame) -> DataFrame:
-    """Adds page_id, payload_bytes and payload_digest to ARC records."""
+def _digests(files: DataFrame) -> DataFrame:
+    """(path, place, page_id, payload_bytes, payload_digest) of every record of ARC files; place: its number in the file."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, 64):
-            addresses, payloads = part.column(0).to_pylist(), part.column(2).to_pylist()
+        for one in slices(batches, 1):
+            found = [(_page_id(address), len(payload), sha1_base32(payload))
+                     for address, _, payload in parse_arc(_unzipped(one.column(1)[0].as_py()))]
+            pages, sizes, digests = zip(*found, strict=True) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [*part.columns, pa.array([_page_id(a) for a in addresses], pa.int64()),
-                 pa.array([len(p) for p in payloads], pa.int64()), pa.array([sha1_base32(p) for p in payloads])],
-                names=["address", "date", "payload", "page_id", "payload_bytes", "payload_digest"])
-
-    return arc.mapInArrow(run, "address string, date string, payload binary, page_id bigint, payload_bytes bigint, "
-                               "payload_digest string")
-
-
-def convert(arc: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """(member STRING, size): the WARC records of ARC records, responses and revisits."""
-    d = _digests(arc)
-    first = d.filter(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest").agg(
-        F.min("page_id").alias("low_id"), F.count("*").alias("copies")).filter(F.col("copies") > 1)
-    first = d.join(first.select(F.col("payload_digest").alias("__d"), "low_id"),
-                   (F.col("payload_digest") == F.col("__d")), "left") \
-        .withColumn("revisit", F.coalesce(F.col("payload_bytes") >= min_bytes, F.lit(False))
-                    & F.col("low_id").isNotNull() & ~F.coalesce(F.col("page_id") == F.col("low_id"), F.lit(False)))
-    rows = first.select("address", "date", F.when(~F.col("revisit"), F.col("payload")).alias("payload"),
-                        "payload_bytes", "payload_digest", F.when(F.col("revisit"), F.col("low_id")).alias("low_id"))
+                [pa.repeat(one.column(0)[0], len(found)), pa.array(range(len(found)), pa.int32()), pa.array(pages, pa.int64()),
+                 pa.array(sizes, pa.int64()), pa.array(digests, pa.string())],
+                names=["path", "place", "page_id", "payload_bytes", "payload_digest"])
+
+    return files.mapInArrow(run, "path string, place int, page_id bigint, payload_bytes bigint, payload_digest string")
+
+
+def _revisits(files: DataFrame, min_bytes: int) -> DataFrame:
+    """(path, revisits): the places in an ARC file of the records that revisit another, with that one's page id; written."""
+    d = common.written(_digests(files), "arc-digests").filter(F.col("payload_bytes") >= min_bytes)
+    first = d.groupBy("payload_digest").agg(F.min("page_id").alias("low_id"), F.count("*").alias("copies")) \
+        .filter((F.col("copies") > 1) & F.col("low_id").isNotNull())
+    return common.written(
+        d.join(first, "payload_digest").filter(~F.col("page_id").eqNullSafe(F.col("low_id")))
+        .groupBy("path").agg(F.collect_list(F.struct("place", "low_id")).alias("revisits")), "arc-revisits")
+
+
+def convert(spark: SparkSession, path: str, min_bytes: int = 0) -> DataFrame:
+    """(value STRING, size): the WARC records of the ARC archives under ``path``, responses and revisits."""
+    files = _files(spark, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, 64):
-            out = [_warc_record(*r) for r in zip(*(c.to_pylist() for c in part.columns), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()).cast(pa.string(), safe=False),
-                                              pa.array([len(o) for o in out], pa.int64())], names=["value", "size"])
+        for one in slices(batches, 1):
+            low = {r["place"]: r["low_id"] for r in one.column(1)[0].as_py() or ()}
+            out = [_warc_record(address, date, payload, len(payload), sha1_base32(payload), low.get(place))
+                   for place, (address, date, payload) in enumerate(parse_arc(_unzipped(one.column(0)[0].as_py())))]
+            for lo in range(0, len(out), 64):
+                part = out[lo:lo + 64]
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()).cast(pa.string(), safe=False),
+                                                  pa.array([len(o) for o in part], pa.int64())], names=["value", "size"])
 
-    return rows.mapInArrow(run, "value string, size bigint")
+    return files.join(_revisits(files, min_bytes), "path", "left").select("content", "revisits") \
+        .mapInArrow(run, "value string, size bigint")
 
 
-def _warc_record(address: str, date: str, payload: bytes | None, size: int, digest: str, low: int | None) -> bytes:
-    body = b"" if low is not None else (payload or b"")
+def _warc_record(address: str, date: str, payload: bytes, size: int, digest: str, low: int | None) -> bytes:
+    body = b"" if low is not None else payload
     stamp = f"{date[:4]}-{date[4:6]}-{date[6:8]}T{date[8:10]}:{date[10:12]}:{date[12:14]}Z"
     lines = ["WARC/1.1", f"WARC-Type: {'response' if low is None else 'revisit'}",
              f"WARC-Record-ID: {_record_id(address, date, digest)}", f"WARC-Date: {stamp}",
@@ -257,7 +267,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(zip(*rows[lo:lo + 64], strict=True), kinds, strict=True)], names=names)
 
-    return _files(spark, path).mapInArrow(run, "page_id bigint, record_id string, date string, url string, "
+    return _files(spark, path).select("content").mapInArrow(run, "page_id bigint, record_id string, date string, url string, "
                                                "payload_bytes bigint, payload_digest string, record_type string, "
                                                "refers_to bigint, payload binary")
 
@@ -267,5 +277,5 @@ def round_trip(pages: DataFrame, version: int = 1, min_bytes: int = 0, html_col:
     spark = pages.sparkSession
     arc, out = shared_path(spark, "arc"), shared_path(spark, "warc")
     write_arc(pages, arc, version, html_col=html_col)
-    write_warc(convert(read_arc(spark, arc), min_bytes), out)
+    write_warc(convert(spark, arc, min_bytes), out)
     return read_warc(spark, out)
