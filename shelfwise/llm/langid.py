@@ -113,34 +113,38 @@ class Trees:
 
     def __init__(self, langs: list[str], grams: dict[str, tuple[np.ndarray, np.ndarray]], min_context: int):
         self.langs = langs
-        every = np.unique(np.concatenate([g for g, _ in grams.values()]))
-        seen = np.unique(np.concatenate([(every >> s) & 255 for s in (0, 8, 16, 24)] + [np.array([SPACE])]))
+        seen = np.unique(np.concatenate([np.unique((g >> s) & 255) for g, _ in grams.values() for s in (0, 8, 16, 24)]
+                                        + [np.array([SPACE])]))
         w = self.width = len(seen) + 1                      # symbol 0: a byte never seen in training
         self.symbol = np.zeros(256, dtype=np.int64)
         self.symbol[seen] = np.arange(1, w)
         n_l = len(langs)
         self.order2 = np.empty((n_l, w ** 3), dtype=np.float32)
-        counts = {}
-        total = np.zeros(w)
-        for lang in langs:
+
+        def counts(lang: str) -> tuple[list[np.ndarray], np.ndarray]:
+            """The grams' symbols, built anew each time: only one language's are held."""
             g, n = grams[lang]
-            s = [self.symbol[(g >> k) & 255] for k in (24, 16, 8, 0)]
-            counts[lang] = (s, n)
-            total += np.bincount(s[3], n, w)
+            return [self.symbol[(g >> k) & 255] for k in (24, 16, 8, 0)], n
+
+        total = np.zeros(w)
         # order-3 contexts common to the tables: seen often enough in some language
         ctx_n = np.zeros(w ** 3, dtype=np.int64)
-        for s, n in counts.values():
+        for lang in langs:
+            s, n = counts(lang)
+            total += np.bincount(s[3], n, w)
             c = np.bincount((s[0] * w + s[1]) * w + s[2], n, w ** 3).astype(np.int64)
             np.maximum(ctx_n, c, out=ctx_n)
         kept = np.flatnonzero(ctx_n >= min_context)
         self.context = np.full(w ** 3, -1, dtype=np.int32)
         self.context[kept] = np.arange(len(kept))
         # the bytes that some language has after a common context, by context, then byte; rank: place there, from 1
-        cells = {}
-        for lang, (s, n) in counts.items():
+        def cells(s: list[np.ndarray], n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             at = self.context[(s[0] * w + s[1]) * w + s[2]].astype(np.int64)
-            cells[lang] = (at * w + s[3])[at >= 0], n[at >= 0]
-        pairs = np.unique(np.concatenate([c for c, _ in cells.values()]))
+            return (at * w + s[3])[at >= 0], n[at >= 0]
+
+        pairs = np.empty(0, dtype=np.int64)
+        for lang in langs:
+            pairs = np.union1d(pairs, cells(*counts(lang))[0])
         row = pairs // w
         self.first = np.searchsorted(pairs, np.arange(len(kept)) * w)
         self.rank = np.zeros(len(kept) * w, dtype=np.uint8)
@@ -150,7 +154,7 @@ class Trees:
         uniform = np.full(w, np.log2(256.0))
         self.order0 = self._code(total[None, :], uniform[None, :])[0].astype(np.float32)
         for i, lang in enumerate(langs):
-            s, n = counts[lang]
+            s, n = counts(lang)
             c0 = np.bincount(s[3], n, w)[None, :]
             b0 = self._code(c0, uniform[None, :])
             c1 = np.bincount(s[2] * w + s[3], n, w * w).reshape(w, w)
@@ -158,7 +162,7 @@ class Trees:
             c2 = np.bincount((s[1] * w + s[2]) * w + s[3], n, w ** 3).reshape(w * w, w)
             b2 = self._code(c2, np.tile(b1, (w, 1)))
             self.order2[i] = b2.reshape(-1)
-            cell, n = cells[lang]
+            cell, n = cells(s, n)
             c3 = np.bincount(np.searchsorted(pairs, cell), n, len(pairs))
             seen3, kinds3 = np.bincount(row, c3, len(kept)), np.bincount(row, c3 > 0, len(kept))
             with np.errstate(divide="ignore", invalid="ignore"):
